@@ -18,6 +18,9 @@ from pyspark.sql import functions as F
 # Merchant categories treated as risky.
 RISKY = ("GAMBLING", "CRYPTO")
 RISKY_WITH_WIRE = ("GAMBLING", "CRYPTO", "WIRE_TRANSFER")
+# Merchant categories the record knows.
+CATEGORIES = ("RETAIL", "GROCERY", "RESTAURANT", "ONLINE", "TRAVEL", "ENTERTAINMENT", "UTILITIES", "HEALTHCARE",
+              "GAMBLING", "CRYPTO", "WIRE_TRANSFER")
 # Lowest points of each level, highest level first.
 LEVELS = (("CRITICAL", 70), ("HIGH", 50), ("MEDIUM", 30))
 LOWEST_LEVEL = "LOW"

@@ -1,0 +1,6 @@
+"""Named queries over the given tables."""
+
+from cardwatch.plans import group_queries, row_queries, window_queries  # noqa: F401
+from cardwatch.plans.catalog import ORACLES, QUERIES
+
+__all__ = ["ORACLES", "QUERIES"]

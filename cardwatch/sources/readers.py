@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -37,11 +38,11 @@ def _positional(spark: SparkSession, path: str) -> DataFrame:
            .option("ignoreTrailingWhiteSpace", True).csv(path))
     typed = {f.name: F.col(f.name).try_cast(f.dataType) for f in TRANSACTION}
     parsed = raw.select(*[typed[f.name].alias(f.name) for f in TRANSACTION],
-                        F.array(*[F.col(f.name) for f in TRANSACTION]).alias("_fields"))
+                        F.array(*[F.col(f.name) for f in TRANSACTION]).alias("_fields"), "_raw")
     needed = [f.name for f in TRANSACTION if not f.nullable]
-    broken = F.greatest(*[F.col(c).isNull() for c in needed])
-    line = F.when(broken, F.array_join("_fields", ",", ""))
-    return parsed.withColumns({CENTS: cents("amount"), BAD_LINE: line}).drop("_fields")
+    broken = reduce(lambda a, b: a | b, [F.col(c).isNull() for c in needed])
+    line = F.when(broken, F.coalesce("_raw", F.array_join("_fields", ",", "")))
+    return parsed.withColumns({CENTS: cents("amount"), BAD_LINE: line}).drop("_fields", "_raw")
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType = TRANSACTION_INPUT) -> DataFrame:

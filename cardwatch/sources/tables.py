@@ -10,14 +10,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.functions.numbers import whole_div
+from cardwatch.functions.rules import CATEGORIES
 from cardwatch.session import tune
 
 # Fixed values of the mapping, each list indexed from 0.
 CURRENCIES = ("EUR", "USD", "GBP", "CHF")
 CITIES = ("Paris", "London", "New York", "Tokyo", "Singapore", "Dubai")
 COUNTRIES = ("FR", "GB", "US", "JP", "SG", "AE")
-CATEGORIES = ("RETAIL", "GROCERY", "RESTAURANT", "ONLINE", "TRAVEL", "ENTERTAINMENT", "UTILITIES", "HEALTHCARE",
-              "GAMBLING", "CRYPTO", "WIRE_TRANSFER")
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
