@@ -18,11 +18,17 @@ TOP_BAND = "VERY_HIGH"
 
 
 def normalize(df: DataFrame) -> DataFrame:
-    """Any variant of the record to canonical names, with absent columns as nulls and ``amount_cents`` added."""
+    """Any variant of the record to canonical names and types.
+
+    Absent columns become nulls, ``amount_cents`` is added. Types may differ where a column was a
+    partition folder, whose values are read back as text.
+    """
     known = {**FIELD_NAMES, **VARIANT_NAMES}
     renamed = df.withColumnsRenamed({a: b for a, b in known.items() if a in df.columns})
-    absent = {f.name: F.lit(None).cast(f.dataType) for f in TRANSACTION if f.name not in renamed.columns}
-    return renamed.withColumns({**absent, numbers.CENTS: numbers.cents("amount")})
+    types = {f.name: f.dataType for f in renamed.schema}
+    changed = {f.name: (F.col(f.name) if f.name in types else F.lit(None)).cast(f.dataType)
+               for f in TRANSACTION if types.get(f.name) != f.dataType}
+    return renamed.withColumns(changed).withColumn(numbers.CENTS, numbers.cents("amount"))
 
 
 def basic_info(df: DataFrame) -> DataFrame:

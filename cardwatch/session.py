@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Runtime settings, safe to set on a session somebody else created.
 RUNTIME = {
@@ -60,3 +60,13 @@ def shared_dir(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, label: str) -> str:
     """A path below the shared folder that nothing has written to yet."""
     return f"{shared_dir(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def staged(spark: SparkSession, df: DataFrame, label: str = "stage") -> DataFrame:
+    """The frame written once to the shared folder and read back.
+
+    For results that several jobs use: they survive lost executors and are not computed again.
+    """
+    path = fresh_path(spark, label)
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
