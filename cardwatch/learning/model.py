@@ -79,7 +79,8 @@ def train(df: DataFrame, classifier: Estimator, one_hot: bool = True, prepared:
     return Pipeline(stages=[*feature_stages(one_hot), classifier]).fit(data)
 
 
-def cross_validate(df: DataFrame, folds: int = 5, parallelism: int = 4) -> CrossValidatorModel:
+def cross_validate(df: DataFrame, folds: int = 5, parallelism: int = 4,
+                   prepared: bool = False) -> CrossValidatorModel:
     """Logistic regression over twelve parameter sets by area under ROC."""
     lr = LogisticRegression(featuresCol="features", labelCol="label")
     grid = (ParamGridBuilder().addGrid(lr.maxIter, [50, 100]).addGrid(lr.regParam, [0.01, 0.1])
@@ -87,7 +88,16 @@ def cross_validate(df: DataFrame, folds: int = 5, parallelism: int = 4) -> Cross
     judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
     search = CrossValidator(estimator=Pipeline(stages=[*feature_stages(), lr]), estimatorParamMaps=grid,
                             evaluator=judge, numFolds=folds, parallelism=parallelism, seed=SEED)
-    return search.fit(prepare(df).where(F.col("label").isNotNull()))
+    return search.fit((df if prepared else prepare(df)).where(F.col("label").isNotNull()))
+
+
+def search_results(spark: SparkSession, search: CrossValidatorModel) -> DataFrame:
+    """One row per parameter set (twelve), best first."""
+    rows = [(*(int(v) if p.name == "maxIter" else float(v) for p, v in
+               sorted(params.items(), key=lambda e: e[0].name)), float(auc))
+            for params, auc in zip(search.getEstimatorParamMaps(), search.avgMetrics)]
+    return spark.createDataFrame(rows, "elastic_net double, max_iter int, reg double, auc_roc double").orderBy(
+        F.desc("auc_roc"), "max_iter", "reg", "elastic_net")
 
 
 def evaluate(predictions: DataFrame, name: str = "model") -> DataFrame:

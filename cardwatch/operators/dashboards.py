@@ -259,21 +259,27 @@ def moving_average(scored: DataFrame, days: int = 7) -> DataFrame:
 
 
 def week_over_week(scored: DataFrame, days: int = 14, as_of: Column | None = None) -> DataFrame:
-    """Each day against the same weekday one week before."""
+    """Each day against the same weekday one week before.
+
+    The days are aggregated once; the earlier day is looked up by its distance
+    among these few rows.
+    """
     daily = last_days(scored, days + 7, as_of).groupBy(times.event_date().alias("date")).agg(
         rows().alias("current_transactions"), count_if(F.col(HIT)).alias("current_frauds"))
-    before = daily.select(F.date_add("date", 7).alias("date"),
-                          F.col("current_transactions").alias("prev_week_transactions"),
-                          F.col("current_frauds").alias("prev_week_frauds"))
+    week_before = Window.partitionBy().orderBy(F.unix_date("date")).rangeBetween(-7, -7)
     today = F.to_date(F.timestamp_millis(latest_ms(scored))) if as_of is None else as_of
 
     def change(now: str, then: str) -> Column:
         return (F.col(now) - F.col(then)) * 100 / F.nullif(F.col(then), F.lit(0))
 
-    return (daily.where(F.col("date") >= F.date_sub(today, days)).join(before, "date", "left").withColumns({
+    compared = daily.withColumns({
+        "prev_week_transactions": F.sum("current_transactions").over(week_before),
+        "prev_week_frauds": F.sum("current_frauds").over(week_before),
+    })
+    return compared.where(F.col("date") >= F.date_sub(today, days)).withColumns({
         "tx_change_percent": change("current_transactions", "prev_week_transactions"),
         "fraud_change_percent": change("current_frauds", "prev_week_frauds"),
-    }).orderBy("date"))
+    }).orderBy("date")
 
 
 def risky_customers(scored: DataFrame, min_rows: int = 3, n: int = 20) -> DataFrame:

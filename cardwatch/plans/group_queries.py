@@ -195,6 +195,14 @@ def _(spark, sf):
     return agg.percentiles(tx(spark, sf))
 
 
+@query("percentiles_exact", f"""SELECT merchant_category, {', '.join(
+    f"MIN(CASE WHEN r >= (n * {round(q * 100)} + 99) // 100 THEN amount END) AS {name}" for name, q in agg.QUANTILES.items())},
+    MAX(amount) AS max_amount FROM (SELECT *, ROW_NUMBER() OVER (PARTITION BY merchant_category ORDER BY amount) AS r,
+      COUNT(*) OVER (PARTITION BY merchant_category) AS n FROM tx) GROUP BY merchant_category""")
+def _(spark, sf):
+    return agg.percentiles_exact(tx(spark, sf))
+
+
 @query("segment_analysis", f"""SELECT merchant_category, channel, risk_level, {N} AS transaction_count,
     {TOTAL} AS total_volume, {MEAN} AS avg_amount, {HITS} AS fraud_count, {SCORE} AS avg_fraud_score,
     quantile_disc(amount, 0.5) AS median_amount, quantile_disc(amount, 0.95) AS p95_amount FROM scored

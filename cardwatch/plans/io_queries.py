@@ -6,11 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.functions import times
-from cardwatch.operators import profiles, shape, upkeep
+from cardwatch.operators import dashboards, profiles, shape, upkeep
 from cardwatch.plans.catalog import query, scored, tx, tx_balance
 from cardwatch.plans.row_queries import CODES, REASONS
 from cardwatch.plans.sql import DATE, N, TOTAL
-from cardwatch.schemas import FIELD_NAMES, TRANSACTION, WAREHOUSE
+from cardwatch.schemas import FIELD_NAMES, PARTITIONS, TRANSACTION, WAREHOUSE
 from cardwatch.session import fresh_path
 from cardwatch.sources import readers, writers
 
@@ -184,3 +184,36 @@ def _(spark, sf):
     """Incremental read by file time; everything is newer than the epoch."""
     return upkeep.files_since(spark.read.parquet(f"{sf}/events.parquet"), "1969-01-01").agg(
         F.count("*").alias("transaction_count"))
+
+
+@query("warehouse_tables", f"""SELECT 'fraud_alerts' AS name, COUNT(*) AS row_count FROM alerts
+    UNION ALL SELECT 'customer_profiles', COUNT(*) FROM profile
+    UNION ALL SELECT 'fraud_predictions', COUNT(*) FROM scored UNION ALL SELECT 'transactions', COUNT(*) FROM scored
+    UNION ALL SELECT 'merchant_risk_scores', COUNT(DISTINCT merchant_id) FROM tx
+    UNION ALL SELECT 'hourly_metrics', COUNT(DISTINCT timestamp_ms // 3600000) FROM tx""")
+def _(spark, sf):
+    """All six warehouse tables written, declared and counted."""
+    rows, plain = scored(spark, sf), tx(spark, sf)
+    content = {
+        "transactions": rows.withColumn("transaction_date", times.event_date()),
+        "fraud_predictions": profiles.predictions(rows), "customer_profiles": profiles.customer_profiles(plain),
+        "merchant_risk_scores": profiles.merchant_risk(plain), "fraud_alerts": profiles.alert_events(rows),
+        "hourly_metrics": profiles.hourly_metrics(rows),
+    }
+    base, prefix = fresh_path(spark, "warehouse"), _table_name() + "_"
+    for name, df in content.items():
+        writers.write_parquet(profiles.to_warehouse(df, name), f"{base}/{name}", PARTITIONS.get(name, []))
+    writers.create_warehouse(spark, base, prefix)
+    return shape.union_batches([spark.table(prefix + name).groupBy(F.lit(name).alias("name")).agg(
+        F.count("*").alias("row_count")) for name in content])
+
+
+@query("daily_report", f"""SELECT {N} AS total_transactions, COUNT(*) FILTER (WHERE is_fraud_predicted) AS frauds_detected,
+    (SELECT COUNT(*) FROM scored WHERE is_fraud_predicted AND is_fraud) AS true_positives FROM scored
+    WHERE {DATE} >= (SELECT MAX({DATE}) FROM tx)""")
+def _(spark, sf):
+    """End-of-day figures next to the confusion counts of the rules."""
+    rows = scored(spark, sf)
+    quality = dashboards.confusion(rows).select("true_positives")
+    day = dashboards.end_of_day(rows).select("total_transactions", "frauds_detected")
+    return day.withColumn("true_positives", quality.scalar())

@@ -1,11 +1,13 @@
 """Feature preparation and the classifiers, trained on the given tables."""
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from cardwatch.learning import model
 from cardwatch.operators import windows
 from cardwatch.plans.catalog import query, tx_balance
-from cardwatch.session import staged
+from cardwatch.plans.stream_queries import transactions, written
+from cardwatch.session import fresh_path, staged
 
 
 @query("ml_prepare", """SELECT transaction_id, amount, COALESCE(previous_balance, 0) AS previous_balance,
@@ -63,3 +65,33 @@ def _(spark, sf):
     train, _ = prepared(spark, sf)
     fitted = model.train(train, model.random_forest(50), prepared=True)
     return model.importance(spark, fitted, fitted.transform(train))
+
+
+@query("ml_reload", "SELECT COUNT(*) AS row_count, 0::BIGINT AS differing FROM tx")
+def _(spark, sf):
+    """A saved and loaded model gives the same probabilities."""
+    train, test = prepared(spark, sf)
+    fitted, path = model.train(train, model.logistic_regression(), prepared=True), fresh_path(spark, "model")
+    model.save(fitted, path)
+    rows = train.unionByName(test)
+    before, after = (model.predict(m, rows, prepared=True).select("transaction_id", F.col("fraud_probability").alias(n))
+                     for m, n in ((fitted, "before"), (model.load(path), "after")))
+    return before.join(after, "transaction_id").agg(
+        F.count("*").alias("row_count"), F.count_if(F.col("before") != F.col("after")).alias("differing"))
+
+
+@query("ml_stream", "SELECT COUNT(*) AS row_count, COUNT(DISTINCT transaction_id) AS ids FROM tx")
+def _(spark, sf):
+    """A stream scored with a trained model."""
+    train, _ = prepared(spark, sf)
+    fitted = model.train(train, model.logistic_regression(), prepared=True)
+    out = written(spark, model.predict(fitted, transactions(spark, sf)))
+    return out.agg(F.count("*").alias("row_count"), F.count_distinct("transaction_id").alias("ids"))
+
+
+@query("ml_cross_validate")
+def _(spark, sf):
+    """Mean area under ROC per parameter set, two folds."""
+    train, _ = prepared(spark, sf)
+    search = model.cross_validate(train, folds=2, prepared=True)
+    return model.search_results(spark, search)

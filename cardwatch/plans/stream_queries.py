@@ -6,8 +6,8 @@ from pyspark.sql import functions as F
 from cardwatch.functions import times
 from cardwatch.operators import dashboards, profiles
 from cardwatch.plans.catalog import history_of, query, scored, tx
-from cardwatch.plans.row_queries import CODES
-from cardwatch.plans.sql import DATE, FRAUDS, HISTORY, HITS, MEAN, N, SCORE, TOTAL, rate
+from cardwatch.plans.row_queries import CLOUD_POINTS, CODES
+from cardwatch.plans.sql import DATE, FRAUDS, HISTORY, HITS, MEAN, N, SCORE, TOTAL, flags, rate
 from cardwatch.session import fresh_path, tune
 from cardwatch.sources import tables
 from cardwatch.streaming import pipeline, source, windows
@@ -166,3 +166,29 @@ def _(spark, sf):
 @query("win_tumbling_metrics_stream", f"SELECT * FROM ({METRICS}) WHERE window_end {CLOSED}")
 def _(spark, sf):
     return written(spark, windows.metrics(pipeline.score(transactions(spark, sf))))
+
+
+@query("stream_cloud_pipeline", f"SELECT transaction_id, {flags(CLOUD_POINTS)} FROM enriched")
+def _(spark, sf):
+    """Second rule set: the balance comes with the message."""
+    tune(spark)
+    events = source.read_folder(spark, f"{sf}/events.{{parquet}}", tables.table(spark, sf, "events").schema)
+    accounts = tables.table(spark, sf, "customer").selectExpr("c_custkey AS _user_id",
+                                                              "greatest(c_acctbal, 0D) AS previous_balance")
+    rows = source.parse(source.to_messages(tables.from_events(events).join(accounts, "_user_id", "left")))
+    stored = fresh_path(spark, "stored")
+    pipeline.run_pipeline(rows, stored, fresh_path(spark, "alerts"), fresh_path(spark, "progress"), None,
+                          cloud=True).awaitTermination()
+    return pipeline.read_back(spark, stored).select("transaction_id", "score_points", "fraud_score", "risk_level",
+                                                    "is_fraud_predicted", "alert_required")
+
+
+@query("event_hub_parse", """SELECT transaction_id, amount, 'p' AS partition_id, timestamp_ms AS arrival_time, location
+    FROM tx""")
+def _(spark, sf):
+    """The envelope of the event-hub source: body, enqueued time, offset, partition."""
+    envelope = source.to_messages(tx(spark, sf)).select(
+        F.encode("value", "utf-8").alias("body"), F.col("timestamp").alias("enqueuedTime"),
+        F.lit("0").alias("offset"), F.lit("p").alias("partition"))
+    return source.parse_event_hub(envelope).select("transaction_id", "amount", F.col("partitionId").alias("partition_id"),
+                                                   ARRIVAL, "location")

@@ -36,6 +36,8 @@ def build_session(name: str = "cardwatch", master: str | None = None, shuffle_pa
         builder = builder.master(master).config("spark.ui.enabled", "false")
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", shuffle_partitions)
+    # Call-site capture costs several JVM calls per column expression.
+    builder = builder.config("spark.python.sql.dataFrameDebugging.enabled", "false")
     for key, value in {**RUNTIME, **extra}.items():
         builder = builder.config(key, value)
     return tune(builder.getOrCreate())

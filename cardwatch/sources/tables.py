@@ -6,10 +6,9 @@ customer's account. Constants below are the agreed mapping, not tuning knobs.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.functions.numbers import whole_div
 from cardwatch.functions.rules import CATEGORIES
 from cardwatch.session import tune
 
@@ -23,42 +22,44 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def _pick(values: tuple[str, ...], index: Column) -> Column:
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int") + 1)
+def _pick(values: tuple[str, ...], index: str) -> str:
+    listed = ", ".join(f"'{v}'" for v in values)
+    return f"element_at(array({listed}), CAST({index} AS INT) + 1)"
+
+
+_MERCHANT = "event_id * 31 % 97"
+_COLUMNS = {
+    "transaction_id": "concat('TX', timestamp_ms, '-', event_id)",
+    "customer_id": "concat('CUST', user_id)",
+    "merchant_id": f"concat('MERCH', {_MERCHANT})",
+    "amount": "amount_cents / 100",
+    "currency": _pick(CURRENCIES, "event_id % 4"),
+    "transaction_type": "CASE event_type WHEN 'view' THEN 'WITHDRAWAL' WHEN 'signup' THEN 'TRANSFER' ELSE 'PURCHASE' END",
+    "channel": "CASE event_type WHEN 'purchase' THEN 'ONLINE' WHEN 'click' THEN 'POS' WHEN 'view' THEN 'ATM' "
+               "ELSE 'MOBILE' END",
+    "location": _pick(CITIES, "event_id * 7 % 6"),
+    "device_id": "CASE WHEN event_id % 7 <> 0 THEN concat('DEV', event_id * 11 % 200) END",
+    "ip_address": "CASE WHEN event_type <> 'view' THEN concat('10.0.', event_id * 3 % 256, '.', event_id % 256) END",
+    "timestamp_ms": "timestamp_ms",
+    "card_type": "IF(event_id % 3 = 0, 'DEBIT', 'CREDIT')",
+    "is_international": "event_id * 17 % 10 = 3",
+    "merchant_category": _pick(CATEGORIES, f"{_MERCHANT} % 11"),
+    "is_fraud": "CASE WHEN event_id % 101 <> 0 THEN event_type = 'purchase' AND value > 125 OR event_id % 41 = 0 END",
+    "country": _pick(COUNTRIES, "event_id * 7 % 6"),
+    "amount_cents": "amount_cents",
+    "_user_id": "user_id",
+}
 
 
 def from_events(events: DataFrame) -> DataFrame:
     """Row-local part of the mapping; works on a batch and on a stream."""
-    e, kind = F.col("event_id"), F.col("event_type")
-    cents = F.round(F.col("value") * 100).cast("bigint")
-    merchant = (e * 31) % 97
-    based = events.withColumns({
-        "timestamp_ms": whole_div(F.unix_micros(F.col("ts").cast("timestamp")), F.lit(1000)),
-        "amount_cents": F.when(kind == "purchase", cents * 40).when(kind == "error", whole_div(cents, F.lit(20)))
-        .otherwise(cents * 10),
-    })
-    return based.select(
-        F.concat(F.lit("TX"), F.col("timestamp_ms"), F.lit("-"), e).alias("transaction_id"),
-        F.concat(F.lit("CUST"), F.col("user_id")).alias("customer_id"),
-        F.concat(F.lit("MERCH"), merchant).alias("merchant_id"),
-        (F.col("amount_cents") / F.lit(100)).alias("amount"),
-        _pick(CURRENCIES, e % 4).alias("currency"),
-        F.when(kind == "view", "WITHDRAWAL").when(kind == "signup", "TRANSFER").otherwise("PURCHASE")
-        .alias("transaction_type"),
-        F.when(kind == "purchase", "ONLINE").when(kind == "click", "POS").when(kind == "view", "ATM")
-        .otherwise("MOBILE").alias("channel"),
-        _pick(CITIES, (e * 7) % 6).alias("location"),
-        F.when(e % 7 != 0, F.concat(F.lit("DEV"), (e * 11) % 200)).alias("device_id"),
-        F.when(kind != "view", F.concat(F.lit("10.0."), (e * 3) % 256, F.lit("."), e % 256)).alias("ip_address"),
-        "timestamp_ms",
-        F.when(e % 3 == 0, "DEBIT").otherwise("CREDIT").alias("card_type"),
-        ((e * 17) % 10 == 3).alias("is_international"),
-        _pick(CATEGORIES, merchant % 11).alias("merchant_category"),
-        F.when(e % 101 != 0, ((kind == "purchase") & (F.col("value") > 125)) | (e % 41 == 0)).alias("is_fraud"),
-        _pick(COUNTRIES, (e * 7) % 6).alias("country"),
-        "amount_cents",
-        F.col("user_id").alias("_user_id"),
-    )
+    based = events.selectExpr(
+        "event_id", "user_id", "event_type", "value",
+        "unix_micros(CAST(ts AS TIMESTAMP)) DIV 1000 AS timestamp_ms",
+        "CASE event_type WHEN 'purchase' THEN CAST(round(value * 100) AS BIGINT) * 40 "
+        "WHEN 'error' THEN CAST(round(value * 100) AS BIGINT) DIV 20 "
+        "ELSE CAST(round(value * 100) AS BIGINT) * 10 END AS amount_cents")
+    return based.selectExpr(*[f"{text} AS {name}" for name, text in _COLUMNS.items()])
 
 
 def transactions(spark: SparkSession, sf_dir: str, balance: bool = False) -> DataFrame:

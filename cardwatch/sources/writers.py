@@ -74,9 +74,13 @@ def create_warehouse(spark: SparkSession, base_path: str, prefix: str = "") -> N
         create_table(spark, prefix + name, f"{base_path}/{name}", schema, PARTITIONS.get(name, ()))
 
 
-def by_customer(df: DataFrame, partitions: int) -> DataFrame:
-    """Hash partitioned by customer."""
-    return df.repartition(partitions, "customer_id")
+def by_customer(df: DataFrame, partitions: int | None = None) -> DataFrame:
+    """Hash partitioned by customer.
+
+    With a fixed number all rows of a customer share a partition; without one,
+    adaptive execution sizes the partitions and splits a customer that is too large for one.
+    """
+    return df.repartition(partitions, "customer_id") if partitions else balanced(df, ["customer_id"])
 
 
 def fewer_partitions(df: DataFrame, partitions: int) -> DataFrame:

@@ -72,7 +72,8 @@ def store_and_alert(scored_path: str, alerts_path: str) -> Callable[[DataFrame,
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
         try:
-            (kept.write.mode("overwrite").partitionBy("risk_level", "transaction_date")
+            keys = ["risk_level", "transaction_date"]
+            (writers.balanced(kept, keys).write.mode("overwrite").partitionBy(*keys)
              .parquet(f"{scored_path}/batch_id={batch_id}"))
             (writers.alert_messages(shape.alerts_only(kept), ARRIVAL).write.mode("overwrite")
              .parquet(f"{alerts_path}/batch_id={batch_id}"))
