@@ -5,7 +5,7 @@ customer into one task. Here the timeline of a *busy* key is first cut into
 slices of time; windows then run per (key, slice). What a frame needs from
 earlier slices is handed over explicitly:
 
-* ``back_ms``   rows of the previous slice that a RANGE frame can still reach,
+* ``back_ms``   rows of the previous slice that ``recent`` can still reach,
 * ``back_rows`` the last k rows before the slice, for LAG and ROWS frames,
 * ``running``   totals of all earlier slices, for frames from the beginning.
 
@@ -25,7 +25,8 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions.numbers import whole_div
 
-SLICE, HALO, LO, HI, SLICES = "_slice", "_halo", "_lo", "_hi", "_slices"
+SLICE, HALO, LEAVING = "_slice", "_halo", "_leaving"
+LO, HI, SLICES = "_lo", "_hi", "_slices"
 # Slices are planned this much finer than needed, as rows are not spread evenly in time.
 FINER = 8
 # Upper bound of the broadcast list of busy keys. Each has more than
@@ -47,14 +48,11 @@ class Timeline:
     def last_rows(self, k: int) -> WindowSpec:
         return self.window().rowsBetween(-k, 0)
 
-    def last_ms(self, ms: int) -> WindowSpec:
-        return Window.partitionBy(self.key, SLICE).orderBy(self.time).rangeBetween(-ms, 0)
-
     def _busy(self, df: DataFrame, back_ms: int) -> DataFrame:
         sizes = df.groupBy(self.key).agg(F.count("*").alias("_n"), F.min(self.time).alias(LO),
                                          F.max(self.time).alias(HI))
         wanted = whole_div(F.col("_n") * FINER, F.lit(self.rows_per_slice))
-        # A slice is never shorter than the reach of the RANGE frame.
+        # A slice is never shorter than the reach back in time.
         possible = whole_div(F.col(HI) - F.col(LO) + 1, F.lit(max(back_ms, 1)))
         return (sizes.where((F.col("_n") > self.rows_per_slice) & F.col(self.key).isNotNull())
                 .orderBy(F.desc("_n"), self.key).limit(MOST_BUSY_KEYS)
@@ -121,5 +119,28 @@ class Timeline:
             *[(F.coalesce(f"_m{i}", F.lit(0)) + F.coalesce(f"_c{i}", F.lit(0))).alias(name)
               for i, name in enumerate(measures)])
 
+    def recent(self, cut: DataFrame, ms: int, measures: Mapping[str, Column]) -> DataFrame:
+        """Totals of the rows at most ``ms`` before each row, ties included.
+
+        A RANGE frame that moves at both ends is added up anew for every row,
+        which is quadratic for a key with many rows per frame. Instead each row
+        enters the total at its time and leaves it ``ms + 1`` later, and one
+        running total over both gives the answer. ``cut`` must have been called
+        with ``back_ms >= ms``. The copies are made after the shuffle.
+        """
+        parts = {f"_r{i}": m for i, m in enumerate(measures.values())}
+        placed = cut.repartition(self.key, SLICE).withColumns(parts)
+        twice = placed.withColumn(LEAVING, F.explode(F.array(F.lit(False), F.lit(True))))
+        kept = {self.key, SLICE, HALO, "_is_busy", self.time}
+        leaves = F.col(LEAVING)
+        moved = twice.select(
+            *[F.col(c) if c in kept else F.when(~leaves, F.col(c)).alias(c) for c in cut.columns if c != self.time],
+            F.when(leaves, F.col(self.time) + (ms + 1)).otherwise(F.col(self.time)).alias(self.time), leaves,
+            *[F.when(leaves, -F.col(p)).otherwise(F.col(p)).alias(p) for p in parts])
+        upto = (Window.partitionBy(self.key, SLICE).orderBy(self.time)
+                .rangeBetween(Window.unboundedPreceding, Window.currentRow))
+        totals = [F.coalesce(F.sum(p).over(upto), F.lit(0)).alias(name) for p, name in zip(parts, measures)]
+        return moved.select(*cut.columns, LEAVING, *totals).where(~leaves).drop(LEAVING)
+
     def close(self, df: DataFrame) -> DataFrame:
         return df.where(~F.col(HALO)).drop(SLICE, HALO, "_is_busy")

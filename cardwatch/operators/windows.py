@@ -39,15 +39,15 @@ def rolling(df: DataFrame, line: Timeline = LINE) -> DataFrame:
     })).drop("_sum")
 
 
+def _last_ms(cut: DataFrame, ms: int, line: Timeline) -> DataFrame:
+    counted = line.recent(cut, ms, {"tx_count_last_hour": F.lit(1), "_recent": F.col(CENTS)})
+    return counted.withColumn("amount_last_hour", money(F.col("_recent"))).drop("_recent")
+
+
 def velocity(df: DataFrame, max_count: int = 10, max_amount: float = 10000, window_ms: int = times.HOUR_MS,
              line: Timeline = LINE) -> DataFrame:
     """Rows and amount within the last hour, and whether either is unusual."""
-    recent = line.last_ms(window_ms)
-    cut = line.cut(df, back_ms=window_ms).withColumns({
-        "tx_count_last_hour": F.count("*").over(recent),
-        "amount_last_hour": money(F.sum(CENTS).over(recent)),
-    })
-    return line.close(cut).withColumn(
+    return line.close(_last_ms(line.cut(df, back_ms=window_ms), window_ms, line)).withColumn(
         "velocity_anomaly", (F.col("tx_count_last_hour") > max_count) | (F.col("amount_last_hour") > max_amount))
 
 
@@ -98,14 +98,13 @@ def travel_list(df: DataFrame, n: int | None = 50, line: Timeline = LINE) -> Dat
 
 def velocity_trace(df: DataFrame, line: Timeline = LINE) -> DataFrame:
     """Lag, travel flag, last-hour figures and sequence number in one pass over one partitioning."""
-    order, recent = line.window(), line.last_ms(times.HOUR_MS)
+    order = line.window()
     cut = line.running(line.cut(df, back_rows=1, back_ms=times.HOUR_MS), {"tx_sequence": F.lit(1)})
     cut = cut.withColumns({
         "prev_timestamp_ms": F.lag("timestamp_ms").over(order),
         "prev_location": F.lag("location").over(order),
-        "tx_count_last_hour": F.count("*").over(recent),
-        "amount_last_hour": money(F.sum(CENTS).over(recent)),
     })
+    cut = _last_ms(cut, times.HOUR_MS, line)
     gap = _gap(F.col("prev_timestamp_ms"))
     return line.close(cut).select(
         "transaction_id", "customer_id", "amount", "timestamp_ms", "prev_timestamp_ms",
@@ -191,11 +190,10 @@ def rankings(df: DataFrame, by: str = "merchant_category", top: int = 10) -> Dat
 def features(df: DataFrame, line: Timeline = LINE) -> DataFrame:
     """Model features: history z-score, rows in the last hour, gap, amount to average, change of place."""
     cents = F.col(CENTS)
-    order, recent = line.window(), line.last_ms(times.HOUR_MS)
+    order = line.window()
     cut = line.running(line.cut(df, back_rows=1, back_ms=times.HOUR_MS),
                        {"_n": F.lit(1), "_s1": cents, "_s2": numbers.square(cents)})
-    cut = cut.withColumns({
-        "velocity_score": F.count("*").over(recent),
+    cut = line.recent(cut, times.HOUR_MS, {"velocity_score": F.lit(1)}).withColumns({
         "_prev_ms": F.lag("timestamp_ms").over(order),
         "_prev_place": F.lag("location").over(order),
     })
