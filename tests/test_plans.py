@@ -64,3 +64,28 @@ def test_top_lists_do_not_sort_everything(stored):
 
 def test_top_k_per_customer_is_cut_before_the_shuffle(stored):
     assert "WindowGroupLimit" in plan(profiles.preferred(stored, "merchant_id", "m"), run=False)
+
+
+def test_join_splits_a_customer_with_a_third_of_the_rows(spark, tmp_path):
+    """With sizes scaled down, adaptive execution cuts the busy side of the join, and no row is lost."""
+    from pyspark.sql import functions as F
+    from conftest import MEDIUM
+    hot = transactions(spark, MEDIUM).withColumn(
+        "customer_id", F.when(F.pmod(F.hash("transaction_id"), F.lit(3)) == 0, "CUST1").otherwise(F.col("customer_id")))
+    hot.repartition(8).write.parquet(str(tmp_path / "hot"))
+    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
+             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
+             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
+             "spark.sql.autoBroadcastJoinThreshold": "-1"}
+    before = {k: spark.conf.get(k) for k in small}
+    for key, value in small.items():
+        spark.conf.set(key, value)
+    try:
+        out = profiles.zscore_population(spark.read.parquet(str(tmp_path / "hot"))).select("transaction_id",
+                                                                                           "amount_zscore")
+        text = plan(out)
+        assert "skew=true" in text
+        assert out.count() == 10_000
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
