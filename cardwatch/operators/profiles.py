@@ -10,6 +10,7 @@ from cardwatch.functions.numbers import count_if, mean, ratio, total, total_if
 from cardwatch.operators import windows
 from cardwatch.operators.aggregates import hourly_velocity, labelled, mean_score, rows
 from cardwatch.operators.dashboards import HIT, last_days
+from cardwatch.operators.spread import join_per_key
 from cardwatch.schemas import WAREHOUSE
 
 # Fixed values of our merchant score: prior frauds per prior rows, and the lowest score of each category.
@@ -144,8 +145,8 @@ def predictions(scored: DataFrame, model_version: str = "rules-1") -> DataFrame:
 # --- joins -------------------------------------------------------------------------------------------------------
 
 def join_profiles(df: DataFrame, profiles: DataFrame) -> DataFrame:
-    """Left join on the customer. A customer with very many rows is split by AQE on the left side."""
-    return df.join(profiles, "customer_id", "left")
+    """Left join on the customer, spread for customers with very many rows."""
+    return join_per_key(df, profiles)
 
 
 def adjust_score(scored: DataFrame, basics: DataFrame) -> DataFrame:
@@ -169,11 +170,11 @@ def zscore_population(df: DataFrame) -> DataFrame:
     """z-score against all rows of the customer, population deviation, 0 where it is 0.
 
     Aggregate and join back: the aggregate is combined before its shuffle, and
-    the join can split a busy customer, which a window over the customer cannot.
+    the join spreads a busy customer, which a window over the customer cannot.
     """
     stats = df.groupBy("customer_id").agg(mean().alias("_avg"), numbers.stdev(sample=False).alias("_std"))
     z = F.when(F.col("_std") > 0, (F.col("amount") - F.col("_avg")) / F.col("_std")).otherwise(F.lit(0.0))
-    return df.join(stats, "customer_id").withColumn("amount_zscore", z).drop("_avg", "_std")
+    return join_per_key(df, stats, how="inner").withColumn("amount_zscore", z).drop("_avg", "_std")
 
 
 def abnormal_customers(df: DataFrame, min_rows: int = 3) -> DataFrame:
@@ -182,7 +183,7 @@ def abnormal_customers(df: DataFrame, min_rows: int = 3) -> DataFrame:
                                           rows().alias("_n")).where(F.col("_n") >= min_rows)
     z = (F.col("amount") - F.col("avg_amount")) / F.nullif(F.col("stddev_amount"), F.lit(0.0))
     size = F.abs(F.col("z_score"))
-    return (df.join(stats, "customer_id").withColumn("z_score", z).where(size > 2)
+    return (join_per_key(df, stats, how="inner").withColumn("z_score", z).where(size > 2)
             .select("transaction_id", "customer_id", "amount", "avg_amount", "stddev_amount", "z_score",
                     F.when(size > 3, "EXTREME_OUTLIER").otherwise("OUTLIER").alias("anomaly_status"))
             .orderBy(F.desc(size), "transaction_id"))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cardwatch.functions import numbers, rules, times
 from cardwatch.functions.numbers import CENTS, money, whole_div
 from cardwatch.operators import shape
+from cardwatch.operators.spread import join_per_key
 from cardwatch.operators.timeline import Timeline
 
 LINE = Timeline()
@@ -126,13 +127,13 @@ def running_with_ties(df: DataFrame, line: Timeline = LINE) -> DataFrame:
     tie = Window.partitionBy(line.key, "_slice", line.time)
     cut = cut.withColumn("cumulative_amount", money(F.max("_sum").over(tie)))
     rows = line.close(cut).withColumn("amount_change", F.col("amount") - F.col("prev_amount")).drop("_sum")
-    return rows.join(df.groupBy(line.key).agg(F.count("*").alias("total_tx")), line.key, "left")
+    return join_per_key(rows, df.groupBy(line.key).agg(F.count("*").alias("total_tx")), line.key)
 
 
 def sequence(df: DataFrame, min_rows: int = 5, n: int | None = None, line: Timeline = LINE) -> DataFrame:
     """Row number, running total and whole minutes since the previous row of customers with enough rows."""
     sizes = df.groupBy(line.key).agg(F.count("*").alias("total_customer_tx"))
-    active = df.join(sizes.where(F.col("total_customer_tx") >= min_rows), line.key)
+    active = join_per_key(df, sizes.where(F.col("total_customer_tx") >= min_rows), line.key, "inner")
     cut = line.running(line.cut(active, back_rows=1), {"tx_sequence": F.lit(1), "_sum": F.col(CENTS)})
     cut = cut.withColumn("_prev", F.lag("timestamp_ms").over(line.window()))
     out = line.close(cut).select(

@@ -49,7 +49,7 @@ def timed(df: DataFrame) -> DataFrame:
     return df.withColumn(ARRIVAL, times.event_time())
 
 
-@query("stream_pipeline", f"""SELECT transaction_id, amount, score_points, risk_level, is_fraud_predicted,
+@query("stream_scored_store", f"""SELECT transaction_id, amount, score_points, risk_level, is_fraud_predicted,
     {CODES} AS alert_reasons, CAST({DATE} AS VARCHAR) AS transaction_date FROM scored""")
 def _(spark, sf):
     return pipeline.read_back(spark, run(spark, sf)[0]).select(
@@ -168,7 +168,7 @@ def _(spark, sf):
     return written(spark, windows.metrics(pipeline.score(transactions(spark, sf))))
 
 
-@query("stream_cloud_pipeline", f"SELECT transaction_id, {flags(CLOUD_POINTS)} FROM enriched")
+@query("stream_cloud_store", f"SELECT transaction_id, {flags(CLOUD_POINTS)} FROM enriched")
 def _(spark, sf):
     """Second rule set: the balance comes with the message."""
     tune(spark)

@@ -66,26 +66,29 @@ def test_top_k_per_customer_is_cut_before_the_shuffle(stored):
     assert "WindowGroupLimit" in plan(profiles.preferred(stored, "merchant_id", "m"), run=False)
 
 
-def test_join_splits_a_customer_with_a_third_of_the_rows(spark, tmp_path):
-    """With sizes scaled down, adaptive execution cuts the busy side of the join, and no row is lost."""
+def test_join_spreads_a_customer_with_a_third_of_the_rows(spark, medium_tx):
+    """No place of the spread join holds the busy customer's rows together, and the result is that of a plain join."""
     from pyspark.sql import functions as F
-    from conftest import MEDIUM
-    hot = transactions(spark, MEDIUM).withColumn(
-        "customer_id", F.when(F.pmod(F.hash("transaction_id"), F.lit(3)) == 0, "CUST1").otherwise(F.col("customer_id")))
-    hot.repartition(8).write.parquet(str(tmp_path / "hot"))
-    small = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20KB",
-             "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "1.1",
-             "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20KB",
-             "spark.sql.autoBroadcastJoinThreshold": "-1"}
-    before = {k: spark.conf.get(k) for k in small}
-    for key, value in small.items():
-        spark.conf.set(key, value)
+
+    from cardwatch.operators.spread import join_per_key
+    hot = medium_tx.withColumn("customer_id", F.when(F.pmod(F.hash("transaction_id"), F.lit(3)) == 0, "CUST1")
+                               .otherwise(F.col("customer_id")))
+    stats = hot.groupBy("customer_id").agg(F.count("*").alias("n"))
+    for how in ("left", "inner"):
+        known = stats if how == "left" else stats.where("n > 60")
+        plain = hot.join(known, "customer_id", how)
+        spread = join_per_key(hot, known, how=how, rows_per_copy=100)
+        assert spread.count() == plain.count()
+        assert spread.select(plain.columns).exceptAll(plain).isEmpty()
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "40")
     try:
-        out = profiles.zscore_population(spark.read.parquet(str(tmp_path / "hot"))).select("transaction_id",
-                                                                                           "amount_zscore")
-        text = plan(out)
-        assert "skew=true" in text
-        assert out.count() == 10_000
+        placed = join_per_key(hot, stats, rows_per_copy=100).where("customer_id = 'CUST1'").groupBy(
+            F.spark_partition_id()).count()
+        assert max(r["count"] for r in placed.collect()) < 600
     finally:
-        for key, value in before.items():
-            spark.conf.set(key, value)
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
