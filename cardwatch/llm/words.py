@@ -13,7 +13,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 2 << 20
 CHUNK_BYTES = 1 << 20
 
 _SPACE = np.zeros(256, bool)
@@ -64,6 +64,31 @@ class Words:
         return at, mixed(total[at] + np.uint64(n))
 
 
+def joined(words: Words, keep: np.ndarray) -> pa.Array:
+    """The kept words of each text, joined by one blank."""
+    kept = np.flatnonzero(keep)
+    owner, length = words.text[kept], words.end[kept] - words.start[kept]
+    more = np.zeros(len(kept), np.int64)
+    more[:-1] = owner[:-1] == owner[1:]
+    total = np.concatenate(([0], np.cumsum(length + more)))
+    parts, at = [], 0
+    while at < len(kept):
+        to = max(at + 1, int(np.searchsorted(total, total[at] + CHUNK_BYTES, "right")) - 1)
+        size = (length + more)[at:to]
+        within = np.arange(int(size.sum())) - np.repeat(np.cumsum(size) - size, size)
+        blank = within == np.repeat(length[at:to], size)
+        source = within + np.repeat(words.start[kept[at:to]], size)
+        source[blank] = 0
+        letters = words.data[source]
+        letters[blank] = 0x20
+        parts.append(letters)
+        at = to
+    data = np.concatenate(parts) if parts else np.zeros(0, np.uint8)
+    offsets = total[np.searchsorted(owner, np.arange(len(words.first)), "left")]
+    return pa.Array.from_buffers(pa.large_binary(), len(offsets) - 1, [None, pa.py_buffer(offsets), pa.py_buffer(data)]) \
+        .cast(pa.string())
+
+
 def binary(column: pa.Array) -> pa.Array:
     """UTF-8 bytes of a text column; null counts as the empty text."""
     if isinstance(column, pa.ChunkedArray):
@@ -119,32 +144,25 @@ def slices(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
         at = to
 
 
-def minimisers(at: np.ndarray, grams: np.ndarray, text: np.ndarray, window: int) -> np.ndarray:
-    """Indices of the windows' smallest fingerprints, the leftmost among equals.
+def window_best(at: np.ndarray, grams: np.ndarray, text: np.ndarray, window: int) -> tuple[np.ndarray, np.ndarray]:
+    """For every gram, the index of the smallest among it and the next ``window - 1`` grams of its text (leftmost
+    among equals), and whether the text has so many grams; where it has fewer in all, its first gram counts as whole.
 
-    ``at`` are the start words of ``grams``. Every ``window`` consecutive grams of one text hold a chosen one;
-    a text with fewer grams gives its smallest.
+    ``at`` are the start words of ``grams``, ``text`` the text of every word.
     """
     if not len(at):
-        return np.zeros(0, np.int64)
+        return np.zeros(0, np.int64), np.zeros(0, bool)
     bounds = np.flatnonzero(np.diff(text[at], prepend=-1))
     lengths = np.diff(np.append(bounds, len(at)))
-    local = np.arange(len(at)) - np.repeat(bounds, lengths)
-    size = np.repeat(lengths, lengths)
+    last, size = np.repeat(bounds + lengths - 1, lengths), np.repeat(lengths, lengths)
     best, width = np.arange(len(at)), 1
-    values = grams
-
-    def smaller(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-        return np.where(values[b] < values[a], b, a)
-
-    # doubling: best[i] is the smallest of the next `width` grams of the text, as far as there are so many
-    while width < window:
+    while width < window:  # best covers `width` grams; two overlapping spans cover more
         step = min(width, window - width)
-        ahead = np.minimum(np.arange(len(at)) + step, np.repeat(bounds + lengths - 1, lengths))
-        best = smaller(best, best[ahead])
+        ahead = best[np.minimum(np.arange(len(at)) + step, last)]
+        best = np.where(grams[ahead] < grams[best], ahead, best)
         width += step
-    whole = local <= np.maximum(size - window, 0)
-    return np.unique(best[whole])
+    local = np.arange(len(at)) - np.repeat(bounds, lengths)
+    return best, local <= np.maximum(size - window, 0)
 
 
 def distinct(owner: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
