@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from cardwatch.llm import mixing
+from cardwatch.llm import mixing, quality, substring, warc
 from cardwatch.llm.catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -47,3 +48,51 @@ FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     mixed = mixing.mix(table(spark, sf_dir, "documents"), mixing.n_words("text"))
     return mixed.select("doc_id", "size", "source_size", "target", "taken")
+
+
+SUBSTRING_SQL = r"""
+WITH d AS (SELECT doc_id, coalesce(regexp_extract_all(text, '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+w AS (SELECT doc_id, p, array_to_string(ws[p:p + 12], ' ') AS win
+      FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 11)) AS p FROM d)),
+f AS (SELECT win, min(doc_id) AS least FROM w GROUP BY win),
+c AS (SELECT doc_id, list(DISTINCT p + k) AS gone
+      FROM (SELECT w.doc_id, w.p, unnest(range(13)) AS k FROM w JOIN f ON w.win = f.win AND w.doc_id > f.least)
+      GROUP BY doc_id),
+k AS (SELECT d.doc_id, len(ws) AS n_words, len(coalesce(gone, [])) AS n_removed,
+             CASE WHEN gone IS NULL THEN ws
+                  ELSE [ws[i] FOR i IN range(1, len(ws) + 1) IF NOT list_contains(gone, i)] END AS kept
+      FROM d LEFT JOIN c ON d.doc_id = c.doc_id)
+SELECT doc_id, CAST(n_words AS BIGINT) AS n_words, CAST(n_removed AS BIGINT) AS n_removed,
+       sha256(array_to_string(kept, ' ')) AS kept_sha256 FROM k
+"""
+
+
+@query("op9_substring_dedup", SUBSTRING_SQL)
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.remove_repeats(table(spark, sf_dir, "documents"), words=13).select(
+        "doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "UTF-8"), 256).alias("kept_sha256"))
+
+
+WARC_SQL = """
+WITH p AS (SELECT page_id, CAST(strlen(coalesce(html, '')) AS BIGINT) AS payload_bytes,
+                  sha256(coalesce(html, '')) AS payload_digest FROM pages),
+f AS (SELECT *, CASE WHEN payload_bytes >= 100 THEN min(page_id) OVER (PARTITION BY payload_digest) ELSE page_id END AS first
+      FROM p)
+SELECT page_id, payload_bytes, payload_digest, CASE WHEN first = page_id THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN first = page_id THEN NULL ELSE first END AS refers_to, true AS intact
+FROM f
+"""
+
+
+@query("op10_warc", WARC_SQL)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+@query("op8_quality")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"), usable=~quality.held_out())
+    return quality.scored(docs, model).select(
+        "doc_id", F.coalesce(quality.held_out(), F.lit(False)).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
