@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import mixing, quality, substring, warc
+from cardwatch.llm import (decontaminate, html_text, jaccard_join, line_templates, mixing, neighbours, quality, substring,
+                           suffixes, warc)
 from cardwatch.llm.catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -96,3 +97,106 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(docs, model).select(
         "doc_id", F.coalesce(quality.held_out(), F.lit(False)).alias("held_out"), "score",
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
+LINES_SQL = r"""
+WITH l AS (SELECT doc_id, pos, trim(regexp_replace(regexp_replace(raw, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'),
+                                                   '[\x20\x09-\x0D]+', ' ', 'g')) AS line
+           FROM (SELECT doc_id, unnest(ls) AS raw, unnest(range(len(ls))) AS pos
+                 FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))),
+t AS (SELECT *, string_split(line, ' ') AS ws, len(string_split(line, ' ')) AS n,
+             array_to_string(string_split(line, ' ')[1:3], ' ') AS lead FROM l WHERE line <> ''),
+f AS (SELECT t.* FROM t JOIN (SELECT n, lead FROM t WHERE n >= 2 GROUP BY n, lead HAVING count(DISTINCT doc_id) >= 5) x
+      ON t.n = x.n AND t.lead = x.lead),
+c AS (SELECT n, lead, line, count(DISTINCT doc_id) AS k FROM f GROUP BY n, lead, line),
+m AS (SELECT n, lead, string_split(line, ' ') AS main FROM c
+      QUALIFY row_number() OVER (PARTITION BY n, lead ORDER BY k DESC, line) = 1),
+o AS (SELECT f.doc_id, f.pos, f.n, f.lead,
+             CASE WHEN f.n <= 3 OR (list_sum([CASE WHEN ws[i] = main[i] THEN 1 ELSE 0 END FOR i IN range(1, f.n + 1)]) - 3)
+                                   / CAST(f.n - 3 AS DOUBLE) >= 0.7 THEN '' ELSE line END AS own
+      FROM f JOIN m ON f.n = m.n AND f.lead = m.lead),
+r AS (SELECT n, lead, own, min({'d': doc_id, 'p': pos}) AS first FROM o GROUP BY n, lead, own
+      HAVING count(DISTINCT doc_id) >= 5),
+g AS (SELECT o.doc_id, list(DISTINCT o.pos) AS gone
+      FROM o JOIN r ON o.n = r.n AND o.lead = r.lead AND o.own = r.own
+      WHERE {'d': o.doc_id, 'p': o.pos} <> r.first GROUP BY o.doc_id)
+SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
+       CAST(coalesce(len(g.gone), 0) AS BIGINT) AS n_dropped,
+       CASE WHEN g.gone IS NULL THEN d.text
+            ELSE coalesce(array_to_string([string_split(d.text, chr(10))[i + 1] FOR i IN range(len(string_split(d.text, chr(10))))
+                                           IF NOT list_contains(g.gone, i)], chr(10)), '') END AS text
+FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
+"""
+
+
+@query("op1_line_templates", LINES_SQL)
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_templates.drop_recurring(docs)
+
+
+LEAKS_SQL = r"""
+WITH a AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
+b AS (SELECT side, id, regexp_extract_all(lower(regexp_replace(regexp_replace(
+               text, '([^.!?\x20\x09-\x0D] )(\p{Lu}\p{Ll}+)', '\1' || chr(1) || '\2', 'g'),
+               '([^.!?\x20\x09-\x0D] )(\p{Lu}\p{Ll}+)', '\1' || chr(1) || '\2', 'g')), chr(1) || '?[\p{L}\p{N}]+') AS ws FROM a),
+k AS (SELECT side, id, ws, [(t < ':' OR list_contains([UNITS], t)) FOR t IN ws] AS slot,
+             [CASE WHEN t < '0' THEN '<name>' WHEN t < ':' THEN '<number>' WHEN list_contains([UNITS], t) THEN '<unit>' ELSE t END FOR t IN ws] AS ts
+      FROM b WHERE len(ws) >= 8),
+w AS (SELECT side, id, pos, array_to_string(ts[pos:pos + 7], ' ') AS win, len([s FOR s IN slot[pos:pos + 7] IF NOT s]) AS plain
+      FROM (SELECT side, id, ts, slot, unnest(range(1, len(ts) - 6)) AS pos FROM k)),
+h AS (SELECT d.id AS doc_id, i.id AS item_id, d.pos - i.pos AS shift, list(DISTINCT i.pos) AS places
+      FROM w d JOIN w i ON d.win = i.win WHERE d.side = 'd' AND i.side = 'i' AND i.plain >= 4 GROUP BY ALL),
+c AS (SELECT doc_id, item_id, shift, list_distinct(flatten([range(x, x + 8) FOR x IN places])) AS cov FROM h),
+p AS (SELECT c.doc_id, c.item_id, cov, len(i.ws) AS n,
+             list_distinct([{'i': i.ws[x], 'd': d.ws[x + shift]} FOR x IN cov IF i.slot[x]]) AS pairs
+      FROM c JOIN k i ON i.side = 'i' AND i.id = c.item_id JOIN k d ON d.side = 'd' AND d.id = c.doc_id)
+SELECT doc_id, item_id, CAST(len(list_distinct(flatten(list(cov)))) AS BIGINT) AS n_covered, CAST(max(n) AS BIGINT) AS n_item_words
+FROM p WHERE len(list_distinct([q.i FOR q IN pairs])) = len(pairs) AND len(list_distinct([q.d FOR q IN pairs])) = len(pairs)
+GROUP BY doc_id, item_id
+HAVING len(list_distinct(flatten(list(cov)))) >= least(13, max(n))
+""".replace("UNITS", ", ".join(f"'{unit}'" for unit in decontaminate.UNITS))
+
+
+@query("op6_decontaminate", LEAKS_SQL)
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+JACCARD_SQL = r"""
+WITH RECURSIVE d AS (
+  SELECT doc_id, coalesce(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                             '[^\x20\x09-\x0D]+'), []) AS ws FROM documents),
+s AS (SELECT doc_id, CASE WHEN len(ws) >= 3 THEN list_distinct([array_to_string(ws[i:i + 2], ' ') FOR i IN range(1, len(ws) - 1)])
+                          WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS ss FROM d),
+n AS (SELECT doc_id, CAST(len(ss) AS BIGINT) AS n_shingles FROM s),
+u AS (SELECT doc_id, unnest(ss) AS sh FROM s),
+c AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS k FROM u a JOIN u b ON a.sh = b.sh AND a.doc_id < b.doc_id GROUP BY ALL),
+l AS (SELECT x, y FROM c JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y
+      WHERE 100 * k >= 90 * (a.n_shingles + b.n_shingles - k)),
+e AS (SELECT x, y FROM l UNION ALL SELECT y, x FROM l),
+r(x, y) AS (SELECT doc_id, doc_id FROM d UNION SELECT r.x, e.y FROM r JOIN e ON r.y = e.x)
+SELECT r.x AS doc_id, any_value(n.n_shingles) AS n_shingles, min(r.y) AS component_id
+FROM r JOIN n ON n.doc_id = r.x GROUP BY r.x
+"""
+
+
+@query("op7_jaccard_join", JACCARD_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.grouped(table(spark, sf_dir, "documents"), size=3, share=90)
+
+
+@query("op3_suffix_array")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.repeats(table(spark, sf_dir, "documents"))
+
+
+@query("op4_html_text")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_text.extracted(pages, html_text.train(pages)).withColumn("n_chars", F.length("text").cast("bigint"))
+
+
+@query("op5_nearest")
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("_id") % 20 == 0, k=20)
