@@ -28,6 +28,15 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that no later step reads, so that disk use does not add up over the steps."""
+    for table in tables:
+        spark = table.sparkSession
+        for place in {file.rsplit("/", 1)[0] for file in table.inputFiles()}:
+            path = spark._jvm.org.apache.hadoop.fs.Path(place)
+            path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def folder(spark: SparkSession, label: str) -> str:
     return fresh_path(spark, label)
 
