@@ -1,6 +1,6 @@
 """Line dedup by a fixed-depth template tree: number of tokens, leading tokens, then templates at the leaf.
 
-Tokens with a digit are variable fields from the start. A line descends by its number of tokens and its first
+Tokens with a digit are variable fields from the start, unless more than half of a line's tokens are. A line descends by its number of tokens and its first
 ``depth`` tokens to a leaf. The leaf's most frequent line is its main template; lines of the leaf that agree with it on
 at least ``similarity`` of the tokens behind the leading ones belong to it, whatever stands in their differing fields.
 Every other line of the leaf is a template of its own. A template found in at least ``least_docs`` documents recurs:
@@ -28,16 +28,27 @@ FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
 SPACE = r"[\x20\x09-\x0D]+"
 
 
+def plain(line: Column) -> Column:
+    """Tokens of the line joined by one blank."""
+    return F.trim(F.regexp_replace(line, SPACE, " "))
+
+
+def n_tokens(line: Column) -> Column:
+    return F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1
+
+
 def masked(line: Column) -> Column:
-    """Tokens of the line joined by one blank, those with a digit as <*>."""
-    return F.trim(F.regexp_replace(F.regexp_replace(line, FIELD, "<*>"), SPACE, " "))
+    """The plain line with <*> for tokens with a digit, unless these are most of it and would leave no template."""
+    found = plain(F.regexp_replace(line, FIELD, "<*>"))
+    fields = F.length(found) - F.length(F.replace(found, F.lit("<*>")))
+    return F.when(fields * 2 > n_tokens(found) * 3, plain(line)).otherwise(found)
 
 
 def lines(docs: DataFrame, key: str, text: str, depth: int, least_tokens: int) -> DataFrame:
     """(_id, _pos, _leaf, _line) of every line with enough tokens."""
     rows = docs.select(F.col(key).alias("_id"), F.posexplode(F.split(F.col(text), "\n")).alias("_pos", "_raw"))
     rows = rows.select("_id", "_pos", masked(F.col("_raw")).alias("_line"))
-    tokens = F.length("_line") - F.length(F.replace("_line", F.lit(" "))) + 1
+    tokens = n_tokens(F.col("_line"))
     return (rows.where((F.col("_line") != "") & (tokens >= least_tokens))
             .select("_id", "_pos", F.xxhash64(tokens, F.substring_index("_line", " ", depth)).alias("_leaf"), "_line"))
 
@@ -71,13 +82,13 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", dep
                  .where(F.col("_n") >= least_docs).select("_leaf", "_own", "_first"))
     recurring = staged(recurring, "recurring")
     gone = (found.join(recurring, ["_leaf", "_own"]).where(place != F.col("_first")).groupBy("_id")
-            .agg(F.collect_set("_pos").alias("_gone")))
-    gone = staged(gone, "dropped-lines").withColumnRenamed("_id", "_gone_id")
+            .agg(F.collect_set("_pos").alias("__gone")))
+    gone = staged(gone, "dropped-lines").withColumnRenamed("_id", "__gone_id")
     parts = F.split(F.col(text), "\n")
-    kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("_gone")))
+    kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone")))
     left = F.array_join(F.transform(kept, lambda i: F.element_at(parts, i + 1)), "\n")
-    there = F.col("_gone").isNotNull() & F.col(text).isNotNull()
-    return (docs.join(gone, F.col(key).eqNullSafe(F.col("_gone_id")), "left")
+    there = F.col("__gone").isNotNull() & F.col(text).isNotNull()
+    return (docs.join(gone, F.col(key).eqNullSafe(F.col("__gone_id")), "left")
             .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size(parts)).cast("bigint"))
             .withColumn("n_dropped", F.when(there, F.col("n_lines") - F.size(kept)).otherwise(0).cast("bigint"))
-            .withColumn(text, F.when(there, left).otherwise(F.col(text))).drop("_gone", "_gone_id"))
+            .withColumn(text, F.when(there, left).otherwise(F.col(text))).drop("__gone", "__gone_id"))
