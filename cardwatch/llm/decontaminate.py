@@ -78,6 +78,23 @@ def windows(words: Column, sizes: list[int]) -> Column:
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
           item_text: str = "text", window: int = 8, least_words: int = 13, shortest: int = 5) -> DataFrame:
     """(key, item, n_covered, n_item_words) for every item that a document contains."""
+    return (_matches(docs, items, key, text, item, item_text, window, least_words, shortest)
+            .groupBy(F.col("_id").alias(key), F.col("_item").alias(item))
+            .agg(F.max("n_covered").cast("bigint").alias("n_covered"),
+                 F.max("_length").cast("bigint").alias("n_item_words")))
+
+
+def clean(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
+          item_text: str = "text", window: int = 8, least_words: int = 13, shortest: int = 5) -> DataFrame:
+    """The rows that contain no item."""
+    found = _matches(docs, items, key, text, item, item_text, window, least_words, shortest)
+    found = staged(found.select(F.col("_id").alias("__id"), F.col("_own").alias("__own")).distinct(), "contaminated")
+    return docs.join(found, docs[key].eqNullSafe(F.col("__id")) & (F.xxhash64(docs[text]) == F.col("__own")), "left_anti")
+
+
+def _matches(docs: DataFrame, items: DataFrame, key: str, text: str, item: str, item_text: str, window: int,
+             least_words: int, shortest: int) -> DataFrame:
+    """(_id, _own, _item, _length, n_covered); _own tells rows with equal ids apart by their text."""
     known = items.select(F.col(item).alias("_item"), tokens(item_text).alias("_item_words")).withColumn(
         "_length", F.size("_item_words")).where(F.col("_length") >= shortest)
     known = staged(known, "items")
@@ -116,7 +133,4 @@ def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "t
                   & (F.size(F.array_distinct(F.col("_pairs.doc"))) == F.size("_pairs")))
     return (both.where(one_to_one).groupBy("_id", "_own", "_item", "_length")
             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("_covered")))).alias("n_covered"))
-            .where(F.col("n_covered") >= F.least(F.lit(least_words), F.col("_length")))
-            .groupBy(F.col("_id").alias(key), F.col("_item").alias(item))
-            .agg(F.max("n_covered").cast("bigint").alias("n_covered"),
-                 F.max("_length").cast("bigint").alias("n_item_words")))
+            .where(F.col("n_covered") >= F.least(F.lit(least_words), F.col("_length"))))

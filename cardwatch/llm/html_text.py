@@ -104,13 +104,13 @@ def train(pages: DataFrame, key: str = "page_id", source: str = "html", max_page
 def extracted(pages: DataFrame, trees: Trees, source: str = "html", text: str = "text") -> DataFrame:
     """All rows and columns except the page itself, with its main text."""
     columns = [c for c in pages.columns if c not in (source, text)]
-    rest = pages.select(*columns, F.col(source).alias("_html"))
+    rest = pages.select(*columns, F.col(source).alias("__html"))
     schema = T.StructType([*pages.select(*columns).schema.fields, T.StructField(text, T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in W.slices(whole, "_html"):
-                found = [Page(s or "") for s in batch.column("_html").to_pylist()]
+            for batch in W.slices(whole, "__html"):
+                found = [Page(s or "") for s in batch.column("__html").to_pylist()]
                 rows = [p.features() for p in found]
                 chance = trees.chance(np.asarray([r for own in rows for r in own], float).reshape(-1, N_FEATURES)).tolist()
                 texts, at = [], 0

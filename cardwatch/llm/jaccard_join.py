@@ -192,6 +192,6 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
 def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, share: int = 80) -> DataFrame:
     """The documents that name their group: one of each, and all without shingles or without an id."""
     gone = grouped(docs, key, text, size, share).where(F.col(key) != F.col("component_id")).select(
-        F.col(key).alias("_gone")).distinct()
+        F.col(key).alias("__gone")).distinct()
     gone = staged(gone, "near-copies")
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    return docs.join(gone, F.col(key) == F.col("__gone"), "left_anti")

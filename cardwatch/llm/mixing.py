@@ -11,7 +11,7 @@ by a histogram of hash prefixes per source, then by the rows of the one prefix w
 is ever sorted or gathered as a whole, and documents themselves are not shuffled.
 
 Defined cases: null text has size 0; a null source is a source of its own; a null key hashes as a fixed text; repeated
-rows share their hash and are taken together; an empty table gives an empty result; sources of size 0 have target 0.
+rows share their hash and are taken together; an empty table gives an empty result; sources of size 0 have target 0; columns named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -119,9 +119,9 @@ def mix(docs: DataFrame, size: Column, key: str = "doc_id", source: str = "sourc
                                .alias("_last"),
                                F.min(F.shiftleft("_p", HASH_BITS - PREFIX_BITS) - 1).alias("_none")))
     last = staged(last.select("_s", F.coalesce("_last", "_none").alias("_last")), "mix-last")
-    plan = plan.join(last, same("_source", "_s"), "left").select(
-        F.col("_source").alias("_k"), "source_size", "target", "whole", F.coalesce("_last", F.lit(-1)).alias("_last"))
-    plan = staged(plan, "mix-sources")
-    return (docs.withColumn("size", size).withColumn("_u", seeded(key, seed)).join(plan, same(source, "_k"))
-            .withColumn("repeats", F.col("whole") + (F.col("_u") <= F.col("_last")).cast("int"))
-            .withColumn("taken", F.col("size") * F.col("repeats")).drop("_k", "_u", "whole", "_last"))
+    plan = staged(plan.join(last, same("_source", "_s"), "left").select(
+        F.col("_source").alias("__source"), "source_size", "target", F.col("whole").alias("__whole"),
+        F.coalesce("_last", F.lit(-1)).alias("__last")), "mix-sources")
+    return (docs.withColumn("size", size).withColumn("__hash", seeded(key, seed)).join(plan, same(source, "__source"))
+            .withColumn("repeats", F.col("__whole") + (F.col("__hash") <= F.col("__last")).cast("int"))
+            .withColumn("taken", F.col("size") * F.col("repeats")).drop("__source", "__hash", "__whole", "__last"))

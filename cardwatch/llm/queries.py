@@ -100,10 +100,13 @@ def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 LINES_SQL = r"""
-WITH l AS (SELECT doc_id, pos, trim(regexp_replace(regexp_replace(raw, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'),
-                                                   '[\x20\x09-\x0D]+', ' ', 'g')) AS line
+WITH p AS (SELECT doc_id, pos, trim(regexp_replace(raw, '[\x20\x09-\x0D]+', ' ', 'g')) AS plain,
+                  trim(regexp_replace(regexp_replace(raw, '[^\x20\x09-\x0D]*[0-9][^\x20\x09-\x0D]*', '<*>', 'g'),
+                                      '[\x20\x09-\x0D]+', ' ', 'g')) AS masked
            FROM (SELECT doc_id, unnest(ls) AS raw, unnest(range(len(ls))) AS pos
                  FROM (SELECT doc_id, string_split(text, chr(10)) AS ls FROM documents))),
+l AS (SELECT doc_id, pos, CASE WHEN 2 * (length(masked) - length(replace(masked, '<*>', ''))) > 3 * len(string_split(masked, ' '))
+                               THEN plain ELSE masked END AS line FROM p),
 t AS (SELECT *, string_split(line, ' ') AS ws, len(string_split(line, ' ')) AS n,
              array_to_string(string_split(line, ' ')[1:3], ' ') AS lead FROM l WHERE line <> ''),
 f AS (SELECT t.* FROM t JOIN (SELECT n, lead FROM t WHERE n >= 2 GROUP BY n, lead HAVING count(DISTINCT doc_id) >= 5) x
