@@ -3,8 +3,11 @@ import sys
 
 import pytest
 
-sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+sys.path.insert(0, ROOT)
 sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
+# also for the Python workers
+os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [ROOT, os.environ.get("PYTHONPATH")]))
 
 from cardwatch.session import build_session  # noqa: E402
 
@@ -13,9 +16,10 @@ MEDIUM = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = build_session("tests", "local[8]", 4, **{"spark.driver.memory": "6g",
-                                                       "spark.ui.showConsoleProgress": "false"})
+def spark(tmp_path_factory):
+    session = build_session("tests", "local[8]", 4, **{
+        "spark.driver.memory": "6g", "spark.ui.showConsoleProgress": "false",
+        "spark.checkpoint.dir": f"file://{tmp_path_factory.mktemp('shared')}"})
     session.sparkContext.setLogLevel("ERROR")
     return session
 
