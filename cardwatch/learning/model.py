@@ -29,8 +29,8 @@ SEED = 42
 def prepare(df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL) -> DataFrame:
     """Time features, numeric flags, filled gaps and the label; absent numeric columns become 0."""
     timed = df.withColumns({"hour": times.hour_of_day(), "day_of_week": times.day_of_week(),
-                            "is_international_num": F.col("is_international").cast("int")})
-    numbers = {c: (F.col(c) if c in timed.columns else F.lit(0.0)).cast("double") for c in numeric}
+                            "is_international_num": F.coalesce(F.col("is_international").cast("int"), F.lit(0))})
+    numbers = {c: F.nanvl((F.col(c) if c in timed.columns else F.lit(0.0)).cast("double"), F.lit(0.0)) for c in numeric}
     filled = shape.fill_missing(timed.withColumns(numbers), numeric, categorical)
     return filled.withColumn("label", F.col("is_fraud").cast("double"))
 
@@ -40,7 +40,7 @@ def feature_stages(one_hot: bool = True, numeric: Sequence[str] = NUMERIC,
     """Index, encode (optional), assemble and standardise."""
     indexers = [StringIndexer(inputCol=c, outputCol=f"{c}_index", handleInvalid="keep") for c in categorical]
     numbers = VectorAssembler(inputCols=[*numeric, "is_international_num"], outputCol="numeric_features",
-                              handleInvalid="skip")
+                              handleInvalid="keep")
     scaler = StandardScaler(inputCol="numeric_features", outputCol="scaled_features", withStd=True, withMean=True)
     suffix, encoders = "index", []
     if one_hot:
@@ -48,7 +48,7 @@ def feature_stages(one_hot: bool = True, numeric: Sequence[str] = NUMERIC,
         encoders = [OneHotEncoder(inputCols=[f"{c}_index" for c in categorical],
                                   outputCols=[f"{c}_vec" for c in categorical])]
     last = VectorAssembler(inputCols=[*(f"{c}_{suffix}" for c in categorical), "scaled_features"],
-                           outputCol="features", handleInvalid="skip")
+                           outputCol="features", handleInvalid="keep")
     return [*indexers, *encoders, numbers, scaler, last]
 
 

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from cardwatch.functions import numbers, times
 from cardwatch.functions.numbers import CENTS, count_if, mean, percent, ratio, total, total_if, whole_div
+from cardwatch.operators.shape import join_null_safe
 from cardwatch.operators.timeline import Timeline
 
 
@@ -180,37 +181,38 @@ def percentiles(df: DataFrame, by: str = "merchant_category", accuracy: int = 10
     return sketch.select(by, *[F.col("_q")[i].alias(name) for i, name in enumerate(QUANTILES)], "max_amount")
 
 
-def percentiles_exact(df: DataFrame, by: str = "merchant_category", hundredths: dict[str, int] | None = None,
-                      block_cents: int = 10_000) -> DataFrame:
+def percentiles_exact(df: DataFrame, by: str | Sequence[str] = "merchant_category",
+                      hundredths: dict[str, int] | None = None, block_cents: int = 10_000) -> DataFrame:
     """Exact percentiles: the smallest amount that at least the given share of the rows does not exceed.
 
     Works on counts per amount, ranked first in blocks of amounts and then within
     the block, so the rows of a large category never meet in one task.
     """
+    by = [by] if isinstance(by, str) else list(by)
     wanted = hundredths or {name: round(q * 100) for name, q in QUANTILES.items()}
-    counts = df.groupBy(by, CENTS).agg(rows().alias("_n")).withColumn(
+    counts = df.groupBy(*by, CENTS).agg(rows().alias("_n")).withColumn(
         "_block", whole_div(F.col(CENTS), F.lit(block_cents)))
-    lower = Window.partitionBy(by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    blocks = counts.groupBy(by, "_block").agg(F.sum("_n").alias("_rows")).select(
-        by, "_block", F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_below"),
-        F.sum("_rows").over(Window.partitionBy(by)).alias("_all"))
-    inside = Window.partitionBy(by, "_block").orderBy(CENTS).rowsBetween(Window.unboundedPreceding, 0)
-    ranked = (counts.withColumn("_upto", F.sum("_n").over(inside)).join(blocks, [by, "_block"])
-              .withColumn("_upto", F.col("_upto") + F.col("_below")))
+    lower = Window.partitionBy(*by).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
+    blocks = counts.groupBy(*by, "_block").agg(F.sum("_n").alias("_rows")).select(
+        *by, "_block", F.coalesce(F.sum("_rows").over(lower), F.lit(0)).alias("_below"),
+        F.sum("_rows").over(Window.partitionBy(*by)).alias("_all"))
+    inside = Window.partitionBy(*by, "_block").orderBy(CENTS).rowsBetween(Window.unboundedPreceding, 0)
+    ranked = join_null_safe(counts.withColumn("_upto", F.sum("_n").over(inside)), blocks, [*by, "_block"])
+    ranked = ranked.withColumn("_upto", F.col("_upto") + F.col("_below"))
     at = {name: whole_div(F.col("_all") * q + 99, F.lit(100)) for name, q in wanted.items()}
-    return ranked.groupBy(by).agg(
+    return ranked.groupBy(*by).agg(
         *[numbers.money(F.min(F.when(F.col("_upto") >= position, F.col(CENTS)))).alias(name)
           for name, position in at.items()], numbers.money(F.max(CENTS)).alias("max_amount"))
 
 
-def segments(scored: DataFrame, accuracy: int = 10_000) -> DataFrame:
-    hit = F.col("is_fraud_predicted")
-    out = scored.groupBy("merchant_category", "channel", "risk_level").agg(
+def segments(scored: DataFrame) -> DataFrame:
+    """Figures per segment with exact median and 95th percentile."""
+    hit, keys = F.col("is_fraud_predicted"), ["merchant_category", "channel", "risk_level"]
+    out = scored.groupBy(*keys).agg(
         rows().alias("transaction_count"), total().alias("total_volume"), mean().alias("avg_amount"),
-        F.percentile_approx("amount", [0.5, 0.95], accuracy).alias("_q"), count_if(hit).alias("fraud_count"),
-        mean_score().alias("avg_fraud_score"))
-    return out.withColumns({"median_amount": F.col("_q")[0], "p95_amount": F.col("_q")[1]}).drop("_q").orderBy(
-        "merchant_category", "channel", "risk_level")
+        count_if(hit).alias("fraud_count"), mean_score().alias("avg_fraud_score"))
+    exact = percentiles_exact(scored, keys, {"median_amount": 50, "p95_amount": 95}).drop("max_amount")
+    return join_null_safe(out, exact, keys).orderBy(*keys)
 
 
 def geography(scored: DataFrame) -> DataFrame:

@@ -26,14 +26,27 @@ def latest_ms(df: DataFrame) -> Column:
 
 
 def last_days(df: DataFrame, days: int, as_of: Column | None = None) -> DataFrame:
-    """Rows dated at most ``days`` days before the day of ``as_of`` (a date column expression)."""
+    """Rows of the day of ``as_of`` (a date column expression) and of ``days`` days before it.
+
+    The bounds are on the time itself, and on the date column where a table has one, so files and folders outside
+    are not read.
+    """
     today = F.to_date(F.timestamp_millis(latest_ms(df))) if as_of is None else as_of
-    return df.where(times.event_date() >= F.date_sub(today, days))
+    first, time = F.date_sub(today, days), F.col("timestamp_ms")
+    out = df.where((time >= _midnight(first)) & (time < _midnight(F.date_add(today, 1))))
+    if "transaction_date" in df.columns:
+        out = out.where(F.col("transaction_date").between(first, today))
+    return out
+
+
+def _midnight(date: Column) -> Column:
+    """First millisecond of a day, UTC."""
+    return F.unix_date(date).cast("bigint") * 86_400_000
 
 
 def last_ms(df: DataFrame, ms: int, as_of_ms: Column | None = None) -> DataFrame:
     now = latest_ms(df) if as_of_ms is None else as_of_ms
-    return df.where(F.col("timestamp_ms") > now - ms)
+    return df.where((F.col("timestamp_ms") > now - ms) & (F.col("timestamp_ms") <= now))
 
 
 def high_risk_list(df: DataFrame) -> DataFrame:

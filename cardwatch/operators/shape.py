@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -135,6 +136,13 @@ def alerts_only(scored: DataFrame) -> DataFrame:
     return scored.where(F.col("alert_required"))
 
 
+def join_null_safe(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join in which null keys match each other; the keys of the left side are kept."""
+    named = right.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    on = reduce(lambda a, b: a & b, [left[k].eqNullSafe(named[f"_same_{k}"]) for k in keys])
+    return left.join(named, on, how).drop(*[f"_same_{k}" for k in keys])
+
+
 def fill_missing(df: DataFrame, numeric: Sequence[str], categorical: Sequence[str]) -> DataFrame:
     return df.na.fill(0.0, list(numeric)).na.fill("UNKNOWN", list(categorical))
 

@@ -12,6 +12,9 @@ from pyspark.sql import functions as F
 from cardwatch.sources import writers
 
 
+ARCHIVED = "cardwatch.archived-before"
+
+
 def partition_filter(spec: dict[str, str]) -> str:
     return " AND ".join(f"`{k}` = '{v}'" for k, v in spec.items())
 
@@ -28,28 +31,48 @@ def archive_before(spark: SparkSession, table: str, archive_path: str, date_colu
     old = spark.table(table).where(F.col(date_column) < F.lit(before).cast("date"))
     (writers.balanced(old, [date_column]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_column).parquet(archive_path))
+    # remembered, as a later repair finds the files of these days again
+    spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{ARCHIVED}' = '{date_column}={before}')")
+    _forget_archived(spark, table)
+
+
+def _forget_archived(spark: SparkSession, table: str) -> None:
+    """Drops catalog entries of archived days, in statements of many partitions."""
+    mark = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(ARCHIVED)
+    if not mark:
+        return
+    date_column, before = mark.split("=", 1)
+    old = []
     for row in spark.sql(f"SHOW PARTITIONS {table}").collect():  # catalog entries, not data
         spec = dict(part.split("=", 1) for part in row[0].split("/"))
         if spec[date_column] < before:
-            spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({_partition_sql(spec)})")
+            old.append(f"PARTITION ({_partition_sql(spec)})")
+    for i in range(0, len(old), 500):
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(old[i:i + 500])}")
 
 
 def compact_partition(spark: SparkSession, table: str, spec: dict[str, str], new_path: str,
                       file_bytes: int = 128 * 2 ** 20) -> None:
     """Rewrites one partition into files of about ``file_bytes`` and points the partition to them."""
     rows = spark.table(table).where(partition_filter(spec)).drop(*spec)
-    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", str(file_bytes))
+    wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
+              "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
+    before = {key: spark.conf.get(key, None) for key in wanted}
+    for key, value in wanted.items():
+        spark.conf.set(key, value)
     try:
         rows.hint("rebalance").write.mode("errorifexists").parquet(new_path)
     finally:
-        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     spark.sql(f"ALTER TABLE {table} PARTITION ({_partition_sql(spec)}) SET LOCATION '{new_path}'")
     spark.sql(f"REFRESH TABLE {table}")
 
 
 def refresh(spark: SparkSession, table: str, statistics: bool = True) -> None:
-    """Finds new partitions and renews the statistics the optimizer uses."""
+    """Finds new partitions, leaves archived ones out, and renews the statistics the optimizer uses."""
     spark.sql(f"MSCK REPAIR TABLE {table}")
+    _forget_archived(spark, table)
     spark.sql(f"REFRESH TABLE {table}")
     if statistics:
         spark.sql(f"ANALYZE TABLE {table} COMPUTE STATISTICS FOR ALL COLUMNS")

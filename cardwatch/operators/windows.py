@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from cardwatch.functions import numbers, rules, times
 from cardwatch.functions.numbers import CENTS, money, whole_div
 from cardwatch.operators import shape
+from cardwatch.operators.shape import join_null_safe
 from cardwatch.operators.spread import join_per_key
 from cardwatch.operators.timeline import Timeline
 
@@ -178,10 +179,10 @@ def rankings(df: DataFrame, by: str = "merchant_category", top: int = 10) -> Dat
                       F.sum("_rows").over(everything).alias("_all")))
     inside = Window.partitionBy(by, "_block").orderBy(F.desc(CENTS)).rowsBetween(Window.unboundedPreceding, -1)
     ranks = (histogram.withColumn("_before", F.coalesce(F.sum("_n").over(inside), F.lit(0)))
-             .join(blocks, [by, "_block"])
+             .transform(lambda h: join_null_safe(h, blocks, [by, "_block"]))
              .select(by, CENTS, (F.col("_above") + F.col("_before") + 1).alias("rank_in_category"), "_all"))
     place = F.col("rank_in_category") - 1
-    return df.join(ranks, [by, CENTS]).withColumns({
+    return join_null_safe(df, ranks, [by, CENTS]).withColumns({
         "percentile_in_category": F.when(F.col("_all") == 1, F.lit(0.0)).otherwise(
             place / F.nullif(F.col("_all") - 1, F.lit(0))),
         "is_top_transaction": F.col("rank_in_category") <= top,

@@ -192,7 +192,7 @@ def _(spark, sf):
 @query("percentiles", f"""SELECT merchant_category, {', '.join(f"quantile_disc(amount, {q}) AS {name}"
     for name, q in agg.QUANTILES.items())}, MAX(amount) AS max_amount FROM tx GROUP BY merchant_category""")
 def _(spark, sf):
-    return agg.percentiles(tx(spark, sf))
+    return agg.percentiles_exact(tx(spark, sf))
 
 
 @query("percentiles_exact", f"""SELECT merchant_category, {', '.join(
@@ -203,6 +203,14 @@ def _(spark, sf):
     return agg.percentiles_exact(tx(spark, sf))
 
 
+@query("percentiles_without_category", f"""SELECT CASE WHEN timestamp_ms % 3 > 0 THEN merchant_category END AS merchant_category,
+    {', '.join(f"quantile_disc(amount, {q}) AS {name}" for name, q in agg.QUANTILES.items())}, MAX(amount) AS max_amount
+    FROM tx GROUP BY 1""")
+def _(spark, sf):
+    """Exact percentiles where a category can be missing."""
+    return agg.percentiles_exact(tx(spark, sf).withColumn("merchant_category", F.when(F.col("timestamp_ms") % 3 > 0, F.col("merchant_category"))))
+
+
 @query("segment_analysis", f"""SELECT merchant_category, channel, risk_level, {N} AS transaction_count,
     {TOTAL} AS total_volume, {MEAN} AS avg_amount, {HITS} AS fraud_count, {SCORE} AS avg_fraud_score,
     quantile_disc(amount, 0.5) AS median_amount, quantile_disc(amount, 0.95) AS p95_amount FROM scored

@@ -132,6 +132,7 @@ def _(spark, sf):
     dated = tx(spark, sf).withColumn("transaction_date", times.event_date())
     writers.write_table(dated, name, fresh_path(spark, "days"), ["transaction_date"])
     upkeep.archive_before(spark, name, archive, "transaction_date", "2024-01-11")
+    upkeep.refresh(spark, name)
     places = [spark.read.parquet(archive).select(F.lit("archive").alias("place"), "transaction_date"),
               spark.table(name).select(F.lit("table").alias("place"), "transaction_date")]
     return shape.union_batches(places).groupBy("place", "transaction_date").agg(
@@ -209,11 +210,13 @@ def _(spark, sf):
 
 
 @query("daily_report", f"""SELECT {N} AS total_transactions, COUNT(*) FILTER (WHERE is_fraud_predicted) AS frauds_detected,
-    (SELECT COUNT(*) FROM scored WHERE is_fraud_predicted AND is_fraud) AS true_positives FROM scored
+    COUNT(*) FILTER (WHERE is_fraud_predicted AND is_fraud) AS true_positives,
+    COUNT(*) FILTER (WHERE is_fraud_predicted AND NOT is_fraud) AS false_positives,
+    COUNT(*) FILTER (WHERE NOT is_fraud_predicted AND is_fraud) AS false_negatives FROM scored
     WHERE {DATE} >= (SELECT MAX({DATE}) FROM tx)""")
 def _(spark, sf):
-    """End-of-day figures next to the confusion counts of the rules."""
-    rows = scored(spark, sf)
-    quality = dashboards.confusion(rows).select("true_positives")
+    """End-of-day figures of the last day next to the confusion counts of the rules on that day."""
+    rows = dashboards.last_days(scored(spark, sf), 0)
+    quality = dashboards.confusion(rows)
     day = dashboards.end_of_day(rows).select("total_transactions", "frauds_detected")
-    return day.withColumn("true_positives", quality.scalar())
+    return day.withColumns({c: quality.select(c).scalar() for c in ("true_positives", "false_positives", "false_negatives")})

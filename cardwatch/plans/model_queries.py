@@ -27,8 +27,8 @@ def prepared(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
 
 CLASSIFIERS = {
     "logistic_regression": lambda: model.logistic_regression(),
-    "random_forest": lambda: model.random_forest(trees=50),
-    "boosted_trees": lambda: model.boosted_trees(iterations=10),
+    "random_forest": lambda: model.random_forest(),
+    "boosted_trees": lambda: model.boosted_trees(),
 }
 
 
@@ -47,23 +47,22 @@ def _(spark, sf):
 @query("ml_best")
 def _(spark, sf):
     train, test = prepared(spark, sf)
-    names = ("logistic_regression", "random_forest")
-    return model.best([model.evaluate(model.train(train, CLASSIFIERS[n](), prepared=True).transform(test), n)
-                       for n in names])
+    return model.best([model.evaluate(model.train(train, make(), prepared=True).transform(test), name)
+                       for name, make in CLASSIFIERS.items()])
 
 
 @query("ml_predict")
 def _(spark, sf):
     """All rows scored by a forest trained on the training part, index-only features."""
     train, test = prepared(spark, sf)
-    fitted = model.train(train, model.random_forest(50, min_rows=5, subset="sqrt"), one_hot=False, prepared=True)
+    fitted = model.train(train, model.random_forest(min_rows=5, subset="sqrt"), one_hot=False, prepared=True)
     return model.predict(fitted, train.unionByName(test), prepared=True)
 
 
 @query("ml_importance")
 def _(spark, sf):
     train, _ = prepared(spark, sf)
-    fitted = model.train(train, model.random_forest(50), prepared=True)
+    fitted = model.train(train, model.random_forest(), prepared=True)
     return model.importance(spark, fitted, fitted.transform(train))
 
 
@@ -91,7 +90,7 @@ def _(spark, sf):
 
 @query("ml_cross_validate")
 def _(spark, sf):
-    """Mean area under ROC per parameter set, two folds."""
+    """Mean area under ROC per parameter set, five folds."""
     train, _ = prepared(spark, sf)
-    search = model.cross_validate(train, folds=2, prepared=True)
+    search = model.cross_validate(train, prepared=True)
     return model.search_results(spark, search)

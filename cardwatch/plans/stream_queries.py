@@ -146,6 +146,18 @@ def _(spark, sf):
         "customer_id", "session_start", "c.category", "c.row_count")
 
 
+@query("win_session_any_category", SESSION[:SESSION.index("SELECT * EXCLUDE")] + """SELECT m.customer_id, s.session_start,
+    CASE WHEN timestamp_ms % 5 = 0 THEN NULL WHEN timestamp_ms % 5 = 1 THEN 'ATM' ELSE merchant_category END AS category,
+    COUNT(*) AS row_count FROM marked m JOIN sessions s USING (customer_id, session) GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    """Sessions over categories that no list names, and over missing ones."""
+    kind = F.col("timestamp_ms") % 5
+    rows = tx(spark, sf).withColumn("merchant_category", F.when(kind == 1, "ATM").when(kind != 0, F.col("merchant_category")))
+    out = windows.sessions_batch(timed(rows))
+    return out.select("customer_id", "session_start", F.explode("merchant_categories").alias("c")).select(
+        "customer_id", "session_start", "c.category", "c.row_count")
+
+
 @query("win_session_stream", SESSION + f" WHERE session_end {CLOSED}")
 def _(spark, sf):
     return written(spark, windows.sessions(transactions(spark, sf)).drop("merchant_categories"))

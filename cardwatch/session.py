@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -44,19 +43,9 @@ def build_session(name: str = "cardwatch", master: str | None = None, shuffle_pa
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors can reach: ``spark.checkpoint.dir``.
-
-    Only where the setting is absent (tests, local runs) a temporary folder is
-    made and recorded, so later calls of the same session find the same one.
-    """
+    """The folder all executors can reach: ``spark.checkpoint.dir``; where it is unset, a folder of the warehouse."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
-    if folder:
-        return folder.rstrip("/")
-    known = spark.conf.get("cardwatch.local.dir", None)
-    if not known:
-        known = tempfile.mkdtemp(prefix="cardwatch-")
-        spark.conf.set("cardwatch.local.dir", known)
-    return known
+    return folder.rstrip("/") if folder else spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_work"
 
 
 def fresh_path(spark: SparkSession, label: str) -> str:

@@ -16,11 +16,13 @@ WATERMARK = "10 minutes"
 
 
 def read_broker(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
-                per_trigger: int = 10_000, **options: str) -> DataFrame:
-    """Topic of a message broker with the Kafka protocol."""
+                per_trigger: int | None = 1_000_000, fail_on_data_loss: bool = True, **options: str) -> DataFrame:
+    """Topic of a message broker with the Kafka protocol; lost offsets end the query unless told otherwise."""
+    if per_trigger:
+        options = {"maxOffsetsPerTrigger": str(per_trigger), **options}
     return (spark.readStream.format("kafka").option("kafka.bootstrap.servers", servers).option("subscribe", topic)
-            .option("startingOffsets", starting).option("maxOffsetsPerTrigger", per_trigger)
-            .option("failOnDataLoss", "false").options(**options).load())
+            .option("startingOffsets", starting).option("failOnDataLoss", str(fail_on_data_loss).lower())
+            .options(**options).load())
 
 
 def event_hub_options(connection: str, group: str = "$Default", offset: str = "-1") -> dict[str, str]:

@@ -15,6 +15,7 @@ from cardwatch.streaming.source import ARRIVAL
 
 # Batch sessions are built from blocks of this length; it must not exceed the gap.
 BLOCK_MS = 60_000
+OTHERS = "_others"
 
 
 def sliding(df: DataFrame, time: str = ARRIVAL, length: str = "5 minutes", slide: str = "1 minute",
@@ -52,35 +53,45 @@ def _bounds(df: DataFrame, window: str) -> DataFrame:
 
 
 def _session_measures(time: Column) -> dict[str, Column]:
-    """What a session keeps: sums, first and last place by (time, id), and rows per category.
+    """What a session keeps: sums, first and last place by (time, id), and its categories.
 
-    The categories of a session are kept as counts, so a session that never
-    ends stays small.
+    The usual categories are kept as counts, so a session that never ends stays
+    small; any other category, also a missing one, is kept by its name.
     """
-    category = F.coalesce("merchant_category", F.lit("OTHER"))
-    other = ~category.isin(*rules.CATEGORIES)
+    category = F.col("merchant_category")
+    other = F.coalesce(~category.isin(*rules.CATEGORIES), F.lit(True))
     at = F.struct(time.alias("t"), F.col("transaction_id").alias("id"), F.col("location").alias("place"))
+    named = F.struct(category.alias("category"), F.lit(1).cast("bigint").alias("row_count"))
     return {
         "_n": rows(), "_cents": F.sum("amount_cents"), "_first": F.min(at), "_last": F.max(at),
         **{f"_k{i}": count_if(category == c) for i, c in enumerate(rules.CATEGORIES)},
-        f"_k{len(rules.CATEGORIES)}": count_if(other),
+        OTHERS: F.collect_list(F.when(other, named)),
     }
 
 
 def _merge_measures() -> dict[str, Column]:
     merged = {"_n": F.sum("_n"), "_cents": F.sum("_cents"), "_first": F.min("_first"), "_last": F.max("_last")}
-    return merged | {f"_k{i}": F.sum(f"_k{i}") for i in range(len(rules.CATEGORIES) + 1)}
+    return merged | {f"_k{i}": F.sum(f"_k{i}") for i in range(len(rules.CATEGORIES))} | {
+        OTHERS: F.flatten(F.collect_list(OTHERS))}
+
+
+def _counted(named: Column) -> Column:
+    """One entry per category of a list of (category, row_count)."""
+    def one(category: Column) -> Column:
+        own = F.filter(named, lambda e: e["category"].eqNullSafe(category))
+        return F.struct(category.alias("category"), F.aggregate(
+            own, F.lit(0).cast("bigint"), lambda total, e: total + e["row_count"]).alias("row_count"))
+    return F.transform(F.array_sort(F.array_distinct(F.transform(named, lambda e: e["category"]))), one)
 
 
 def _finish_sessions(df: DataFrame) -> DataFrame:
-    names = (*rules.CATEGORIES, "OTHER")
     counts = F.filter(F.array(*[F.struct(F.lit(c).alias("category"), F.col(f"_k{i}").alias("row_count"))
-                                for i, c in enumerate(names)]), lambda e: e["row_count"] > 0)
+                                for i, c in enumerate(rules.CATEGORIES)]), lambda e: e["row_count"] > 0)
     return _bounds(df, "session_window").select(
         "customer_id", F.col("window_start").alias("session_start"), F.col("window_end").alias("session_end"),
         F.col("_n").alias("session_tx_count"), numbers.money(F.col("_cents")).alias("session_total_amount"),
         F.col("_first.place").alias("first_location"), F.col("_last.place").alias("last_location"),
-        counts.alias("merchant_categories"),
+        F.concat(counts, _counted(F.col(OTHERS))).alias("merchant_categories"),
         (F.col("_first.place") != F.col("_last.place")).alias("has_location_change"),
         ((F.unix_millis("window_end") - F.unix_millis("window_start")) / F.lit(60_000))
         .alias("session_duration_minutes"))
@@ -106,6 +117,7 @@ def sessions_batch(df: DataFrame, time: str = ARRIVAL, gap_ms: int = 600_000, bl
     blocks = df.groupBy("customer_id", block.alias("_block")).agg(
         F.min(time).alias("_from"), F.max(time).alias("_to"),
         *[m.alias(n) for n, m in _session_measures(F.col(time)).items()])
+    blocks = blocks.withColumn(OTHERS, _counted(F.col(OTHERS)))
     lasting = F.concat((F.unix_micros("_to") - F.unix_micros("_from") + gap_ms * 1000).cast("string"),
                        F.lit(" microseconds"))
     out = blocks.groupBy("customer_id", F.session_window("_from", lasting)).agg(

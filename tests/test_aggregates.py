@@ -48,7 +48,9 @@ def test_as_of_can_be_given(make):
     scored = rules.apply(shape.enrich(make(*[{"timestamp_ms": d * day} for d in range(20)])), rules.stream_rules())
     assert dashboards.daily_summary(scored).count() == 8
     assert dashboards.daily_summary(scored, as_of=F.lit("1970-01-25").cast("date")).count() == 3
-    assert dashboards.minute_metrics(scored, as_of_ms=F.lit(0)).count() == 20
+    assert dashboards.daily_summary(scored, as_of=F.lit("1970-01-10").cast("date")).count() == 8
+    assert dashboards.end_of_day(scored, as_of=F.lit("1970-01-10").cast("date")).first().total_transactions == 1
+    assert dashboards.minute_metrics(scored, as_of_ms=F.lit(0)).count() == 1
 
 
 def test_exact_percentiles_against_sorting(make):
