@@ -29,25 +29,31 @@ SPACE = r"[\x20\x09-\x0D]+"
 
 
 def plain(line: Column) -> Column:
-    """Tokens of the line joined by one blank."""
-    return F.trim(F.regexp_replace(line, SPACE, " "))
+    """Tokens of the line joined by one blank; most lines are so already."""
+    return F.trim(F.when(line.rlike(r"[\x09-\x0D]|  "), F.regexp_replace(line, SPACE, " ")).otherwise(line))
 
 
 def n_tokens(line: Column) -> Column:
     return F.length(line) - F.length(F.replace(line, F.lit(" "))) + 1
 
 
-def masked(line: Column) -> Column:
-    """The plain line with <*> for tokens with a digit, unless these are most of it and would leave no template."""
-    found = plain(F.regexp_replace(line, FIELD, "<*>"))
-    fields = F.length(found) - F.length(F.replace(found, F.lit("<*>")))
-    return F.when(fields * 2 > n_tokens(found) * 3, plain(line)).otherwise(found)
+def once(value: Column) -> Column:
+    """The value behind a generator, so that the optimizer does not repeat it wherever it is used."""
+    return F.explode(F.array(value))
 
 
 def lines(docs: DataFrame, key: str, text: str, depth: int, least_tokens: int) -> DataFrame:
-    """(_id, _pos, _leaf, _line) of every line with enough tokens."""
+    """(_id, _pos, _leaf, _line) of every line with enough tokens.
+
+    A line is its tokens joined by one blank, with <*> for tokens with a digit unless these are most of it and would
+    leave no template.
+    """
     rows = docs.select(F.col(key).alias("_id"), F.posexplode(F.split(F.col(text), "\n")).alias("_pos", "_raw"))
-    rows = rows.select("_id", "_pos", masked(F.col("_raw")).alias("_line"))
+    fields = F.when(F.col("_raw").rlike("[0-9]"), plain(F.regexp_replace("_raw", FIELD, "<*>")))
+    rows = rows.select("_id", "_pos", once(F.struct(plain(F.col("_raw")).alias("plain"), fields.alias("masked"))).alias("_l"))
+    found = F.col("_l.masked")
+    many = (F.length(found) - F.length(F.replace(found, F.lit("<*>")))) * 2 > n_tokens(found) * 3
+    rows = rows.select("_id", "_pos", once(F.when(found.isNull() | many, F.col("_l.plain")).otherwise(found)).alias("_line"))
     tokens = n_tokens(F.col("_line"))
     return (rows.where((F.col("_line") != "") & (tokens >= least_tokens))
             .select("_id", "_pos", F.xxhash64(tokens, F.substring_index("_line", " ", depth)).alias("_leaf"), "_line"))
