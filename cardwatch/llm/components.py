@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.work import staged
+from cardwatch.llm.work import discard, staged
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -25,6 +25,8 @@ def components(edges: DataFrame) -> DataFrame:
         ahead = offered.select(F.col("node").alias("_key"), F.col("_next").alias("_jump"))
         after = staged(offered.join(ahead, F.col("_next") == F.col("_key"), "left").select(
             "node", "_was", F.least("_next", F.coalesce("_jump", "_next")).alias("component")), "labels")
+        discard(labels, offered)
         labels = after.select("node", "component")
         if not after.where("component <> _was").limit(1).count():
+            discard(both)
             return labels

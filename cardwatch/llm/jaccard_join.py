@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from cardwatch.llm import words as W
 from cardwatch.llm.components import components
-from cardwatch.llm.work import staged
+from cardwatch.llm.work import discard, staged
 
 BITS = 512
 LANES = [f"b{i}" for i in range(BITS // 64)]
@@ -120,9 +120,13 @@ def _differ(left: str, right: str) -> Column:
 
 def _hopeful(left: str, right: str, share: int) -> Column:
     """Sizes and bitmaps allow the share."""
+    total = F.col(f"{left}.n") + F.col(f"{right}.n")
+    return _sizes(left, right, share) & (_differ(left, right) * (100 + share) <= total * (100 - share))
+
+
+def _sizes(left: str, right: str, share: int) -> Column:
     a, b = F.col(f"{left}.n"), F.col(f"{right}.n")
-    return ((F.least(a, b) * 100 >= F.greatest(a, b) * share)
-            & (_differ(left, right) * (100 + share) <= (a + b) * (100 - share)))
+    return F.least(a, b) * 100 >= F.greatest(a, b) * share
 
 
 def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int = 5, share: int = 80) -> DataFrame:
@@ -143,44 +147,52 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     heads = classes.select("rep", "n", F.explode("_prefix").alias("key"))
     shared = staged(heads.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key"), "shared-shingles")
     tiles = staged(heads.join(shared, "key").withColumn("band", F.floor(F.log("n") / width).cast("int")), "tiles")
-    active = staged(tiles.select(F.col("rep").alias("_rep")).distinct(), "active")
-    drawn = staged(classes.join(active, F.col("rep") == F.col("_rep")).select("rep", "n", *LANES), "bitmaps")
-    tiles = staged(tiles.drop("n").join(drawn, "rep"), "tiles-drawn")
-    sets = staged(docs.join(active, F.col("_id") == F.col("_rep")).select("_id", "_text").mapInArrow(
-        _sets(size), T.StructType([fields[0], T.StructField("_set", T.ArrayType(T.LongType()))])), "sets")
+    discard(shared)
+    drawn = classes.select("rep", "n", *LANES)
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         """Links among the pairs (a, b) of representatives."""
         pairs = staged(pairs.distinct(), f"{label}-pairs")
+        active = staged(pairs.select(F.col("a").alias("_rep")).union(pairs.select("b")).distinct(), f"{label}-active")
+        sets = staged(docs.join(active, F.col("_id") == F.col("_rep")).select("_id", "_text").mapInArrow(
+            _sets(size), T.StructType([fields[0], T.StructField("_set", T.ArrayType(T.LongType()))])), f"{label}-sets")
         half = staged(pairs.join(sets.select(F.col("_id").alias("a"), F.col("_set").alias("_left")), "a"), f"{label}-half")
         full = half.join(sets.select(F.col("_id").alias("b"), F.col("_set").alias("_right")), "b")
         schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-        return staged(full.select("a", "b", "_left", "_right").mapInArrow(_linked(share), schema).distinct(),
-                      f"{label}-links")
+        found = staged(full.select("a", "b", "_left", "_right").mapInArrow(_linked(share), schema).distinct(),
+                       f"{label}-links")
+        discard(pairs, active, sets, half)
+        return found
 
     def pair(left: str, right: str) -> list[Column]:
         return [F.least(f"{left}.rep", f"{right}.rep").alias("a"), F.greatest(f"{left}.rep", f"{right}.rep").alias("b")]
 
-    pivots = staged(tiles.groupBy("key", "band").agg(F.min(F.struct("rep", "n", *LANES)).alias("p"))
-                    .select("key", "band", "p.*"), "pivots")
-    near = tiles.withColumn("_to", F.explode(F.array(F.col("band"), F.col("band") - 1))).alias("x").join(
-        pivots.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x._to") == F.col("y.band")))
-    near = near.where((F.col("x.rep") != F.col("y.rep")) & _hopeful("x", "y", share)).select(*pair("x", "y"))
-    links = verified(near, "near")
+    pivots = staged(tiles.groupBy("key", "band").agg(F.min(F.struct("rep", "n")).alias("p")).select("key", "band", "p.*"),
+                    "pivots")
+    met = tiles.withColumn("_to", F.explode(F.array(F.col("band"), F.col("band") - 1))).alias("x").join(
+        pivots.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x._to") == F.col("y.band"))
+        & (F.col("x.rep") != F.col("y.rep")) & _sizes("x", "y", share)).select(*pair("x", "y")).distinct()
+    met = staged(met, "near-met")
+    near = met.join(drawn.alias("x"), F.col("a") == F.col("x.rep")).join(drawn.alias("y"), F.col("b") == F.col("y.rep"))
+    links = verified(near.where(_hopeful("x", "y", share)).select("a", "b"), "near")
+    discard(pivots, met)
     named = components(links)
 
-    open_tiles = tiles.join(named, F.col("rep") == F.col("node"), "left").withColumn(
-        "component", F.coalesce("component", "rep")).drop("node")
-    open_tiles = staged(open_tiles, "tiles-named")
+    open_tiles = staged(tiles.join(named, F.col("rep") == F.col("node"), "left").select(
+        "key", "rep", "band", F.coalesce("component", "rep").alias("component")), "tiles-named")
+    discard(tiles)
     mixed = staged(open_tiles.groupBy("key").agg(F.min("component").alias("_a"), F.max("component").alias("_b"))
                    .where("_a <> _b").select("key"), "mixed-tiles")
-    open_tiles = staged(open_tiles.join(mixed, "key"), "tiles-open")
-    x = open_tiles.withColumn("_to", F.explode(F.array(F.col("band"), F.col("band") + 1))).alias("x")
-    far = x.join(open_tiles.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x._to") == F.col("y.band"))
+    mixed_tiles = staged(open_tiles.join(mixed, "key").join(drawn, "rep"), "tiles-open")
+    discard(mixed, open_tiles)
+    x = mixed_tiles.withColumn("_to", F.explode(F.array(F.col("band"), F.col("band") + 1))).alias("x")
+    far = x.join(mixed_tiles.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x._to") == F.col("y.band"))
                  & (F.col("x.component") != F.col("y.component"))
                  & ((F.col("x._to") != F.col("x.band")) | (F.col("x.rep") < F.col("y.rep")))
                  & _hopeful("x", "y", share)).select(*pair("x", "y"))
-    named = components(links.union(verified(far, "far")))
+    more = verified(far, "far")
+    discard(mixed_tiles)
+    named = components(links.union(more))
 
     heads = staged(classes.select("n", "f0", "f1", "rep").join(named, F.col("rep") == F.col("node"), "left").select(
         "n", "f0", "f1", F.coalesce("component", "rep").alias("component_id")), "class-components")
