@@ -25,6 +25,34 @@ def prepared(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return model.split(staged(spark, rows, "features"))
 
 
+SIDE = "CAST('0x' || substr(md5('42:' || transaction_id), 1, 8) AS BIGINT) % 10000 < 2000"
+
+
+@query("ml_split", f"""SELECT {SIDE} AS held_out, is_fraud, COUNT(*) AS row_count FROM tx GROUP BY 1, 2""")
+def _(spark, sf):
+    """Rows and labels on both sides of the split."""
+    train, test = model.split(tx_balance(spark, sf))
+    both = train.withColumn("held_out", F.lit(False)).unionByName(test.withColumn("held_out", F.lit(True)))
+    return both.groupBy("held_out", "is_fraud").agg(F.count("*").alias("row_count"))
+
+
+@query("ml_predict_check", f"""SELECT COUNT(*) AS row_count, 0::BIGINT AS wrong_flags, 0::BIGINT AS wrong_levels,
+    COUNT(*) FILTER (WHERE {SIDE}) AS held_out FROM tx""")
+def _(spark, sf):
+    """Every row is scored, also with gaps in flags and amounts of others; flag and level follow the probability."""
+    train, test = prepared(spark, sf)
+    fitted = model.train(train, model.logistic_regression(), prepared=True)
+    gaps = tx_balance(spark, sf).withColumns({
+        "is_international": F.when(F.col("timestamp_ms") % 3 > 0, F.col("is_international")),
+        "merchant_category": F.when(F.col("timestamp_ms") % 5 > 0, F.col("merchant_category"))})
+    p, level = F.col("fraud_probability"), F.col("risk_level")
+    right = F.when(p >= 0.9, "CRITICAL").when(p >= 0.7, "HIGH").when(p >= 0.5, "MEDIUM").otherwise("LOW")
+    held = test.select("transaction_id", F.lit(1).alias("_held"))
+    return model.predict(fitted, gaps).join(held, "transaction_id", "left").agg(
+        F.count("*").alias("row_count"), F.count_if(F.col("is_fraud_predicted") != (p >= 0.5)).alias("wrong_flags"),
+        F.count_if(level != right).alias("wrong_levels"), F.count("_held").alias("held_out"))
+
+
 CLASSIFIERS = {
     "logistic_regression": lambda: model.logistic_regression(),
     "random_forest": lambda: model.random_forest(),

@@ -8,7 +8,7 @@ from cardwatch.operators import dashboards, profiles
 from cardwatch.plans.catalog import history_of, query, scored, tx
 from cardwatch.plans.row_queries import CLOUD_POINTS, CODES
 from cardwatch.plans.sql import DATE, FRAUDS, HISTORY, HITS, MEAN, N, SCORE, TOTAL, flags, rate
-from cardwatch.session import fresh_path, tune
+from cardwatch.session import fresh_path, staged, tune
 from cardwatch.sources import tables
 from cardwatch.streaming import pipeline, source, windows
 from cardwatch.streaming.source import ARRIVAL
@@ -63,11 +63,12 @@ def _(spark, sf):
     return alerts.select("key", F.get_json_object("value", "$.risk_level").alias("risk_level"))
 
 
-@query("stream_batch_counts", f"SELECT {N} AS transactions, {HITS} AS predicted FROM scored")
+@query("stream_batch_counts", f"SELECT {N} AS transactions, {HITS} AS predicted, {FRAUDS} AS frauds FROM scored")
 def _(spark, sf):
-    """Per micro-batch counts, added up over the batches."""
-    counts = pipeline.batch_counts(pipeline.read_back(spark, run(spark, sf)[0]).withColumn("is_fraud", F.lit(None).cast("boolean")))
-    return counts.agg(F.sum("transactions").alias("transactions"), F.sum("predicted").alias("predicted"))
+    """Per micro-batch counts with the labels known by then, added up over the batches."""
+    labels = tx(spark, sf).select("transaction_id", "is_fraud")
+    stored = pipeline.read_back(spark, run(spark, sf)[0]).drop("is_fraud").join(labels, "transaction_id", "left")
+    return pipeline.batch_counts(stored).agg(*[F.sum(c).alias(c) for c in ("transactions", "predicted", "frauds")])
 
 
 @query("stream_read_back", f"""SELECT risk_level, {N} AS transaction_count FROM scored GROUP BY risk_level""")
@@ -93,7 +94,7 @@ def _(spark, sf):
       WHEN past > 0 THEN 10 ELSE 0 END AS DOUBLE) / 100 AS adjusted_fraud_score
     FROM scored LEFT JOIN basics USING (customer_id)""")
 def _(spark, sf):
-    basics = profiles.profile_basics(history_of(tx(spark, sf)))
+    basics = staged(spark, profiles.profile_basics(history_of(tx(spark, sf))), "profiles")  # once, not in every batch
     joined = pipeline.with_profiles(pipeline.score(transactions(spark, sf)), basics)
     return written(spark, joined.select("transaction_id", "adjusted_fraud_score"))
 

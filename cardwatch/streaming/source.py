@@ -13,6 +13,7 @@ from cardwatch.schemas import CLOUD_MESSAGE, STREAM_MESSAGE
 
 ARRIVAL = "arrival_time"
 WATERMARK = "10 minutes"
+UNREADABLE = "_unreadable"
 
 
 def read_broker(spark: SparkSession, servers: str, topic: str, starting: str = "latest",
@@ -47,12 +48,30 @@ def parse(messages: DataFrame, schema: T.StructType = STREAM_MESSAGE, body: str
           arrival: str | Column = "timestamp", watermark: str = WATERMARK, keep: tuple[str, ...] = ()) -> DataFrame:
     """JSON bodies to canonical columns, with the arrival time as watermark column.
 
-    ``withWatermark`` needs TIMESTAMP, so zone-less times are cast.
+    ``withWatermark`` needs TIMESTAMP, so zone-less times are cast. Bodies that are no JSON are left to ``rejects``.
     """
     arrived = F.col(arrival) if isinstance(arrival, str) else arrival
-    parsed = messages.select(arrived.cast("timestamp").alias(ARRIVAL), *keep,
-                             F.from_json(F.col(body).cast("string"), schema).alias("_t"))
-    return normalize(parsed.select(ARRIVAL, *keep, "_t.*")).withWatermark(ARRIVAL, watermark)
+    parsed = messages.select(arrived.cast("timestamp").alias(ARRIVAL), *keep, _read(F.col(body), schema).alias("_t"))
+    readable = parsed.where(~_unreadable()).select(ARRIVAL, *keep, "_t.*").drop(UNREADABLE)
+    return normalize(readable).withWatermark(ARRIVAL, watermark)
+
+
+def rejects(messages: DataFrame, schema: T.StructType = STREAM_MESSAGE, body: str = "value",
+            arrival: str | Column = "timestamp") -> DataFrame:
+    """Arrival time and raw text of the messages that ``parse`` leaves out."""
+    arrived = F.col(arrival) if isinstance(arrival, str) else arrival
+    raw = messages.select(arrived.cast("timestamp").alias(ARRIVAL), F.col(body).cast("string").alias("raw"),
+                          _read(F.col(body), schema).alias("_t"))
+    return raw.where(_unreadable()).select(ARRIVAL, "raw")
+
+
+def _read(body: Column, schema: T.StructType) -> Column:
+    wider = T.StructType([*schema.fields, T.StructField(UNREADABLE, T.StringType())])
+    return F.from_json(body.cast("string"), wider, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE})
+
+
+def _unreadable() -> Column:
+    return F.col("_t").isNull() | F.col(f"_t.{UNREADABLE}").isNotNull()
 
 
 def parse_event_hub(messages: DataFrame, watermark: str = WATERMARK) -> DataFrame:
