@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from cardwatch.llm.work import staged
+from cardwatch.llm.work import discard, staged
 
 #: A token with a digit; possessive, so that long tokens cost linear time.
 FIELD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9]*+[0-9][^\x20\x09-\x0D]*+"
@@ -77,24 +77,28 @@ def drop_recurring(docs: DataFrame, key: str = "doc_id", text: str = "text", dep
                     .select("_leaf"), "leaves")
     found = staged(found.join(leaves, "_leaf"), "leaf-lines")
     main = found.groupBy("_leaf", "_line").agg(F.countDistinct("_id").alias("_n"))
+    discard(leaves)
     main = staged(main.groupBy("_leaf").agg(F.min_by("_line", F.struct(-F.col("_n"), F.col("_line"))).alias("_main")),
                   "main-templates")
     inside = agreement("_line", "_main", depth) >= similarity
-    found = found.join(main, "_leaf").select("_id", "_pos", "_leaf", F.when(inside, F.lit(0).cast("bigint")).otherwise(
+    placed = found.join(main, "_leaf").select("_id", "_pos", "_leaf", F.when(inside, F.lit(0).cast("bigint")).otherwise(
         F.xxhash64("_line")).alias("_own"))
-    found = staged(found, "templates")
+    placed = staged(placed, "templates")
+    discard(found, main)
     place = F.struct(F.col("_id").isNull(), F.col("_id"), F.col("_pos"))
-    recurring = (found.groupBy("_leaf", "_own").agg(F.countDistinct("_id").alias("_n"), F.min(place).alias("_first"))
+    recurring = (placed.groupBy("_leaf", "_own").agg(F.countDistinct("_id").alias("_n"), F.min(place).alias("_first"))
                  .where(F.col("_n") >= least_docs).select("_leaf", "_own", "_first"))
     recurring = staged(recurring, "recurring")
-    gone = (found.join(recurring, ["_leaf", "_own"]).where(place != F.col("_first")).groupBy("_id")
+    gone = (placed.join(recurring, ["_leaf", "_own"]).where(place != F.col("_first")).groupBy("_id")
             .agg(F.collect_set("_pos").alias("__gone")))
     gone = staged(gone, "dropped-lines").withColumnRenamed("_id", "__gone_id")
+    discard(placed, recurring)
     parts = F.split(F.col(text), "\n")
     kept = F.array_sort(F.array_except(F.sequence(F.lit(0), F.size(parts) - 1), F.col("__gone")))
     left = F.array_join(F.transform(kept, lambda i: F.element_at(parts, i + 1)), "\n")
     there = F.col("__gone").isNotNull() & F.col(text).isNotNull()
-    return (docs.join(gone, F.col(key).eqNullSafe(F.col("__gone_id")), "left")
+    # merged at every size: what is dropped grows with the corpus
+    return (docs.join(gone.hint("merge"), F.col(key).eqNullSafe(F.col("__gone_id")), "left")
             .withColumn("n_lines", F.when(F.col(text).isNull(), 0).otherwise(F.size(parts)).cast("bigint"))
             .withColumn("n_dropped", F.when(there, F.col("n_lines") - F.size(kept)).otherwise(0).cast("bigint"))
             .withColumn(text, F.when(there, left).otherwise(F.col(text))).drop("__gone", "__gone_id"))
