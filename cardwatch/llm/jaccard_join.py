@@ -154,7 +154,7 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
         """Links among the pairs (a, b) of representatives."""
         pairs = staged(pairs.distinct(), f"{label}-pairs")
         active = staged(pairs.select(F.col("a").alias("_rep")).union(pairs.select("b")).distinct(), f"{label}-active")
-        sets = staged(docs.join(active, F.col("_id") == F.col("_rep")).select("_id", "_text").mapInArrow(
+        sets = staged(docs.join(active.hint("merge"), F.col("_id") == F.col("_rep")).select("_id", "_text").mapInArrow(
             _sets(size), T.StructType([fields[0], T.StructField("_set", T.ArrayType(T.LongType()))])), f"{label}-sets")
         half = staged(pairs.join(sets.select(F.col("_id").alias("a"), F.col("_set").alias("_left")), "a"), f"{label}-half")
         full = half.join(sets.select(F.col("_id").alias("b"), F.col("_set").alias("_right")), "b")
@@ -206,4 +206,5 @@ def keep_one(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     gone = grouped(docs, key, text, size, share).where(F.col(key) != F.col("component_id")).select(
         F.col(key).alias("__gone")).distinct()
     gone = staged(gone, "near-copies")
-    return docs.join(gone, F.col(key) == F.col("__gone"), "left_anti")
+    # merged at every size: the copies grow with the corpus
+    return docs.join(gone.hint("merge"), F.col(key) == F.col("__gone"), "left_anti")
