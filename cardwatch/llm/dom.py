@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import html
 import math
+import random
 import re
 
 # Elements of the HTML standard, by how they are laid out and closed.
@@ -32,16 +33,56 @@ _WORD = re.compile(r"[a-z]+")
 _STOP = re.compile(r"[.!?,;:]")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
 
+_INSIDE = re.compile(r"<(article|main)\b[^>]*>(.*)</\1\s*>", re.S | re.I)
+_PARAGRAPH = re.compile(r"<p\b[^>]*>([^<]{20,600})")
+_FORMS = ("<ul><li>{}</li><li>{}</li></ul>", "<ol><li>{}</li><li>{}</li></ol>", "<blockquote>{}</blockquote>",
+          "<blockquote><p>{}</p></blockquote>", "<table><tr><td>{}</td><td>{}</td></tr></table>", "<h2>{}</h2><p>{}</p>", "<h3>{}</h3>",
+          "<pre>{}</pre>", "<div>{}</div>", "<div><p>{}</p><p>{}</p></div>", "<section><h2>{}</h2><p>{}</p></section>",
+          "<figure><figcaption>{}</figcaption></figure>", "<dl><dt>{}</dt><dd>{}</dd></dl>", "<header><h1>{}</h1><p>{}</p></header>")
+_CONTAINERS = ("div class", "div id", "section class", "ul class", "aside class", "form id")
+
 N_FEATURES = 22
 HINTS = [11, 12, 13, 14]
 
 
+def varied(source: str, seed: int) -> str:
+    """The page with more blocks between those of its main text and around it, for training only.
+
+    Some are main text in other forms, lists or tables; some are strange and hold sentences of the main text too, so
+    only their names tell them from it.
+    """
+    rng, match = random.Random(seed), _INSIDE.search(source)
+    if not match:
+        return source
+    own, names = _PARAGRAPH.findall(match[2]) or ["Some words."], sorted(AGAINST)
+
+    def block() -> str:
+        opened = rng.choice(_CONTAINERS)
+        name, text = rng.choice(names), rng.choice(own)
+        inner = "".join(f"<{t}>{text[:rng.randrange(20, 600)]}</{t}>" for t in rng.choices(("p", "h2", "li"), k=rng.randrange(1, 4)))
+        return f'<{opened}="{name}">{inner}</{opened.split()[0]}>'
+
+    def other_form() -> str:
+        text = rng.choice(own)[:rng.randrange(5, 600)]
+        return rng.choice(_FORMS).format(text, rng.choice(own)[:rng.randrange(5, 200)])
+
+    parts = re.split(r"(?<=</p>)", match[2])
+    for make in rng.choices((block, other_form), k=rng.randrange(2, 7)):
+        parts.insert(rng.randrange(len(parts) + 1), make())
+    tag = rng.choice((match[1], "article", "main"))
+    whole = f"<{tag}>{''.join(parts)}</{tag}>"
+    if rng.random() < 0.5:
+        whole = f'<div class="{rng.choice(("wrapper", "page", "c1"))}">{whole}</div>'
+    return source[:match.start()] + block() + whole + block() + source[match.end():]
+
+
 class Page:
     """parent, tag, yes, no (hints) of each block element; pieces are (element, text, is in a link) in page order, None
     as text where a block begins or ends."""
 
     def __init__(self, source: str):
         self.parent, self.tag, self.yes, self.no, self.tags, self.controls = [-1], ["#page"], [0], [0], [0], [0]
+        self.inside = [False]
         self.pieces: list[tuple[int, str | None, bool]] = []
         self._read(source)
 
@@ -109,6 +150,9 @@ class Page:
             words.update(_WORD.findall(_CAMEL.sub(" ", "".join(match)).lower()))
         self.parent.append(parent)
         self.tag.append(name)
+        if name == "header" and self.inside[parent]:
+            words.discard("header")  # the article's own
+        self.inside.append(self.inside[parent] or name in ("article", "main"))
         no = len(words & AGAINST)
         self.yes.append(len(words & FOR) if not no and name != "body" else 0)
         self.no.append(no)
@@ -121,10 +165,9 @@ class Page:
         if not {"article", "main"} & set(self.tag):
             return None
         found = [0] * len(self.tag)
-        inside = [False] * len(self.tag)
         for i in range(1, len(self.tag)):
-            inside[i] = inside[self.parent[i]] or self.tag[i] in ("article", "main")
-            found[i] = int(inside[i] and self.no[i] == 0 and (found[self.parent[i]] or self.tag[i] in ("article", "main")))
+            found[i] = int(self.inside[i] and self.no[i] == 0
+                           and (found[self.parent[i]] or self.tag[i] in ("article", "main")))
         return found
 
     def features(self) -> list[list[float]]:

@@ -6,8 +6,9 @@ probable choice for the whole page under the rule that main text starts at some
 does not come back, so an ancestor and a descendant never contradict each other; inline elements go with their block.
 
 The trees are trained here, on at most ``max_pages`` pages, the first by a hash of their id: pages that mark their main
-text up (article, main) serve as labels. Each of them is used twice, the second time without its tag and attribute
-words, so that the trees also judge pages without telling names. The bound is a parameter; all pages are extracted
+text up (article, main) serve as labels. Each of them is used four times: as it is; without its tag and attribute
+words, so that the trees also judge pages without telling names; and twice with strange blocks set between its blocks
+that hold its own sentences under names such as comments or promo, so that the trees heed names inside the main text. The bound is a parameter; all pages are extracted
 alike, whole. Training is Spark ML's; the trees, a few hundred numbers, go to the tasks.
 
 Defined cases: null and empty pages have an empty text; a page without any element that looks like main text, too;
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from cardwatch.llm import words as W
-from cardwatch.llm.dom import HINTS, N_FEATURES, Page
+from cardwatch.llm.dom import HINTS, N_FEATURES, Page, varied
 from cardwatch.llm.work import discard, folder, staged
 
 FLOOR = 1e-4
@@ -59,15 +60,17 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for whole in batches:
         for batch in W.slices(whole, "_html"):
             rows, labels = [], []
-            for source in batch.column("_html").to_pylist():
+            for seed, source in zip(batch.column("_o").to_pylist(), batch.column("_html").to_pylist()):
                 page = Page(source or "")
                 if (own := page.labels()) is None:
                     continue
                 found = page.features()
-                rows += found
-                labels += own
-                rows += [[0.0 if i in HINTS else v for i, v in enumerate(r)] for r in found]
-                labels += own
+                rows += [*found, *([0.0 if i in HINTS else v for i, v in enumerate(r)] for r in found)]
+                labels += own + own
+                for k in (0, 1):
+                    page = Page(varied(source, seed + k))
+                    rows += page.features()
+                    labels += page.labels()
             flat = np.asarray(rows, float).reshape(-1, N_FEATURES)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.asarray(labels, float)),
@@ -75,7 +78,7 @@ def _labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ["label", "_x"])
 
 
-def train(pages: DataFrame, key: str = "page_id", source: str = "html", max_pages: int = 400, rounds: int = 8,
+def train(pages: DataFrame, key: str = "page_id", source: str = "html", max_pages: int = 400, rounds: int = 10,
           depth: int = 4, seed: int = 0) -> Trees:
     chosen = (pages.where(F.col(key).isNotNull()).select(F.col(key).alias("_key"), F.xxhash64(F.lit(seed), key).alias("_o"))
               .distinct().orderBy("_o", "_key").limit(max_pages))
