@@ -40,10 +40,10 @@ def drain(spark, df, tmp_path, name, mode="append"):
     return spark.read.schema(df.schema).parquet(str(tmp_path / name))
 
 
-def test_broken_json_gives_nulls(spark):
-    df = spark.createDataFrame([("a", "{oops", T0)], MESSAGE)
-    row = source.parse(df).first()
-    assert row.transaction_id is None and row.arrival_time is not None
+def test_broken_json_goes_to_the_rejects(spark):
+    df = spark.createDataFrame([("a", "{oops", T0), ("b", '{"transactionId": "TX1-1"}', T0), ("c", None, T0)], MESSAGE)
+    assert [r.transaction_id for r in source.parse(df).collect()] == ["TX1-1"]
+    assert sorted(((r.raw or ""), r.arrival_time is not None) for r in source.rejects(df).collect()) == [("", True), ("{oops", True)]
 
 
 def test_late_rows_are_dropped_and_out_of_order_rows_kept(spark, feed, tmp_path):
