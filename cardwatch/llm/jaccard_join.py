@@ -9,10 +9,10 @@ is guessed: fingerprints of 64 bits stand for shingles.
 2. A tile holds the classes that share one of those shingles in a band of sizes; linked sets lie in the same or in
    neighbouring bands. Slots in which two bitmaps differ bound the symmetric difference from below, hence the overlap
    from above, and parity bits do not fill up in long texts.
-3. First each class meets the tile's smallest class only. This takes rows in proportion to the tile, and the verified
-   links already connect a large group of near copies. Then only classes that are not connected yet meet, with sizes
+3. First each class meets the smallest classes of its tiles only, and is compared with the one whose bitmap is closest.
+   This takes rows in proportion to the tile, and the verified links already connect a large group of near copies. Then only classes that are not connected yet meet, with sizes
    and bitmaps tested inside the join, so pairs of one component and hopeless pairs are never rows.
-4. Surviving pairs are decided on the sorted arrays. Components of all links give the result.
+4. Surviving pairs are tested once more on bitmaps of 8192 slots and then decided on the sorted arrays. Components of all links give the result.
 
 Written tables are joined with each other, so adaptive execution splits the rows of a frequent shingle or of a class
 that thousands meet. Tasks hold one batch of pairs; the driver holds nothing.
@@ -38,6 +38,7 @@ from cardwatch.llm.components import components
 from cardwatch.llm.work import discard, staged
 
 BITS = 512
+WIDE_BITS = 8192
 LANES = [f"b{i}" for i in range(BITS // 64)]
 
 
@@ -87,12 +88,32 @@ def _signatures(size: int, share: int):
 
 
 def _sets(size: int):
+    """The whole sets, with their sizes and wide bitmaps, which long texts do not saturate."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in W.slices(whole, "_text"):
                 owner, value = shingles(batch.column("_text"), size)
+                rows = batch.num_rows
+                wide = np.zeros((rows, WIDE_BITS // 8), np.uint8)
+                slot = (W.mixed(value + np.uint64(0x9FB21C651E98DF25)) % np.uint64(WIDE_BITS)).astype(np.int64)
+                np.bitwise_xor.at(wide, (owner, slot >> 3), (1 << (slot & 7)).astype(np.uint8))
+                offsets = np.arange(rows + 1, dtype=np.int32) * (WIDE_BITS // 8)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id"), W.lists(owner, W.signed(value), batch.num_rows, pa.int64())], ["_id", "_set"])
+                    [batch.column("_id"), pa.array(np.bincount(owner, minlength=rows)),
+                     pa.Array.from_buffers(pa.binary(), rows, [None, pa.py_buffer(offsets), pa.py_buffer(wide.tobytes())]),
+                     W.lists(owner, W.signed(value), rows, pa.int64())], ["_id", "_n", "_wide", "_set"])
+    return run
+
+
+def _hopeful_wide(share: int):
+    """Pairs whose wide bitmaps allow the share."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            left, right = (np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
+                           for c in ("_wa", "_wb"))
+            differ = np.bitwise_count(left ^ right).sum(1, dtype=np.int64)
+            total = np.asarray(batch.column("_na")) + np.asarray(batch.column("_nb"))
+            yield batch.select(["a", "b"]).filter(pa.array(differ * (100 + share) <= total * (100 - share)))
     return run
 
 
@@ -155,13 +176,19 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
         pairs = staged(pairs.distinct(), f"{label}-pairs")
         active = staged(pairs.select(F.col("a").alias("_rep")).union(pairs.select("b")).distinct(), f"{label}-active")
         sets = staged(docs.join(active.hint("merge"), F.col("_id") == F.col("_rep")).select("_id", "_text").mapInArrow(
-            _sets(size), T.StructType([fields[0], T.StructField("_set", T.ArrayType(T.LongType()))])), f"{label}-sets")
-        half = staged(pairs.join(sets.select(F.col("_id").alias("a"), F.col("_set").alias("_left")), "a"), f"{label}-half")
-        full = half.join(sets.select(F.col("_id").alias("b"), F.col("_set").alias("_right")), "b")
-        schema = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-        found = staged(full.select("a", "b", "_left", "_right").mapInArrow(_linked(share), schema).distinct(),
+            _sets(size), T.StructType([fields[0], T.StructField("_n", T.LongType()), T.StructField("_wide", T.BinaryType()),
+                                       T.StructField("_set", T.ArrayType(T.LongType()))])), f"{label}-sets")
+        ends = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
+        wide = pairs
+        for end in ("a", "b"):
+            wide = wide.join(sets.select(F.col("_id").alias(end), F.col("_n").alias(f"_n{end}"),
+                                         F.col("_wide").alias(f"_w{end}")), end)
+        close = staged(wide.mapInArrow(_hopeful_wide(share), ends), f"{label}-close")
+        # one of both sets is shuffled with each pair, the other once
+        full = close.join(sets.select(F.col("_id").alias("a"), F.col("_set").alias("_left")), "a").join(sets.select(F.col("_id").alias("b"), F.col("_set").alias("_right")), "b")
+        found = staged(full.select("a", "b", "_left", "_right").mapInArrow(_linked(share), ends).distinct(),
                        f"{label}-links")
-        discard(pairs, active, sets, half)
+        discard(pairs, active, close, sets)
         return found
 
     def pair(left: str, right: str) -> list[Column]:
@@ -171,10 +198,13 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
                     "pivots")
     met = tiles.withColumn("_to", F.explode(F.array(F.col("band"), F.col("band") - 1))).alias("x").join(
         pivots.alias("y"), (F.col("x.key") == F.col("y.key")) & (F.col("x._to") == F.col("y.band"))
-        & (F.col("x.rep") != F.col("y.rep")) & _sizes("x", "y", share)).select(*pair("x", "y")).distinct()
+        & (F.col("x.rep") != F.col("y.rep")) & _sizes("x", "y", share)).select(F.col("x.rep").alias("_x"), F.col("y.rep").alias("_y")).distinct()
     met = staged(met, "near-met")
-    near = met.join(drawn.alias("x"), F.col("a") == F.col("x.rep")).join(drawn.alias("y"), F.col("b") == F.col("y.rep"))
-    links = verified(near.where(_hopeful("x", "y", share)).select("a", "b"), "near")
+    near = met.join(drawn.alias("x"), F.col("_x") == F.col("x.rep")).join(drawn.alias("y"), F.col("_y") == F.col("y.rep"))
+    # of its tiles' smallest classes, the one that looks most alike; the others are met below, if still unconnected
+    near = near.where(_hopeful("x", "y", share)).groupBy("_x").agg(
+        F.min(F.struct(_differ("x", "y").alias("differ"), F.col("_y"))).alias("_m"))
+    links = verified(near.select(F.least("_x", "_m._y").alias("a"), F.greatest("_x", "_m._y").alias("b")), "near")
     discard(pivots, met)
     named = components(links)
 
