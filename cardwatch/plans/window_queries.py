@@ -53,6 +53,17 @@ def _(spark, sf):
                                                   "percentile_in_category", "is_top_transaction")
 
 
+@query("rankings_without_category", """SELECT transaction_id, kind AS merchant_category, rank_in_category,
+    percentile_in_category FROM (SELECT *, RANK() OVER w AS rank_in_category, PERCENT_RANK() OVER w AS percentile_in_category
+      FROM (SELECT *, CASE WHEN timestamp_ms % 3 > 0 THEN merchant_category END AS kind FROM tx)
+      WINDOW w AS (PARTITION BY kind ORDER BY amount DESC))""")
+def _(spark, sf):
+    """Ranks where a category can be missing: no row is lost."""
+    kind = F.when(F.col("timestamp_ms") % 3 > 0, F.col("merchant_category"))
+    return windows.rankings(tx(spark, sf).withColumn("merchant_category", kind)).select(
+        "transaction_id", "merchant_category", "rank_in_category", "percentile_in_category")
+
+
 @query("impossible_travel", f"""SELECT transaction_id, p_location AS prev_location, p_ms AS prev_timestamp_ms,
     CAST(timestamp_ms - p_ms AS DOUBLE) / 60000 AS minutes_since_prev, {FAST} AS impossible_travel FROM seq""")
 def _(spark, sf):
