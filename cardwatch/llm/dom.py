@@ -12,7 +12,7 @@ BLOCK = set("address article aside blockquote body center dd details dialog dir
             "form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search "
             "section select summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe noembed noframes xmp textarea title svg math object canvas audio video".split())
+RAW = set("script style noscript template iframe noembed noframes xmp textarea title svg math object canvas audio video button select datalist".split())
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"}, "tbody": {"tr", "td", "th", "thead"},
           "tfoot": {"tr", "td", "th", "tbody"}}
@@ -120,7 +120,7 @@ class Page:
                 self.controls[owner] += 1
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, at)
-                at = end.end() if end else len(source)
+                at = end.end() if end else at if name in CONTROLS else len(source)
                 continue
             if name == "br":
                 self.pieces.append((owner, " ", False))

@@ -211,6 +211,12 @@ def test_a_cut_is_never_undone_below():
     assert keep == [False, True, True, True, False, False]
 
 
+def test_controls_have_no_text_and_unclosed_ones_hide_nothing():
+    assert dom.Page("<p>a<button>Share</button> b<select><option>x</select> c").text([True] * 2) == "a b c"
+    assert dom.Page("<p>a<button>b c").text([True] * 2) == "ab c"
+    assert dom.Page("<p>a<script>b").text([True] * 2) == "a"
+
+
 def test_very_long_and_broken_markup():
     assert dom.Page("<p " + "a='" * 50_000).text([True]) is not None
     assert dom.Page("<div>" * 3000 + "x").features()[-1][4] == 3000
