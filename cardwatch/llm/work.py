@@ -8,7 +8,11 @@ from pyspark.sql import types as T
 
 from cardwatch.session import fresh_path
 
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+WHILE_WRITING = {
+    "spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true",
+    # rows can hold a whole set or text; a task's Python worker gets so many bytes of them at a time
+    "spark.sql.execution.arrow.maxBytesPerBatch": "8m",
+}
 
 
 def staged(df: DataFrame, label: str) -> DataFrame:
@@ -19,12 +23,14 @@ def staged(df: DataFrame, label: str) -> DataFrame:
     """
     spark = df.sparkSession
     path = fresh_path(spark, label)
-    before = spark.conf.get(CLEANUP, "false")
-    spark.conf.set(CLEANUP, "true")
+    before = {key: spark.conf.get(key, None) for key in WHILE_WRITING}
+    for key, value in WHILE_WRITING.items():
+        spark.conf.set(key, value)
     try:
         df.write.parquet(path)
     finally:
-        spark.conf.set(CLEANUP, before)
+        for key, value in before.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
     return spark.read.schema(df.schema).parquet(path)
 
 
