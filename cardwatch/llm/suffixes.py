@@ -6,13 +6,20 @@ the smallest fingerprint of its first ``gram`` words is retained wherever the pa
 ``words - rank + 2`` suffixes are retained. They are sorted by (fingerprint of their first ``rank`` words, document,
 position) over range partitions, so that a passage of very many documents spreads over several tasks. Each suffix is
 compared with its neighbour, the one before it of another document. Neighbours with the same ``rank`` words match.
+
+The neighbour need not be the longest match: it may be an edited copy that ends too soon. So the whole windows of
+``words`` words around every suffix whose ``rank`` words stand in two documents are hashed as well, and each is linked
+to its first document and place. A repeated window holds a suffix that is retained wherever it stands, so all of them
+are found: each word of a passage of ``words`` words of an earlier document is reported.
+
 Matches of the same two documents at the same distance that follow each other become one, and its ends are extended
-word by word; nothing further than ``words - rank`` words can be missing there, as a longer match has a retained suffix
-of its own. Matches of at least ``words`` words are repeats; the neighbour has the smaller id, so the first document
-of a passage keeps it.
+by at most ``words - rank`` words, word by word. Matches of at least ``words`` words are repeats; the other document has
+the smaller id, so the first document of a passage keeps it. A passage can be reported with its neighbour and its first
+document.
 
 Sorting streams: a task holds one batch and the two rows before it, and the rows at the borders of partitions, a few
-for each, are compared afterwards. Texts are read for the selection, and once more, shuffled, for the words at the ends.
+for each, are compared afterwards. Texts are read for the selection, and twice more, shuffled and only where suffixes
+are shared, for the windows and for the words at the ends.
 
 Defined cases: null, empty and short texts have no suffix; rows without an id take no part; rows with equal ids are one
 document that does not repeat itself; repeats inside one document are not reported; other columns are not read.
@@ -96,6 +103,29 @@ def _neighbours():
     return run
 
 
+def _windows(words: int, rank: int):
+    """Every window of ``words`` words that holds one of the asked suffixes of a text."""
+    def run(batches: Batches) -> Batches:
+        for whole in batches:
+            for batch in W.slices(whole, "_text"):
+                text = W.split(batch.column("_text"))
+                at, window = text.grams(words)
+                asked = batch.column("_at")
+                owner = np.repeat(np.arange(batch.num_rows), np.asarray(asked.value_lengths().fill_null(0)))
+                place = np.asarray(asked.flatten()).astype(np.int64) + text.first[owner]
+                inside = place < text.first[owner + 1]  # rows with equal ids are asked for each other's places
+                owner, place = owner[inside], place[inside]
+                wanted = np.zeros(len(text.start) + 1, np.int64)  # +1 where a span of starts begins, -1 behind it
+                np.add.at(wanted, np.maximum(place - (words - rank), text.first[owner]), 1)
+                np.add.at(wanted, place + 1, -1)
+                chosen = np.flatnonzero(np.cumsum(wanted)[at] > 0)
+                owner = text.text[at[chosen]]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(W.signed(window[chosen])), batch.column("_id").take(pa.array(owner)),
+                     pa.array((at[chosen] - text.first[owner]).astype(np.int32))], ["_key", "_id", "_pos"])
+    return run
+
+
 def _ends(reach: int):
     """The words before and behind each asked position of a text, as fingerprints."""
     def run(batches: Batches) -> Batches:
@@ -134,21 +164,34 @@ def repeats(docs: DataFrame, words: int = 50, rank: int = 40, gram: int = 8, key
     met = staged(ordered.mapInArrow(_neighbours(), T.StructType(
         [T.StructField("_what", T.IntegerType()), T.StructField("_part", T.IntegerType()), *row,
          T.StructField("_id0", kind), T.StructField("_pos0", T.IntegerType())])), "neighbours")
-    discard(suffixes)
     heads, tails = met.where(F.col("_what") == HEAD), met.where(F.col("_what") == TAIL)
     # a few rows per partition
     tails = tails.select((F.col("_part") + 1).alias("_part"), "_key", F.col("_id").alias("_id0"), F.col("_pos").alias("_pos0"))
     border = (heads.drop("_id0", "_pos0", "_what").join(F.broadcast(tails), ["_part", "_key"])
-              .where("_id0 <> _id").groupBy("_id", "_pos").agg(F.max(F.struct("_id0", "_pos0")).alias("_o"))
-              .select("_id", "_pos", "_o._id0", "_o._pos0"))
-    links = met.where(F.col("_what") == LINK).select("_id", "_pos", "_id0", "_pos0").union(border)
+              .where("_id0 <> _id").groupBy("_key", "_id", "_pos").agg(F.max(F.struct("_id0", "_pos0")).alias("_o"))
+              .select("_key", "_id", "_pos", "_o._id0", "_o._pos0"))
+    near = met.where(F.col("_what") == LINK).select("_key", "_id", "_pos", "_id0", "_pos0").union(border)
+    shared = staged(near.select("_key").distinct(), "shared-suffixes")
+    places = staged(suffixes.join(shared, "_key").groupBy("_id").agg(F.collect_set("_pos").alias("_at")), "shared-places")
+    discard(suffixes, shared)
+    windows = staged(docs.join(places, "_id").mapInArrow(_windows(words, rank), T.StructType(row)), "windows")
+    discard(places)
+    first = (windows.groupBy("_key").agg(F.min(F.struct("_id", "_pos")).alias("_o"), F.max("_id").alias("_last"))
+             .where("_last <> _o._id").select("_key", F.col("_o._id").alias("_id0"), F.col("_o._pos").alias("_pos0")))
+    first = staged(first, "first-windows")
+    # a window is its first and its last suffix
+    exact = windows.join(first, "_key").where("_id <> _id0").select("_id", "_id0", "_pos0", "_pos", F.explode(
+        F.array(F.lit(0), F.lit(words - rank))).alias("_move"))
+    exact = exact.select("_id", (F.col("_pos") + F.col("_move")).alias("_pos"), "_id0",
+                         (F.col("_pos0") + F.col("_move")).alias("_pos0"))
+    links = near.drop("_key").union(exact)
     links = links.withColumn("_shift", F.col("_pos") - F.col("_pos0"))
     pair = "partition by _id, _id0, _shift order by _pos"
     links = links.withColumn("_new", F.expr(f"coalesce(_pos - lag(_pos) over ({pair}) > {rank}, true)").cast("int"))
     links = links.withColumn("_run", F.expr(f"sum(_new) over ({pair})"))
     runs = staged(links.groupBy("_id", "_id0", "_shift", "_run").agg(
         F.min("_pos").alias("_from"), (F.max("_pos") + rank).alias("_to")), "matches")
-    discard(met)
+    discard(met, windows, first)
     asked = [runs.select(F.col(i).alias("_id"), F.explode(F.array(F.col("_from") - move, F.col("_to") - move)).alias("_at"))
              for i, move in (("_id", F.lit(0)), ("_id0", F.col("_shift")))]
     asked = staged(asked[0].union(asked[1]).groupBy("_id").agg(F.collect_set("_at").alias("_at")), "asked")

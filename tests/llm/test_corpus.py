@@ -172,6 +172,15 @@ def test_repeated_passages_are_found_and_nothing_else(docs, nothing, texts):
     assert suffixes.repeats(nothing).count() == 0
 
 
+def test_a_shorter_match_of_the_neighbour_hides_no_passage(spark):
+    rng = random.Random(8)
+    passage = sentence(rng, 60, 10**6).split()
+    pieces = [w for k in range(16) for w in [*passage[k:k + 45], f"x{k}"]]  # all 40 words in a row, never 50
+    rows = [(i, " ".join(w)) for i, w in ((1, ["a", *passage, "b"]), (2, pieces), (3, ["c", "d", *passage, "e"]))]
+    found = suffixes.repeats(spark.createDataFrame(rows, "doc_id int, text string")).collect()
+    assert [(r.doc_id, r.kept_doc_id, r.start_word, r.end_word, r.kept_start_word) for r in found] == [(3, 1, 2, 62, 1)]
+
+
 # 4 pages
 
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header class=top><a href=/>Home</a></header>
