@@ -3,9 +3,10 @@
 Texts become sequences of lower-case words in which numbers, units and names (capitalised words inside a sentence) are
 typed placeholders. Windows of ``window`` placeholders and words are hashed; windows of documents and of benchmark
 items meet in a hash join, so that a question with other numbers or names still matches. Hits of one document and
-item on one alignment are then checked on their slots: over the whole alignment the item's values and the document's
-must correspond one to one, as they do when a question is re-parameterised and do not when unrelated texts happen to
-share a frame. A document contains an item if the consistent alignments cover at least ``least_words`` of its words,
+item on one alignment are then checked on their slots: over the whole alignment each value of the item must stand for
+one value of the document, as when a question is re-parameterised (two values may become equal) and not when unrelated
+texts happen to share a frame. Windows whose own words are equal count whatever the rest of the alignment holds. A
+document contains an item if these windows and the consistent alignments cover at least ``least_words`` of its words,
 or all of it.
 
 Windows with fewer than ``window / 2`` plain words prove nothing and are not used. An item shorter than a window is one
@@ -121,16 +122,24 @@ def _matches(docs: DataFrame, items: DataFrame, key: str, text: str, item: str,
     again = staged(again, "touched-words")
     both = (hits.join(again, F.col("_id").eqNullSafe(F.col("_k")) & (F.col("_own") == F.col("_o")))
             .join(known, "_item"))
-    covered = F.array_distinct(F.flatten(F.transform(
-        "_hits", lambda h: F.sequence(h["_item_at"], h["_item_at"] + h["_n"] - 1))))
-    both = both.withColumn("_covered", covered)
+
+    def places(found: Column) -> Column:
+        return F.array_distinct(F.flatten(F.transform(
+            found, lambda h: F.sequence(h["_item_at"], h["_item_at"] + h["_n"] - 1))))
+
+    def bare(words: str, at: Column, n: Column) -> Column:
+        return F.transform(F.slice(words, at + 1, n), lambda t: F.replace(t, F.lit(MARK), F.lit("")))
+
+    exact = F.filter("_hits", lambda h: bare("_item_words", h["_item_at"], h["_n"])
+                     == bare("_words", h["_item_at"] + F.col("_shift"), h["_n"]))
+    both = both.withColumn("_covered", places(F.col("_hits"))).withColumn("_exact", places(exact))
     pairs = F.array_distinct(F.filter(
         F.transform("_covered", lambda i: F.struct(F.get("_item_words", i).alias("item"),
                                                    F.get("_words", i + F.col("_shift")).alias("doc"))),
         lambda p: is_slot(p["item"])))
     both = both.withColumn("_pairs", pairs)
-    one_to_one = ((F.size(F.array_distinct(F.col("_pairs.item"))) == F.size("_pairs"))
-                  & (F.size(F.array_distinct(F.col("_pairs.doc"))) == F.size("_pairs")))
-    return (both.where(one_to_one).groupBy("_id", "_own", "_item", "_length")
+    consistent = F.size(F.array_distinct(F.col("_pairs.item"))) == F.size("_pairs")
+    both = both.withColumn("_covered", F.when(consistent, F.col("_covered")).otherwise(F.col("_exact")))
+    return (both.groupBy("_id", "_own", "_item", "_length")
             .agg(F.size(F.array_distinct(F.flatten(F.collect_list("_covered")))).alias("n_covered"))
             .where(F.col("n_covered") >= F.least(F.lit(least_words), F.col("_length"))))

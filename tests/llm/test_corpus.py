@@ -290,6 +290,16 @@ def test_other_numbers_and_names_are_found_inconsistent_ones_not(spark, docs, no
     assert [r.item_id for r in decontaminate.leaks(short, items).collect()] == [13]
 
 
+def test_one_edit_hides_no_verbatim_words_and_values_may_coincide(spark):
+    item = "If a farmer sells 3 baskets of apples and 5 baskets of pears then how many baskets were sold in the market"
+    rows = [(1, ITEM.replace("before Alice", "before Dave")), (2, item.replace("3", "4").replace("5", "4")),
+            (3, ITEM.replace("Alice", "Carol").replace("before Carol", "before Dave"))]
+    table = spark.createDataFrame(rows, "doc_id int, text string")
+    items = spark.createDataFrame([(10, ITEM), (11, item)], "item_id int, text string")
+    got = {(r.doc_id, r.item_id): r.n_covered for r in decontaminate.leaks(table, items).collect()}
+    assert got == {(1, 10): 19, (2, 11): 22}
+
+
 # 7 near copies
 
 def brute_components(rows, size, share):
