@@ -5,11 +5,12 @@ typed placeholders. Windows of ``window`` placeholders and words are hashed; win
 items meet in a hash join, so that a question with other numbers or names still matches. Hits of one document and
 item on one alignment are then checked on their slots: over the whole alignment each value of the item must stand for
 one value of the document, as when a question is re-parameterised (two values may become equal) and not when unrelated
-texts happen to share a frame. Windows whose own words are equal count whatever the rest of the alignment holds. A
-document contains an item if these windows and the consistent alignments cover at least ``least_words`` of its words,
-or all of it.
+texts happen to share a frame. Windows of the lower-case words themselves meet in the same join and count whatever
+the rest of the alignment holds, as what is a name depends on case and on the word before. A document contains an item
+if these windows and the consistent alignments cover at least ``least_words`` of its words, or all of it. n_covered
+counts the words under consistent templates where these are enough, else those under equal windows too.
 
-Windows with fewer than ``window / 2`` plain words prove nothing and are not used. An item shorter than a window is one
+Templates with fewer than ``window / 2`` plain words prove nothing and are not used. An item shorter than a window is one
 window of its own length, from ``shortest`` words on; shorter items are never found.
 
 The item side is written before the join, so that the planner knows its size: a small one is sent to the tasks, a large
@@ -61,19 +62,25 @@ def is_slot(token: Column) -> Column:
     return (token < ":") | token.isin(*UNITS)
 
 
+def bare(token: Column) -> Column:
+    """The token without its mark, as a name or not."""
+    return F.replace(token, F.lit(MARK), F.lit(""))
+
+
 def windows(words: Column, sizes: list[int]) -> Column:
-    """(at, size, hash) of every window of the given sizes."""
-    def of(hashes: Column, size: int) -> Column:
+    """(at, size, own, hash) of every window of the given sizes, as templates and (own) as the words themselves."""
+    def of(hashes: Column, size: int, own: bool) -> Column:
         last = F.size(hashes) - size
         return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(
-            i.alias("at"), F.lit(size).alias("n"), F.xxhash64(F.slice(hashes, i + 1, size)).alias("hash")))).otherwise(
-            F.array().cast("array<struct<at:int,n:int,hash:bigint>>"))
+            i.alias("at"), F.lit(size).alias("n"), F.lit(own).alias("own"),
+            F.xxhash64(F.slice(hashes, i + 1, size)).alias("hash")))).otherwise(
+            F.array().cast("array<struct<at:int,n:int,own:boolean,hash:bigint>>"))
 
-    def all_of(hashes: Column) -> Column:
-        found = [of(hashes, size) for size in sizes]
-        return found[0] if len(found) == 1 else F.concat(*found)
+    def all_of(form: Callable[[Column], Column], own: bool) -> Column:
+        return let(F.transform(words, lambda t: F.xxhash64(form(t))),
+                   lambda hashes: F.concat(*[of(hashes, size, own) for size in sizes]))
 
-    return let(F.transform(words, lambda t: F.xxhash64(kind(t))), all_of)
+    return F.concat(all_of(kind, False), all_of(bare, True))
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -105,16 +112,18 @@ def _matches(docs: DataFrame, items: DataFrame, key: str, text: str, item: str,
     frame = known.select("_item", "_length", "_item_words", F.explode(windows(F.col("_item_words"), sizes)).alias("_w"))
     frame = frame.where((F.col("_w.n") == window) | (F.col("_w.n") == F.col("_length")))
     plain = F.size(F.filter(F.slice("_item_words", F.col("_w.at") + 1, F.col("_w.n")), lambda t: ~is_slot(t)))
-    frame = frame.where(plain * 2 >= F.col("_w.n")).select(
-        "_item", F.col("_w.at").alias("_item_at"), F.col("_w.n").alias("_n"), F.col("_w.hash").alias("_hash"))
+    frame = frame.where(F.col("_w.own") | (plain * 2 >= F.col("_w.n"))).select(
+        "_item", F.col("_w.at").alias("_item_at"), F.col("_w.n").alias("_n"), F.col("_w.own").alias("_same"),
+        F.col("_w.hash").alias("_hash"))
     frame = staged(frame, "item-windows")
     docs = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
     own = F.xxhash64("_text")
     hits = (docs.select("_id", own.alias("_own"), F.explode(windows(tokens("_text"), sizes)).alias("_w"))
-            .select("_id", "_own", F.col("_w.at").alias("_at"), F.col("_w.n").alias("_n"), F.col("_w.hash").alias("_hash"))
-            .join(frame, ["_hash", "_n"]))
+            .select("_id", "_own", F.col("_w.at").alias("_at"), F.col("_w.n").alias("_n"), F.col("_w.own").alias("_same"),
+                    F.col("_w.hash").alias("_hash"))
+            .join(frame, ["_hash", "_n", "_same"]))
     hits = (hits.groupBy("_id", "_own", "_item", (F.col("_at") - F.col("_item_at")).alias("_shift"))
-            .agg(F.collect_set(F.struct("_item_at", "_n")).alias("_hits")))
+            .agg(F.collect_set(F.struct("_item_at", "_n", "_same")).alias("_hits")))
     hits = staged(hits, "hits")
     touched = staged(hits.select(F.col("_id").alias("_k"), F.col("_own").alias("_o")).distinct(), "touched")
     again = (docs.withColumn("_own", own).join(touched, F.col("_id").eqNullSafe(F.col("_k")) & (F.col("_own") == F.col("_o")))
@@ -127,19 +136,21 @@ def _matches(docs: DataFrame, items: DataFrame, key: str, text: str, item: str,
         return F.array_distinct(F.flatten(F.transform(
             found, lambda h: F.sequence(h["_item_at"], h["_item_at"] + h["_n"] - 1))))
 
-    def bare(words: str, at: Column, n: Column) -> Column:
-        return F.transform(F.slice(words, at + 1, n), lambda t: F.replace(t, F.lit(MARK), F.lit("")))
-
-    exact = F.filter("_hits", lambda h: bare("_item_words", h["_item_at"], h["_n"])
-                     == bare("_words", h["_item_at"] + F.col("_shift"), h["_n"]))
-    both = both.withColumn("_covered", places(F.col("_hits"))).withColumn("_exact", places(exact))
+    both = both.withColumn("_covered", places(F.filter("_hits", lambda h: ~h["_same"])))
+    both = both.withColumn("_exact", places(F.filter("_hits", lambda h: h["_same"])))
     pairs = F.array_distinct(F.filter(
         F.transform("_covered", lambda i: F.struct(F.get("_item_words", i).alias("item"),
                                                    F.get("_words", i + F.col("_shift")).alias("doc"))),
         lambda p: is_slot(p["item"])))
     both = both.withColumn("_pairs", pairs)
     consistent = F.size(F.array_distinct(F.col("_pairs.item"))) == F.size("_pairs")
-    both = both.withColumn("_covered", F.when(consistent, F.col("_covered")).otherwise(F.col("_exact")))
+    both = both.withColumn("_covered", F.when(consistent, F.col("_covered")).otherwise(F.array().cast("array<int>")))
+
+    def size(*columns: str) -> Column:
+        return F.size(F.array_distinct(F.flatten(F.concat(*[F.collect_list(c) for c in columns]))))
+
+    least = F.least(F.lit(least_words), F.col("_length"))
     return (both.groupBy("_id", "_own", "_item", "_length")
-            .agg(F.size(F.array_distinct(F.flatten(F.collect_list("_covered")))).alias("n_covered"))
-            .where(F.col("n_covered") >= F.least(F.lit(least_words), F.col("_length"))))
+            .agg(size("_covered").alias("_template"), size("_covered", "_exact").alias("_both"))
+            .withColumn("n_covered", F.when(F.col("_template") >= least, F.col("_template")).otherwise(F.col("_both")))
+            .where(F.col("n_covered") >= least).drop("_template", "_both"))

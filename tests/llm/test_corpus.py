@@ -300,6 +300,16 @@ def test_one_edit_hides_no_verbatim_words_and_values_may_coincide(spark):
     assert got == {(1, 10): 19, (2, 11): 22}
 
 
+def test_verbatim_items_are_found_whatever_is_a_name(spark):
+    short, sums = "Which planet is the largest one of all", "1 2 3 4 5 6 7 8 9 10 11 12 13 14"
+    rows = [(1, f"Question: {short}?"), (2, f"so {short.lower()}"), (3, f"Table {sums} end"), (4, ITEM.upper()),
+            (5, "Which planet is the largest one"), (6, sums.replace("7", "70"))]
+    table = spark.createDataFrame(rows, "doc_id int, text string")
+    items = spark.createDataFrame([(10, short), (11, sums), (12, ITEM)], "item_id int, text string")
+    got = {(r.doc_id, r.item_id): r.n_covered for r in decontaminate.leaks(table, items).collect()}
+    assert got == {(1, 10): 8, (2, 10): 8, (3, 11): 14, (4, 12): 24}
+
+
 # 7 near copies
 
 def brute_components(rows, size, share):
