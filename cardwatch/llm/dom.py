@@ -12,7 +12,9 @@ BLOCK = set("address article aside blockquote body center dd details dialog dir
             "form frameset h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol optgroup option p pre search "
             "section select summary table tbody td tfoot th thead tr ul".split())
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
-RAW = set("script style noscript template iframe noembed noframes xmp textarea title svg math object canvas audio video button select datalist".split())
+RAW = set("script style noscript template iframe noembed noframes xmp textarea title svg object canvas audio video button select datalist annotation "
+          "annotation-xml".split())
+HARD = set("script style iframe noembed noframes xmp textarea title".split())  # hold no markup
 CLOSES = {"li": {"li"}, "dt": {"dt", "dd"}, "dd": {"dt", "dd"}, "tr": {"tr", "td", "th"}, "td": {"td", "th"},
           "th": {"td", "th"}, "option": {"option"}, "optgroup": {"option", "optgroup"}, "tbody": {"tr", "td", "th", "thead"},
           "tfoot": {"tr", "td", "th", "tbody"}}
@@ -29,6 +31,7 @@ AGAINST = set("nav navigation navbar menu header masthead footer sidebar aside a
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
                     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+(?:>|\Z)", re.S)
 _ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop|data-role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_SELF_CLOSED = re.compile(r"(?<!=)(?:^|[\s\"']|\s[^\s=\"']+)/\Z")
 _WORD = re.compile(r"[a-z]+")
 _STOP = re.compile(r"[.!?,;:]")
 _CAMEL = re.compile(r"(?<=[a-z])(?=[A-Z])")
@@ -89,6 +92,29 @@ class Page:
     def _read(self, source: str) -> None:
         stack: list[tuple[str, int]] = [("#page", 0)]  # open elements; inline ones stand for their block
         links, at = 0, 0
+        failed: dict[str, int] = {}  # up to where there is no end tag of a name
+
+        def hidden(name: str, at: int) -> int:
+            """Where the content of an element ends: behind its end tag in the enclosing block, else at the next tag of a
+            block."""
+            blocks = {n for n, _ in stack if n in BLOCK}
+            inner: dict[str, int] = {}
+            place, near = at, None
+            while found := _TOKEN.search(source, place):
+                tag, ends = (found[2] or found[5] or "").lower(), found[1] or found[4]
+                place = found.end()
+                if ends and tag == name and at >= failed.get(name, 0):
+                    return place
+                if tag in BLOCK:
+                    near = found.start() if near is None else near
+                    if at < failed.get(name, 0) or (ends and not inner.get(tag) and tag in blocks):
+                        break
+                    inner[tag] = inner.get(tag, 0) + (-1 if ends and inner.get(tag) else 0 if ends else 1)
+                elif tag in HARD and not ends:
+                    end = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, place)
+                    place = end.end() if end else len(source)
+            failed[name] = max(failed.get(name, 0), place if found else len(source))
+            return len(source) if near is None else near
 
         def close(to: int) -> None:
             nonlocal links
@@ -118,6 +144,11 @@ class Page:
             owner = stack[-1][1]
             if name in CONTROLS:
                 self.controls[owner] += 1
+            if name == "svg" and _SELF_CLOSED.search(found[3] if found[2] else found[6]):
+                continue
+            if name in RAW and name not in HARD and name not in CONTROLS:
+                at = hidden(name, at)
+                continue
             if name in RAW:
                 end = re.compile(rf"</{re.escape(name)}\b[^>]*>", re.I).search(source, at)
                 at = end.end() if end else at if name in CONTROLS else len(source)

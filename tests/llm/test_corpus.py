@@ -226,6 +226,20 @@ def test_controls_have_no_text_and_unclosed_ones_hide_nothing():
     assert dom.Page("<p>a<script>b").text([True] * 2) == "a"
 
 
+@pytest.mark.parametrize("markup, expected", [
+    ("<p>a<svg class=icon /> b</p><p>c", "a b\nc"), ("<p>a <svg/>b</p><p>c<svg><path d=x /></svg>", "a b\nc"),
+    ("<p>a <math><mi>x</mi><mo>=</mo><mn>1</mn><annotation>x=1</annotation></math> b", "a x=1 b"), ("<p>a<math/> b", "a b"),
+    ("<p>a<object data=x>no</p><p>b</p><p>c<object>no</object>", "a\nb\nc"), ("<p>a<video src=x>no<p>b<p>c", "a\nb\nc"),
+    ("<div>a<object><p>no</p></object> b</div>", "a b"), ("<p>a<canvas>no<script>'</p>'</script>no</canvas>b", "ab")])
+def test_foreign_and_unclosed_elements_hide_no_text_behind_them(markup, expected):
+    page = dom.Page(markup)
+    assert page.text([True] * len(page.tag)) == expected
+
+
+def test_very_many_unclosed_elements():
+    assert dom.Page("<div>" + "<svg>x" * 5000 + "</div>" + "<svg>y" * 5000 + "<p>z</svg>").features()
+
+
 def test_very_long_and_broken_markup():
     assert dom.Page("<p " + "a='" * 50_000).text([True]) is not None
     assert dom.Page("<div>" * 3000 + "x").features()[-1][4] == 3000
