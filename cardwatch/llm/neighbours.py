@@ -13,8 +13,8 @@ about two times ``block_rows`` rows. A block builds the lower levels and visits
 their own cell; with the bound found there they go on only to blocks whose box passes the same test. The driver holds
 the sample and the boxes, at most about 2^17; block_rows grows with the table to keep that bound.
 
-Defined cases: vectors that are null, zero, hold null or non-finite numbers, or have another length than the longest,
-and rows without an id, take no part; a query's own id is no candidate; equal scores are ranked by id; with fewer than
+Defined cases: vectors that are null, zero, hold null or non-finite numbers, or have another length than most
+(the smaller length on ties), and rows without an id, take no part; a query's own id is no candidate; equal scores are ranked by id; with fewer than
 k candidates all are returned; an empty table gives an empty result.
 """
 
@@ -50,8 +50,9 @@ def usable(vectors: DataFrame, key: str, vector: str) -> tuple[DataFrame, int, f
     rows = rows.where(F.forall("_v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
                       & F.exists("_v", lambda x: x != 0))
     square = F.aggregate("_v", F.lit(0.0), lambda total, x: total + x * x)
-    size, longest = rows.agg(F.max(F.size("_v")), F.max(square)).first()
-    return rows.where(F.size("_v") == (size or 0)), size or 0, float(longest or 0.0)
+    sizes = rows.groupBy(F.size("_v").alias("_size")).agg(F.count("*").alias("_n"), F.max(square).alias("_longest"))
+    size, _, longest = sizes.orderBy(F.desc("_n"), "_size").first() or (0, 0, 0.0)
+    return rows.where(F.size("_v") == size), size, float(longest)
 
 
 def tree(points: np.ndarray, cells: int) -> list[tuple[int, float]]:

@@ -281,6 +281,13 @@ def test_few_or_no_vectors(spark):
     assert neighbours.nearest(one.limit(0), F.col("_id") % 20 == 0).count() == 0
 
 
+def test_one_longer_vector_removes_no_other(spark):
+    rows = [(0, [1.0, 2.0]), (20, [2.0, 1.0]), (7, [1.0, 1.0]), (40, [9.0, 9.0, 9.0])]
+    table = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest(table, F.col("_id") % 20 == 0).collect()
+    assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(0, 1, 20), (0, 2, 7), (20, 1, 0), (20, 2, 7)]
+
+
 # 6 benchmark
 
 ITEM = "A train leaves Paris at 14 with Alice on board and travels for 3 hours at 120 km before Alice meets Bob in Rome"
