@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.llm import (decontaminate, html_text, jaccard_join, line_templates, mixing, neighbours, quality, substring,
-                           suffixes, warc)
+from cardwatch.llm import (decontaminate, hard_negatives, html_text, jaccard_join, line_templates, mixing, neighbours,
+                           prefix_trie, quality, simhash, substring, suffixes, warc)
 from cardwatch.llm.catalog import ORACLES, QUERIES, query, table
 
 __all__ = ["ORACLES", "QUERIES"]
@@ -203,3 +203,67 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_nearest")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), F.col("_id") % 20 == 0, k=20)
+
+
+TRIE_SQL = r"""
+WITH t AS (SELECT conv_id AS c, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''),
+                  sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p,
+                  length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS said,
+                  coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS n
+           FROM conversations WHERE conv_id IS NOT NULL),
+o AS (SELECT c, list({'s': said, 'n': n} ORDER BY p) AS ts FROM t GROUP BY c),
+k AS (SELECT c, xor(list_reduce(list_concat([CAST(4294967295 AS BIGINT)], [CAST(ascii(s) AS BIGINT) FOR s IN string_split(CAST(c AS VARCHAR), '')]),
+             lambda a, b: list_reduce(list_concat([xor(a, b)], [CAST(i AS BIGINT) FOR i IN range(8)]),
+             lambda q, i: CASE WHEN q % 2 = 1 THEN xor(q // 2, 3988292384) ELSE q // 2 END)), 4294967295) % 4 AS h FROM o),
+r AS (SELECT o.c, list_concat(coalesce(b.ts[1:k.h], []), o.ts[k.h + 1:]) AS ts
+      FROM o JOIN k ON o.c = k.c LEFT JOIN o b ON b.c = o.c - o.c % 20),
+x AS (SELECT c, ts, len(ts) AS len, unnest(range(len(ts) + 1)) AS depth FROM r),
+n AS (SELECT depth, ts[1:depth] AS path, min(c) AS conv_id, count(*) AS n_convs,
+             coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE len = depth), '') AS ends
+      FROM x GROUP BY depth, ts[1:depth]),
+m AS (SELECT n.*, coalesce(k.n_children, 0) AS n_children, p.conv_id AS parent_conv_id,
+             CASE WHEN n.depth = 0 THEN 0 ELSE (n.n_convs - 1) * n.path[-1].n END AS saved
+      FROM n LEFT JOIN (SELECT depth - 1 AS depth, path[1:depth - 1] AS path, count(*) AS n_children FROM n WHERE depth > 0 GROUP BY ALL) k
+             ON n.depth = k.depth AND n.path = k.path
+             LEFT JOIN n p ON p.depth = n.depth - 1 AND p.path = n.path[1:n.depth - 1]),
+u AS (SELECT depth, path[1:depth] AS path, sum(leaf) AS n_leaves, sum(saved) AS saved_tokens
+      FROM (SELECT path, unnest(range(depth + 1)) AS depth, CASE WHEN n_children = 0 THEN 1 ELSE 0 END AS leaf, saved FROM m)
+      GROUP BY depth, path[1:depth])
+SELECT m.conv_id, m.depth, m.parent_conv_id, m.n_convs, CAST(m.n_children AS BIGINT) AS n_children,
+       CAST(u.n_leaves AS BIGINT) AS n_leaves, CAST(u.saved_tokens AS BIGINT) AS saved_tokens, sha256(m.ends) AS ends_sha256
+FROM m JOIN u ON m.depth = u.depth AND m.path = u.path
+"""
+
+
+@query("op11_prefix_trie", TRIE_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conv = F.col("_conv")
+    return prefix_trie.trie(table(spark, sf_dir, "conversations"), base=conv - conv % 20,
+                            kept=F.crc32(conv.cast("string")) % 4)
+
+
+NEGATIVES_SQL = """
+WITH e AS (SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                  [floor(256 * CAST(x AS DOUBLE)) FOR x IN embedding] AS v
+           FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+             AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0),
+s AS (SELECT a.vec_id AS anchor_id, e.vec_id, a.label = e.label AS same, CAST(list_dot_product(a.v, e.v) AS BIGINT) AS score
+      FROM e a JOIN e ON a.vec_id <> e.vec_id AND len(a.v) = len(e.v) WHERE a.vec_id % 50 = 0),
+p AS (SELECT * FROM s WHERE same QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5)
+SELECT p.anchor_id, p.vec_id AS positive_id, CAST(row_number() OVER w AS INTEGER) AS rank, n.vec_id AS negative_id,
+       p.score AS positive_score, n.score AS negative_score
+FROM p JOIN s n ON p.anchor_id = n.anchor_id AND NOT n.same AND 50 * p.score <= 100 * n.score AND 100 * n.score <= 95 * p.score
+WINDOW w AS (PARTITION BY p.anchor_id, p.vec_id ORDER BY n.score DESC, n.vec_id) QUALIFY row_number() OVER w <= 3
+"""
+
+
+@query("op12_hard_negatives", NEGATIVES_SQL)
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return hard_negatives.mine(vectors.withColumn("label", moved), F.col("_id") % 50 == 0)
+
+
+@query("op13_simhash")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.grouped(table(spark, sf_dir, "documents"))
