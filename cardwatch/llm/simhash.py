@@ -217,12 +217,10 @@ def linked(classes: DataFrame, budget: int, shard_rows: int) -> DataFrame:
     """Edges (a, b) between representatives, enough to connect whatever links connect; classes: (_print, rep)."""
     spark, kind = classes.sparkSession, classes.schema["rep"].dataType
     ends = T.StructType([T.StructField("a", kind), T.StructField("b", kind)])
-    todo, found, again = classes.withColumn("_of", F.lit(0).cast("bigint")), None, [0]
+    first = F.explode(F.array(*[F.lit(_long(m)) for m in blocks(0, budget)])).alias("_mask")
+    todo, found, again = classes.select("_print", "rep", first), None, True
     while again:
-        # masks lead to budget + 1 others in each of a few rounds, whatever the number of shards
-        finer = spark.createDataFrame([(_long(m), _long(x)) for m in again for x in blocks(m, budget)], "_of bigint, _mask bigint")
-        dealt = staged(todo.join(F.broadcast(finer), "_of").select(
-            "_print", "rep", "_mask", F.col("_print").bitwiseAND(F.col("_mask")).alias("_value")), "shards")
+        dealt = staged(todo.withColumn("_value", F.col("_print").bitwiseAND(F.col("_mask"))), "shards")
         sizes = staged(dealt.groupBy("_mask", "_value").agg(F.count("*").alias("_n")).where("_n > 1"), "shard-sizes")
         small = dealt.join(sizes.where(F.col("_n") <= shard_rows), ["_mask", "_value"], "left_semi")
         edges = staged(small.repartition("_mask", "_value").sortWithinPartitions("_mask", "_value", "_print")
@@ -230,8 +228,10 @@ def linked(classes: DataFrame, budget: int, shard_rows: int) -> DataFrame:
         found = edges if found is None else found.union(edges)
         large = sizes.where(F.col("_n") > shard_rows)
         again = sorted(r[0] % (1 << BITS) for r in large.select("_mask").distinct().collect())
-        todo = staged(dealt.join(large, ["_mask", "_value"], "left_semi").select(
-            "_print", "rep", F.col("_mask").alias("_of")), "large-shards") if again else todo
+        if again:  # masks lead to budget + 1 others in each of a few rounds, whatever the number of shards
+            finer = spark.createDataFrame([(_long(m), _long(x)) for m in again for x in blocks(m, budget)], "_of bigint, _mask bigint")
+            left = dealt.join(large, ["_mask", "_value"], "left_semi").select("_print", "rep", F.col("_mask").alias("_of"))
+            todo = staged(left.join(F.broadcast(finer), "_of").select("_print", "rep", "_mask"), "large-shards")
         discard(dealt, sizes)
     return found.distinct()
 
