@@ -10,11 +10,11 @@ from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.functions import rules, times
-from cardwatch.functions.numbers import ratio
+from cardwatch.learning.evaluation import evaluate_scores
 from cardwatch.operators import shape
 
 # Input columns of the models.
@@ -101,28 +101,19 @@ def search_results(spark: SparkSession, search: CrossValidatorModel) -> DataFram
         F.desc("auc_roc"), "max_iter", "reg", "elastic_net")
 
 
-def evaluate(predictions: DataFrame, name: str = "model") -> DataFrame:
-    """One row of metrics: areas, accuracy, precision, recall, F1 and the confusion counts."""
-    known = predictions.where(F.col("label").isNotNull())
-    areas = {m: BinaryClassificationEvaluator(labelCol="label", metricName=m).evaluate(known)
-             for m in ("areaUnderROC", "areaUnderPR")}
-    guess, truth = F.col("prediction") == 1, F.col("label") == 1
+def scores(predictions: DataFrame, name: str = "model") -> DataFrame:
+    """What evaluation needs of a model's output: (model, score, prediction, label)."""
+    return predictions.select(F.lit(name).alias("model"), vector_to_array("probability")[1].alias("score"), "prediction", "label")
 
-    def cell(condition: Column) -> Column:
-        return F.coalesce(F.count_if(condition), F.lit(0))
 
-    tp, fp, fn, tn = cell(guess & truth), cell(guess & ~truth), cell(~guess & truth), cell(~guess & ~truth)
-    return known.agg(
-        F.lit(name).alias("model"), F.lit(areas["areaUnderROC"]).alias("auc_roc"),
-        F.lit(areas["areaUnderPR"]).alias("auc_pr"), ratio(tp + tn, tp + fp + fn + tn).alias("accuracy"),
-        ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"),
-        ratio(2 * tp, 2 * tp + fp + fn).alias("f1"), tp.alias("true_positives"), fp.alias("false_positives"),
-        fn.alias("false_negatives"), tn.alias("true_negatives"))
+def evaluate(predictions: DataFrame, name: str = "model") -> DataFrame:
+    """One row of metrics: areas, accuracy, precision, recall, F1 and the confusion counts."""
+    return evaluate_scores(scores(predictions, name))
 
 
-def best(metrics: Sequence[DataFrame]) -> DataFrame:
+def best(metrics: DataFrame) -> DataFrame:
     """The row with the highest F1."""
-    return shape.union_batches(metrics).orderBy(F.desc_nulls_last("f1"), "model").limit(1)
+    return metrics.orderBy(F.desc_nulls_last("f1"), "model").limit(1)
 
 
 def predict(model: PipelineModel, df: DataFrame, threshold: float = 0.5, prepared: bool = False) -> DataFrame:

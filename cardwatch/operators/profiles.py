@@ -9,6 +9,7 @@ from cardwatch.functions import numbers, rules, times
 from cardwatch.functions.numbers import count_if, mean, ratio, total, total_if
 from cardwatch.operators import windows
 from cardwatch.operators.aggregates import hourly_velocity, labelled, mean_score, rows
+from cardwatch.operators.busy import ROWS
 from cardwatch.operators.dashboards import HIT, last_days
 from cardwatch.operators.spread import join_per_key
 from cardwatch.schemas import WAREHOUSE
@@ -206,7 +207,8 @@ def card_testing_hours(df: DataFrame, min_rows: int = 3, below: float = 5) -> Da
     hours = small.groupBy("customer_id", "hour").agg(
         rows().alias("small_tx_count"), total().alias("total_small_amount")
     ).where(F.col("small_tx_count") >= min_rows)
-    return (small.join(hours, ["customer_id", "hour"])
+    known = hours.select("customer_id", "hour", F.col("small_tx_count").alias(ROWS))
+    return (join_per_key(small, hours, ["customer_id", "hour"], "inner", sizes=known)
             .select("customer_id", "hour", "small_tx_count", "total_small_amount", "transaction_id",
                     "merchant_category", "channel")
             .orderBy("customer_id", "hour", "transaction_id"))
@@ -241,7 +243,7 @@ def investigation_queue(scored: DataFrame, profiles: DataFrame, days: int = 0, n
     severe = last_days(scored, days, as_of).where(F.col("alert_required"))
     past = profiles.select("customer_id", F.col("fraud_count").alias("historical_frauds"), "avg_transaction_amount")
     ratio_to_mean = F.col("amount") / F.nullif(F.col("avg_transaction_amount"), F.lit(0.0))
-    return (severe.join(past, "customer_id", "left").withColumn("amount_ratio", ratio_to_mean)
+    return (join_per_key(severe, past).withColumn("amount_ratio", ratio_to_mean)
             .where((F.col("amount") > 5000) | (F.col("amount_ratio") > 5) | (F.col("historical_frauds") > 0))
             .select("transaction_id", "customer_id", "amount", "merchant_category", "location", "fraud_score",
                     "risk_level", "historical_frauds", "avg_transaction_amount", "amount_ratio")

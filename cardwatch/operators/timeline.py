@@ -1,18 +1,17 @@
 """Per-key windows that stay bounded when one key owns a large share of the rows.
 
-A window over ``PARTITION BY customer ORDER BY time`` puts all rows of a
-customer into one task. Here the timeline of a *busy* key is first cut into
-slices of time; windows then run per (key, slice). What a frame needs from
-earlier slices is handed over explicitly:
+A window over ``PARTITION BY customer ORDER BY time`` puts all rows of a customer into one task. Here the rows of a
+*busy* key, found by one combined count, are put in order by a distributed sort and cut into slices of exactly
+``rows_per_slice`` rows; windows then run per (key, slice). A missing key is a key, and a slice may begin inside an
+instant, so neither a burst nor an early stray row makes a slice larger. What a frame needs from elsewhere is handed
+over explicitly:
 
-* ``back_ms``   rows of the previous slice that ``recent`` can still reach,
 * ``back_rows`` the last k rows before the slice, for LAG and ROWS frames,
-* ``running``   totals of all earlier slices, for frames from the beginning.
+* ``running``   totals of all earlier slices, for frames from the beginning,
+* ``upto``, ``recent``  totals up to an instant, ties included, from one row per (key, instant).
 
-Handed-over rows are flagged and dropped by ``close``, so each input row comes
-out exactly once and all results equal those of the plain window. Keys below
-the limit have one slice and behave as in a plain window; if no key is busy the
-extra branches are empty and adaptive execution removes them.
+Handed-over rows are flagged and dropped by ``close``, so each input row comes out exactly once and all results equal
+those of the plain window. If no key is busy there is one slice, and the plan is that of the plain window.
 """
 
 from __future__ import annotations
@@ -24,14 +23,12 @@ from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from cardwatch.functions.numbers import whole_div
+from cardwatch.operators.busy import ROWS, beside, busy_keys, positions
+from cardwatch.session import staged
 
-SLICE, HALO, LEAVING = "_slice", "_halo", "_leaving"
-LO, HI, SLICES = "_lo", "_hi", "_slices"
-# Slices are planned this much finer than needed, as rows are not spread evenly in time.
-FINER = 8
-# Upper bound of the broadcast list of busy keys. Each has more than
-# ``rows_per_slice`` rows; keys beyond the bound are processed unsliced.
-MOST_BUSY_KEYS = 100_000
+SLICE, HALO, BUSY, LEAVING = "_slice", "_halo", "_is_busy", "_leaving"
+#: Totals over instants run per stretch of so many units of time, which holds as many instants at most.
+STRETCH = 1 << 20
 
 
 @dataclass(frozen=True)
@@ -48,90 +45,65 @@ class Timeline:
     def last_rows(self, k: int) -> WindowSpec:
         return self.window().rowsBetween(-k, 0)
 
-    def _busy(self, df: DataFrame, back_ms: int) -> DataFrame:
-        sizes = df.groupBy(self.key).agg(F.count("*").alias("_n"), F.min(self.time).alias(LO),
-                                         F.max(self.time).alias(HI))
-        wanted = whole_div(F.col("_n") * FINER, F.lit(self.rows_per_slice))
-        # A slice is never shorter than the reach back in time.
-        possible = whole_div(F.col(HI) - F.col(LO) + 1, F.lit(max(back_ms, 1)))
-        return (sizes.where((F.col("_n") > self.rows_per_slice) & F.col(self.key).isNotNull())
-                .orderBy(F.desc("_n"), self.key).limit(MOST_BUSY_KEYS)
-                .select(self.key, LO, HI, F.greatest(F.least(wanted, possible), F.lit(1)).alias(SLICES)))
-
-    def _slice_at(self, time: Column) -> Column:
-        at = whole_div((time - F.col(LO)) * F.col(SLICES), F.col(HI) - F.col(LO) + 1)
-        return F.least(at, F.col(SLICES) - 1)
-
-    def cut(self, df: DataFrame, back_rows: int = 0, back_ms: int = 0) -> DataFrame:
-        """Adds the slice of each row and the handed-over rows (``_halo``)."""
-        busy = F.broadcast(self._busy(df, back_ms))
-        columns = df.columns
-        own = F.coalesce(self._slice_at(F.col(self.time)), F.lit(0)).alias(SLICE)
-        sliced = (df.join(busy, self.key, "left")
-                  .select(*columns, own, F.lit(False).alias(HALO), F.col(SLICES).isNotNull().alias("_is_busy")))
-        if not back_rows and not back_ms:
-            return sliced
-        placed = df.join(busy, self.key, "inner").withColumn(SLICE, self._slice_at(F.col(self.time)))
-        reach = self._slice_at(F.col(self.time) + back_ms)
-        frames = [sliced]
-        if back_ms:
-            frames.append(placed.where(reach > F.col(SLICE))
-                          .withColumn(SLICE, F.explode(F.sequence(F.col(SLICE) + 1, reach)))
-                          .select(*columns, SLICE, F.lit(True).alias(HALO), F.lit(True).alias("_is_busy")))
+    def cut(self, df: DataFrame, back_rows: int = 0) -> DataFrame:
+        """Adds the slice of each row and the handed-over rows (``_halo``); ``_is_busy`` only if there are busy keys."""
+        columns, first = df.columns, F.lit(0).cast("bigint").alias(SLICE)
+        busy = busy_keys(df, [self.key], self.rows_per_slice)
+        if busy is None:
+            return df.select(*columns, first, F.lit(False).alias(HALO))
+        marked = beside(df, busy, [self.key])
+        at = F.col("_position")
+        placed = positions(marked.where(F.col(ROWS).isNotNull()), self.key, (self.time, *self.ties), "_position")
+        size = F.lit(self.rows_per_slice)
+        out = marked.where(F.col(ROWS).isNull()).select(*columns, first, F.lit(False).alias(HALO), F.lit(False).alias(BUSY))
+        out = out.unionByName(placed.select(*columns, whole_div(at, size).alias(SLICE), F.lit(False).alias(HALO),
+                                            F.lit(True).alias(BUSY)))
         if back_rows:
-            frames.append(self._tails(placed, columns, back_rows, reach)
-                          .select(*columns, SLICE, F.lit(True).alias(HALO), F.lit(True).alias("_is_busy")))
-        out = frames[0]
-        for frame in frames[1:]:
-            out = out.unionByName(frame)
+            reach = F.least(whole_div(at + back_rows, size), whole_div(F.col(ROWS) - 1, size))
+            ahead = placed.where(reach > whole_div(at, size)).withColumn(
+                SLICE, F.explode(F.sequence(whole_div(at, size) + 1, reach)))
+            out = out.unionByName(ahead.select(*columns, SLICE, F.lit(True).alias(HALO), F.lit(True).alias(BUSY)))
         return out
 
-    def _tails(self, placed: DataFrame, columns: Sequence[str], k: int, reach: Column) -> DataFrame:
-        """The last k rows before each slice, except those a time hand-over brings anyway."""
-        latest_first = Window.partitionBy(self.key, SLICE).orderBy(*[F.desc(c) for c in (self.time, *self.ties)])
-        order = [self.time, *self.ties]
-        row = F.struct(*order, *[c for c in placed.columns if c not in order and c != SLICE])
-        per_slice = (placed.withColumn("_back", F.row_number().over(latest_first)).where(F.col("_back") <= k)
-                     .groupBy(self.key, SLICE).agg(F.sort_array(F.collect_list(row)).alias("_tail")))
-        # k earlier slices hold at least k rows, as only slices with rows are listed.
-        before = Window.partitionBy(self.key).orderBy(SLICE).rowsBetween(-k, -1)
-        handed = (per_slice.withColumn("_tail", F.flatten(F.collect_list("_tail").over(before)))
-                  .select(SLICE, F.explode(F.slice("_tail", F.greatest(F.size("_tail") - k + 1, F.lit(1)), k))
-                          .alias("_row"))
-                  .select("_row.*", SLICE))
-        return handed.where(reach < F.col(SLICE)).select(*columns, SLICE)
-
     def running(self, cut: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
         """Totals from the first row of the key up to and including each row.
 
         Call it right after ``cut``; measures are additive expressions over the input columns.
         """
         parts = {f"_m{i}": F.when(F.col(HALO), F.lit(None)).otherwise(m) for i, m in enumerate(measures.values())}
+        so_far = self.window().rowsBetween(Window.unboundedPreceding, 0)
+        local = cut.withColumns(parts).withColumns({n: F.sum(n).over(so_far) for n in parts})
+        if BUSY not in cut.columns:
+            return local.select(*cut.columns, *[F.coalesce(n, F.lit(0)).alias(name) for n, name in zip(parts, measures)])
         earlier = Window.partitionBy(self.key).orderBy(SLICE).rowsBetween(Window.unboundedPreceding, -1)
-        carried = (cut.where(F.col("_is_busy") & ~F.col(HALO)).groupBy(self.key, SLICE)
+        carried = (cut.where(F.col(BUSY) & ~F.col(HALO)).groupBy(self.key, SLICE)
                    .agg(*[F.sum(m).alias(f"_c{i}") for i, m in enumerate(measures.values())])
                    .select(self.key, SLICE, *[F.sum(f"_c{i}").over(earlier).alias(f"_c{i}") for i in
                                               range(len(measures))]))
-        so_far = self.window().rowsBetween(Window.unboundedPreceding, 0)
-        local = cut.withColumns(parts).withColumns({n: F.sum(n).over(so_far) for n in parts})
-        return local.join(carried, [self.key, SLICE], "left").select(
+        return beside(local, carried, [self.key, SLICE]).select(
             *cut.columns,
             *[(F.coalesce(f"_m{i}", F.lit(0)) + F.coalesce(f"_c{i}", F.lit(0))).alias(name)
               for i, name in enumerate(measures)])
 
+    def upto(self, cut: DataFrame, measures: Mapping[str, Column]) -> DataFrame:
+        """Totals from the first row of the key up to each row's instant, rows of the same instant included."""
+        instant = Window.partitionBy(self.key, SLICE).orderBy(self.time).rangeBetween(
+            Window.unboundedPreceding, Window.currentRow)
+        plain = _plain(cut).select(
+            "*", *[F.coalesce(F.sum(m).over(instant), F.lit(0)).alias(name) for name, m in measures.items()])
+        return plain.unionByName(self._at_instants(cut, None, measures)) if BUSY in cut.columns else plain
+
     def recent(self, cut: DataFrame, ms: int, measures: Mapping[str, Column]) -> DataFrame:
         """Totals of the rows at most ``ms`` before each row, ties included.
 
-        A RANGE frame that moves at both ends is added up anew for every row,
-        which is quadratic for a key with many rows per frame. Instead each row
-        enters the total at its time and leaves it ``ms + 1`` later, and one
-        running total over both gives the answer. ``cut`` must have been called
-        with ``back_ms >= ms``. The copies are made after the shuffle.
+        A RANGE frame that moves at both ends is added up anew for every row, which is quadratic for a key with many
+        rows per frame. Instead each row enters the total at its time and leaves it ``ms + 1`` later, and one running
+        total over both gives the answer. The copies are made after the shuffle.
         """
         parts = {f"_r{i}": m for i, m in enumerate(measures.values())}
-        placed = cut.repartition(self.key, SLICE).withColumns(parts)
+        placed = _plain(cut).repartition(self.key, SLICE).withColumns(parts)
         twice = placed.withColumn(LEAVING, F.explode(F.array(F.lit(False), F.lit(True))))
-        kept = {self.key, SLICE, HALO, "_is_busy", self.time}
+        kept = {self.key, SLICE, HALO, BUSY, self.time}
         leaves = F.col(LEAVING)
         moved = twice.select(
             *[F.col(c) if c in kept else F.when(~leaves, F.col(c)).alias(c) for c in cut.columns if c != self.time],
@@ -140,7 +112,37 @@ class Timeline:
         upto = (Window.partitionBy(self.key, SLICE).orderBy(self.time)
                 .rangeBetween(Window.unboundedPreceding, Window.currentRow))
         totals = [F.coalesce(F.sum(p).over(upto), F.lit(0)).alias(name) for p, name in zip(parts, measures)]
-        return moved.select(*cut.columns, LEAVING, *totals).where(~leaves).drop(LEAVING)
+        plain = moved.select(*cut.columns, LEAVING, *totals).where(~leaves).drop(LEAVING)
+        return plain.unionByName(self._at_instants(cut, ms, measures)) if BUSY in cut.columns else plain
+
+    def _at_instants(self, cut: DataFrame, ms: int | None, measures: Mapping[str, Column]) -> DataFrame:
+        """The rows of busy keys with totals up to their instant, or of the last ``ms`` before it.
+
+        Rows are combined per instant first. Instants are added up within stretches of time, each of which has a bounded
+        number of them, and one total per stretch is carried on; rows then look their instant up.
+        """
+        rows = cut.where(F.col(BUSY))
+        names = [f"_t{i}" for i in range(len(measures))]
+        sums = rows.where(~F.col(HALO)).groupBy(self.key, F.col(self.time).alias("_time")).agg(
+            *[F.sum(m).alias(n) for n, m in zip(names, measures.values())])
+        if ms is not None:
+            left = sums.select(self.key, (F.col("_time") + (ms + 1)).alias("_time"), *[(-F.col(n)).alias(n) for n in names])
+            sums = sums.unionByName(left).groupBy(self.key, "_time").agg(*[F.sum(n).alias(n) for n in names])
+        spark = cut.sparkSession
+        sums = staged(spark, sums.withColumn("_stretch", F.floor(F.col("_time") / STRETCH)), "instants")
+        before = Window.partitionBy(self.key).orderBy("_stretch").rowsBetween(Window.unboundedPreceding, -1)
+        carried = sums.groupBy(self.key, "_stretch").agg(*[F.sum(n).alias(n) for n in names]).select(
+            self.key, "_stretch", *[F.sum(n).over(before).alias(f"_c{n}") for n in names])
+        inside = Window.partitionBy(self.key, "_stretch").orderBy("_time").rowsBetween(Window.unboundedPreceding, 0)
+        totals = beside(sums.withColumns({n: F.sum(n).over(inside) for n in names}), carried, [self.key, "_stretch"]).select(
+            self.key, F.col("_time").alias(self.time),
+            *[(F.coalesce(n, F.lit(0)) + F.coalesce(f"_c{n}", F.lit(0))).alias(name) for n, name in zip(names, measures)])
+        # both sides are written tables, so the rows of a burst are split
+        return beside(rows, staged(spark, totals, "totals"), [self.key, self.time])
 
     def close(self, df: DataFrame) -> DataFrame:
-        return df.where(~F.col(HALO)).drop(SLICE, HALO, "_is_busy")
+        return df.where(~F.col(HALO)).drop(SLICE, HALO, BUSY)
+
+
+def _plain(cut: DataFrame) -> DataFrame:
+    return cut.where(~F.col(BUSY)) if BUSY in cut.columns else cut

@@ -49,7 +49,7 @@ def _last_ms(cut: DataFrame, ms: int, line: Timeline) -> DataFrame:
 def velocity(df: DataFrame, max_count: int = 10, max_amount: float = 10000, window_ms: int = times.HOUR_MS,
              line: Timeline = LINE) -> DataFrame:
     """Rows and amount within the last hour, and whether either is unusual."""
-    return line.close(_last_ms(line.cut(df, back_ms=window_ms), window_ms, line)).withColumn(
+    return line.close(_last_ms(line.cut(df), window_ms, line)).withColumn(
         "velocity_anomaly", (F.col("tx_count_last_hour") > max_count) | (F.col("amount_last_hour") > max_amount))
 
 
@@ -101,7 +101,7 @@ def travel_list(df: DataFrame, n: int | None = 50, line: Timeline = LINE) -> Dat
 def velocity_trace(df: DataFrame, line: Timeline = LINE) -> DataFrame:
     """Lag, travel flag, last-hour figures and sequence number in one pass over one partitioning."""
     order = line.window()
-    cut = line.running(line.cut(df, back_rows=1, back_ms=times.HOUR_MS), {"tx_sequence": F.lit(1)})
+    cut = line.running(line.cut(df, back_rows=1), {"tx_sequence": F.lit(1)})
     cut = cut.withColumns({
         "prev_timestamp_ms": F.lag("timestamp_ms").over(order),
         "prev_location": F.lag("location").over(order),
@@ -116,18 +116,11 @@ def velocity_trace(df: DataFrame, line: Timeline = LINE) -> DataFrame:
 
 
 def running_with_ties(df: DataFrame, line: Timeline = LINE) -> DataFrame:
-    """Running total in which rows of equal time share a value, change to the previous amount, rows per customer.
-
-    The shared value is the running total of the last row of the tie, taken from
-    totals per (customer, time).
-    """
-    order = line.window()
-    cut = line.running(line.cut(df, back_rows=1), {"tx_number": F.lit(1), "_sum": F.col(CENTS)})
-    cut = cut.withColumn("prev_amount", F.lag("amount").over(order))
-    # Equal times are in the same slice, so the tie is complete within it.
-    tie = Window.partitionBy(line.key, "_slice", line.time)
-    cut = cut.withColumn("cumulative_amount", money(F.max("_sum").over(tie)))
-    rows = line.close(cut).withColumn("amount_change", F.col("amount") - F.col("prev_amount")).drop("_sum")
+    """Running total in which rows of equal time share a value, change to the previous amount, rows per customer."""
+    cut = line.running(line.cut(df, back_rows=1), {"tx_number": F.lit(1)})
+    cut = line.upto(cut.withColumn("prev_amount", F.lag("amount").over(line.window())), {"_sum": F.col(CENTS)})
+    rows = line.close(cut.withColumn("cumulative_amount", money(F.col("_sum")))).withColumn(
+        "amount_change", F.col("amount") - F.col("prev_amount")).drop("_sum")
     return join_per_key(rows, df.groupBy(line.key).agg(F.count("*").alias("total_tx")), line.key)
 
 
@@ -193,7 +186,7 @@ def features(df: DataFrame, line: Timeline = LINE) -> DataFrame:
     """Model features: history z-score, rows in the last hour, gap, amount to average, change of place."""
     cents = F.col(CENTS)
     order = line.window()
-    cut = line.running(line.cut(df, back_rows=1, back_ms=times.HOUR_MS),
+    cut = line.running(line.cut(df, back_rows=1),
                        {"_n": F.lit(1), "_s1": cents, "_s2": numbers.square(cents)})
     cut = line.recent(cut, times.HOUR_MS, {"velocity_score": F.lit(1)}).withColumns({
         "_prev_ms": F.lag("timestamp_ms").over(order),

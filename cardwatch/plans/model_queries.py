@@ -3,9 +3,9 @@
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from cardwatch.learning import model
-from cardwatch.operators import windows
-from cardwatch.plans.catalog import query, tx_balance
+from cardwatch.learning import evaluation, model, split
+from cardwatch.operators import shape, windows
+from cardwatch.plans.catalog import query, scored, tx_balance
 from cardwatch.plans.stream_queries import transactions, written
 from cardwatch.session import fresh_path, staged
 
@@ -60,23 +60,63 @@ CLASSIFIERS = {
 }
 
 
+def held_out_scores(spark: SparkSession, sf: str) -> DataFrame:
+    """Scores of three classifiers on the held-out part, each row scored once by each."""
+    train, test = prepared(spark, sf)
+    found = [model.scores(model.train(train, make(), prepared=True).transform(test), name)
+             for name, make in CLASSIFIERS.items()]
+    return shape.union_batches(found)
+
+
 @query("ml_evaluate")
 def _(spark, sf):
     """Metrics of three classifiers on the held-out part."""
-    train, test = prepared(spark, sf)
-    rows = [model.evaluate(model.train(train, make(), prepared=True).transform(test), name)
-            for name, make in CLASSIFIERS.items()]
-    out = rows[0]
-    for row in rows[1:]:
-        out = out.unionByName(row)
-    return out
+    return evaluation.evaluate_scores(held_out_scores(spark, sf))
 
 
 @query("ml_best")
 def _(spark, sf):
-    train, test = prepared(spark, sf)
-    return model.best([model.evaluate(model.train(train, make(), prepared=True).transform(test), name)
-                       for name, make in CLASSIFIERS.items()])
+    return model.best(evaluation.evaluate_scores(held_out_scores(spark, sf)))
+
+
+AREAS = """, s AS (SELECT 'rules' AS model, fraud_score AS score, is_fraud_predicted AS guess, is_fraud FROM scored WHERE is_fraud IS NOT NULL
+    UNION ALL SELECT 'amount', amount, amount > 1000, is_fraud FROM scored WHERE is_fraud IS NOT NULL),
+  h AS (SELECT model, score, COUNT(*) FILTER (WHERE is_fraud) AS p, COUNT(*) FILTER (WHERE NOT is_fraud) AS n FROM s GROUP BY ALL),
+  c AS (SELECT *, CAST(SUM(p) OVER w AS DOUBLE) AS tp, CAST(SUM(n) OVER w AS DOUBLE) AS fp, SUM(p) OVER (PARTITION BY model) AS ps,
+    SUM(n) OVER (PARTITION BY model) AS ns FROM h WINDOW w AS (PARTITION BY model ORDER BY score DESC)),
+  k AS (SELECT model, ROUND(CAST(SUM(n * (2 * tp - p)) AS DOUBLE) / (2.0 * MAX(ps) * MAX(ns)), 9) AS auc_roc,
+    ROUND(SUM(p / ps * (tp / (tp + fp) + CASE WHEN tp + fp > p + n THEN (tp - p) / (tp + fp - p - n) ELSE tp / (tp + fp) END) / 2), 9) AS auc_pr
+    FROM c GROUP BY model)
+  SELECT model, auc_roc, auc_pr, COUNT(*) FILTER (WHERE guess AND is_fraud) AS true_positives,
+    COUNT(*) FILTER (WHERE guess AND NOT is_fraud) AS false_positives, COUNT(*) FILTER (WHERE NOT guess AND is_fraud) AS false_negatives,
+    COUNT(*) FILTER (WHERE NOT guess AND NOT is_fraud) AS true_negatives FROM s JOIN k USING (model) GROUP BY 1, 2, 3"""
+
+
+@query("ml_areas", AREAS)
+def _(spark, sf):
+    """The same figures for two scores that need no training: the rules and the plain amount."""
+    rows = scored(spark, sf).withColumn("label", F.col("is_fraud").cast("double"))
+    both = rows.select(F.lit("rules").alias("model"), F.col("fraud_score").alias("score"),
+                       F.col("is_fraud_predicted").cast("double").alias("prediction"), "label").unionByName(
+        rows.select(F.lit("amount").alias("model"), F.col("amount").alias("score"),
+                    (F.col("amount") > 1000).cast("double").alias("prediction"), "label"))
+    return evaluation.evaluate_scores(both).select(
+        "model", F.round("auc_roc", 9).alias("auc_roc"), F.round("auc_pr", 9).alias("auc_pr"), "true_positives",
+        "false_positives", "false_negatives", "true_negatives")
+
+
+@query("ml_split_exact", """, r AS (SELECT *, ROW_NUMBER() OVER (PARTITION BY is_fraud ORDER BY
+      CAST('0x' || substr(md5('42:' || transaction_id), 1, 15) AS BIGINT), transaction_id) AS place,
+      FLOOR(COUNT(*) OVER (PARTITION BY is_fraud) * 0.2 + 0.5) AS wanted FROM tx)
+    SELECT place <= wanted AS held_out, is_fraud, COUNT(*) AS row_count, MIN(transaction_id) AS first_id,
+      MAX(transaction_id) AS last_id, SUM(amount_cents)::BIGINT AS cents FROM r GROUP BY 1, 2""")
+def _(spark, sf):
+    """An exact fifth of every class, row by row the same as sorting by the seeded hash."""
+    train, test = split.stratified(tx_balance(spark, sf))
+    both = train.withColumn("held_out", F.lit(False)).unionByName(test.withColumn("held_out", F.lit(True)))
+    return both.groupBy("held_out", "is_fraud").agg(
+        F.count("*").alias("row_count"), F.min("transaction_id").alias("first_id"), F.max("transaction_id").alias("last_id"),
+        F.sum("amount_cents").alias("cents"))
 
 
 @query("ml_predict")

@@ -10,10 +10,10 @@ from cardwatch.plans.row_queries import CLOUD_POINTS, CODES
 from cardwatch.plans.sql import DATE, FRAUDS, HISTORY, HITS, MEAN, N, SCORE, TOTAL, flags, rate
 from cardwatch.session import fresh_path, staged, tune
 from cardwatch.sources import tables
-from cardwatch.streaming import pipeline, source, windows
+from cardwatch.streaming import outbox, pipeline, sessions, source, upsert, windows
 from cardwatch.streaming.source import ARRIVAL
 
-# Windows still open when the watermark stops ten minutes before the last event are not emitted.
+# Sessions still open when the watermark stops ten minutes before the last event are not emitted.
 CLOSED = "<= (SELECT MAX(timestamp_ms) FROM tx) - 600000"
 
 
@@ -38,6 +38,13 @@ def written(spark: SparkSession, df: DataFrame, mode: str = "append") -> DataFra
     return spark.read.schema(df.schema).parquet(path)
 
 
+def complete(spark: SparkSession, df: DataFrame, keys: list[str]) -> DataFrame:
+    """Runs the stream in update mode and reads the last version of every row, open windows included."""
+    path = fresh_path(spark, "versions")
+    upsert.write_versions(df, path, fresh_path(spark, "progress")).awaitTermination()
+    return upsert.latest(spark, path, df.schema, keys)
+
+
 def run(spark: SparkSession, sf: str, cloud: bool = False) -> tuple[str, str]:
     stored, alerts = fresh_path(spark, "stored"), fresh_path(spark, "alerts")
     rows = transactions(spark, sf)
@@ -63,6 +70,16 @@ def _(spark, sf):
     return alerts.select("key", F.get_json_object("value", "$.risk_level").alias("risk_level"))
 
 
+@query("stream_alert_messages", "SELECT transaction_id AS key, risk_level FROM scored WHERE alert_required")
+def _(spark, sf):
+    """Alerts handed from the outbox to a message sink by the job that stores the scored rows."""
+    sink, place = fresh_path(spark, "messages"), fresh_path(spark, "outbox")
+    send, received = outbox.to_folder(sink)
+    pipeline.run_pipeline(transactions(spark, sf), fresh_path(spark, "stored"), place, fresh_path(spark, "progress"), None,
+                          send=send, received=received).awaitTermination()
+    return spark.read.schema(outbox.MESSAGES).parquet(sink).select("key", F.get_json_object("value", "$.risk_level").alias("risk_level"))
+
+
 @query("stream_batch_counts", f"SELECT {N} AS transactions, {HITS} AS predicted, {FRAUDS} AS frauds FROM scored")
 def _(spark, sf):
     """Per micro-batch counts with the labels known by then, added up over the batches."""
@@ -117,9 +134,9 @@ def _(spark, sf):
     return windows.anomalies(windows.sliding(timed(tx(spark, sf))))
 
 
-@query("win_sliding_stream", f"SELECT * FROM ({SLIDING}) WHERE window_end {CLOSED}")
+@query("win_sliding_stream", SLIDING)
 def _(spark, sf):
-    return written(spark, windows.sliding(transactions(spark, sf)))
+    return complete(spark, windows.sliding(transactions(spark, sf)), ["customer_id", "window_start", "window_end"])
 
 
 SESSION = """, marked AS (SELECT *, SUM(CASE WHEN timestamp_ms - p_ms <= 600000 THEN 0 ELSE 1 END) OVER (
@@ -164,6 +181,16 @@ def _(spark, sf):
     return written(spark, windows.sessions(transactions(spark, sf)).drop("merchant_categories"))
 
 
+@query("win_session_categories_stream", SESSION[:SESSION.index("SELECT * EXCLUDE")] + f"""SELECT m.customer_id,
+    s.session_start, merchant_category AS category, COUNT(*) AS row_count
+    FROM marked m JOIN sessions s USING (customer_id, session) WHERE session_end {CLOSED} GROUP BY 1, 2, 3""")
+def _(spark, sf):
+    """Closed sessions with their categories, from a state that holds one count per category."""
+    out = written(spark, sessions.sessions(transactions(spark, sf)))
+    return out.select("customer_id", "session_start", F.explode("merchant_categories").alias("c")).select(
+        "customer_id", "session_start", "c.category", "c.row_count")
+
+
 METRICS = f"""SELECT timestamp_ms // 60000 * 60000 AS window_start, window_start + 60000 AS window_end,
     {N} AS total_transactions, {TOTAL} AS total_volume, {MEAN} AS avg_amount, {HITS} AS fraud_count,
     COUNT(*) FILTER (WHERE risk_level = 'CRITICAL') AS critical_count,
@@ -176,9 +203,9 @@ def _(spark, sf):
     return windows.metrics(timed(scored(spark, sf)))
 
 
-@query("win_tumbling_metrics_stream", f"SELECT * FROM ({METRICS}) WHERE window_end {CLOSED}")
+@query("win_tumbling_metrics_stream", METRICS)
 def _(spark, sf):
-    return written(spark, windows.metrics(pipeline.score(transactions(spark, sf))))
+    return complete(spark, windows.metrics(pipeline.score(transactions(spark, sf))), ["window_start", "window_end"])
 
 
 @query("stream_cloud_store", f"SELECT transaction_id, {flags(CLOUD_POINTS)} FROM enriched")

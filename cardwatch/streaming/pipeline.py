@@ -11,6 +11,7 @@ from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 from cardwatch.functions import rules, times
 from cardwatch.operators import profiles, shape
 from cardwatch.sources import writers
+from cardwatch.streaming import outbox
 from cardwatch.streaming.source import ARRIVAL
 
 # Trigger intervals of the jobs.
@@ -63,11 +64,13 @@ def to_memory(df: DataFrame, name: str, mode: str = "append", every: str | None
     return (writer.trigger(processingTime=every) if every else writer.trigger(availableNow=True)).start()
 
 
-def store_and_alert(scored_path: str, alerts_path: str) -> Callable[[DataFrame, int], None]:
+def store_and_alert(scored_path: str, alerts_path: str, ledger: str | None = None, send: outbox.Send | None = None,
+                    received: outbox.Received | None = None) -> Callable[[DataFrame, int], None]:
     """One pass per micro-batch into both sinks.
 
     Each batch owns the folder of its id and replaces it when it is repeated
-    after a failure, so both sinks hold every row once.
+    after a failure, so both sinks hold every row once. With ``send`` the alerts
+    folder is an outbox, from which all batches that wait are handed on.
     """
     def write(batch: DataFrame, batch_id: int) -> None:
         kept = batch.persist()
@@ -75,8 +78,9 @@ def store_and_alert(scored_path: str, alerts_path: str) -> Callable[[DataFrame,
             keys = ["risk_level", "transaction_date"]
             (writers.balanced(kept, keys).write.mode("overwrite").partitionBy(*keys)
              .parquet(f"{scored_path}/batch_id={batch_id}"))
-            (writers.alert_messages(shape.alerts_only(kept), ARRIVAL).write.mode("overwrite")
-             .parquet(f"{alerts_path}/batch_id={batch_id}"))
+            outbox.put(shape.alerts_only(kept), alerts_path, batch_id)
+            if send:
+                outbox.deliver(batch.sparkSession, alerts_path, ledger or f"{alerts_path}_delivered", send, received)
         finally:
             kept.unpersist()
 
@@ -84,10 +88,12 @@ def store_and_alert(scored_path: str, alerts_path: str) -> Callable[[DataFrame,
 
 
 def run_pipeline(transactions: DataFrame, scored_path: str, alerts_path: str, checkpoint: str,
-                 every: str | None = STORE_EVERY, cloud: bool = False) -> StreamingQuery:
-    """Transactions -> score -> all rows and alerts, from a single read of the source."""
+                 every: str | None = STORE_EVERY, cloud: bool = False, ledger: str | None = None,
+                 send: outbox.Send | None = None, received: outbox.Received | None = None) -> StreamingQuery:
+    """Transactions -> score -> all rows and alerts, from a single read of the source; ``send`` takes the alerts on."""
     scored = score_cloud(transactions) if cloud else score(transactions)
-    writer = scored.writeStream.foreachBatch(store_and_alert(scored_path, alerts_path)).outputMode("append")
+    store = store_and_alert(scored_path, alerts_path, ledger, send, received)
+    writer = scored.writeStream.foreachBatch(store).outputMode("append")
     return _start(writer, checkpoint, every)
 
 

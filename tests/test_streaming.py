@@ -1,11 +1,12 @@
 """Streams give what the batch gives; late data, gaps, restart, sinks."""
 
 import datetime as dt
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from cardwatch.streaming import pipeline, source, windows
+from cardwatch.streaming import outbox, pipeline, sessions, source, upsert, windows
 from cardwatch.streaming.source import ARRIVAL
 
 MESSAGE = "key string, value string, timestamp timestamp"
@@ -131,3 +132,113 @@ def test_message_sink(spark, feed, tmp_path):
 def test_event_hub_options():
     options = source.event_hub_options("endpoint", "group")
     assert options["eventhubs.consumerGroup"] == "group" and '"offset": "-1"' in options["eventhubs.startingPosition"]
+
+
+def test_versions_equal_the_batch_and_survive_repetition_and_compaction(spark, make, feed, tmp_path):
+    place, progress = str(tmp_path / "versions"), str(tmp_path / "cp")
+    rows = [{"timestamp_ms": at(40 * i), "transaction_id": f"TX{i}-1", "customer_id": f"CUST{i % 2}"} for i in range(12)]
+    df, keys = windows.sliding(feed.stream()), ["customer_id", "window_start", "window_end"]
+    for part in (rows[:5], rows[5:9], rows[9:]):
+        feed(*part)
+        upsert.write_versions(df, place, progress).awaitTermination()
+    expected = sorted(map(tuple, windows.sliding(source.parse(source.to_messages(make(*rows)))).collect()))
+
+    def now():
+        return sorted(map(tuple, upsert.latest(spark, place, df.schema, keys).collect()))
+    assert now() == expected
+    last = upsert.latest(spark, place, df.schema, keys).limit(3)
+    last.write.mode("overwrite").parquet(f"{place}/versions/batch_id=90")
+    assert now() == expected
+    upsert.compact(spark, place, df.schema, keys, 1)
+    assert now() == expected
+    upsert.compact(spark, place, df.schema, keys, 90)
+    upsert.compact(spark, place, df.schema, keys, 2)
+    assert now() == expected
+
+
+def test_no_changes_are_an_empty_table(spark, feed, tmp_path):
+    feed()
+    df = windows.sliding(feed.stream())
+    upsert.write_versions(df, str(tmp_path / "v"), str(tmp_path / "cp")).awaitTermination()
+    assert upsert.latest(spark, str(tmp_path / "v"), df.schema, ["customer_id", "window_start"]).collect() == []
+
+
+def test_session_states_equal_the_batch(spark, make, feed, tmp_path):
+    rng = random.Random(1)
+    rows = [{"timestamp_ms": at(rng.randrange(40_000)), "transaction_id": f"TX{i}-1", "customer_id": rng.choice(["A", "B", None]),
+             "merchant_category": rng.choice(["RETAIL", "ODD", None, "x y"]), "location": rng.choice(["Paris", "Tokyo"])}
+            for i in range(150)]
+    rows.sort(key=lambda r: r["timestamp_ms"])
+    for start in range(0, 150, 30):
+        part = rows[start:start + 30]
+        rng.shuffle(part)
+        feed(*part)
+    feed({"timestamp_ms": at(99_999), "transaction_id": "TX999-1", "customer_id": "Z"})
+    got = drain(spark, sessions.sessions(feed.stream()), tmp_path, "states")
+    expected = windows.sessions_batch(source.parse(source.to_messages(make(*rows))))
+
+    def plain(df):
+        return sorted((str(r.customer_id), r.session_start, r.session_end, r.session_tx_count, r.session_total_amount, r.first_location,
+                       r.last_location, r.has_location_change, r.session_duration_minutes,
+                       sorted((str(c.category), c.row_count) for c in r.merchant_categories)) for r in df.collect())
+    assert plain(got) == plain(expected)
+
+
+def test_session_states_hold_one_count_per_category():
+    import pandas as pd
+    rows = pd.DataFrame({"us": range(5000), "transaction_id": [str(i) for i in range(5000)], "location": "Paris",
+                         "merchant_category": ["a", None] * 2500, "amount_cents": 1})
+    now = []
+    for at_ in range(0, 5000, 500):
+        now = sessions.merged(now + sessions.pieces(rows[at_:at_ + 500], 10), 10)
+    assert len(now) == 1 and sorted(now[0][6], key=str) == [["a", 2500], [None, 2500]] and now[0][2] == 5000
+
+
+class Broken(Exception):
+    pass
+
+
+def test_a_failed_sink_loses_and_doubles_nothing(spark, feed, tmp_path):
+    stored, place, progress, ledger, sink = (str(tmp_path / n) for n in ("s", "outbox", "cp", "ledger", "sink"))
+    big = {"amount": 20000.0, "is_international": True}
+    send, received = outbox.to_folder(sink)
+    failures = ["half", "before"]
+
+    def shaky(messages, batch_id):
+        if failures:
+            if failures.pop(0) == "half":
+                send(messages.orderBy("key").limit(2), batch_id)
+            raise Broken("sink is gone")
+        send(messages, batch_id)
+
+    feed(*[{**big, "timestamp_ms": at(i), "transaction_id": f"TX{i}-1"} for i in range(5)])
+    feed({"amount": 1.0, "timestamp_ms": at(9), "transaction_id": "TX9-1"})
+    feed(*[{**big, "timestamp_ms": at(i), "transaction_id": f"TX{i}-1"} for i in range(20, 23)])
+
+    def run():
+        pipeline.run_pipeline(feed.stream(), stored, place, progress, None, ledger=ledger, send=shaky,
+                              received=received).awaitTermination()
+    for _ in range(2):
+        with pytest.raises(Exception, match="sink is gone"):
+            run()
+    run()
+    expected = sorted(f"TX{i}-1" for i in [*range(5), *range(20, 23)])
+    assert sorted(r.key for r in spark.read.parquet(sink).collect()) == expected
+    assert pipeline.read_back(spark, stored).count() == 9
+    assert outbox.deliver(spark, place, ledger, shaky, received) == 0
+
+
+def test_without_a_list_of_received_messages_a_batch_is_sent_again(spark, make, tmp_path):
+    place, ledger = str(tmp_path / "outbox"), str(tmp_path / "ledger")
+    alerts = pipeline.score(source.parse(source.to_messages(make({"amount": 20000.0, "is_international": True}))))
+    outbox.put(alerts, place, 3)
+    outbox.put(alerts, place, 3)
+    sent = []
+
+    def send(messages, batch_id):
+        sent.append((batch_id, [r.key for r in messages.collect()]))
+        if len(sent) == 1:
+            raise Broken
+    with pytest.raises(Broken):
+        outbox.deliver(spark, place, ledger, send)
+    assert outbox.deliver(spark, place, ledger, send) == 1 and sent == [(3, ["TX1-1"])] * 2
