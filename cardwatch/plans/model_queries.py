@@ -76,7 +76,7 @@ def _(spark, sf):
 
 @query("ml_best")
 def _(spark, sf):
-    return model.best(evaluation.evaluate_scores(held_out_scores(spark, sf)))
+    return model.best([evaluation.evaluate_scores(held_out_scores(spark, sf))])
 
 
 AREAS = """, s AS (SELECT 'rules' AS model, fraud_score AS score, is_fraud_predicted AS guess, is_fraud FROM scored WHERE is_fraud IS NOT NULL
