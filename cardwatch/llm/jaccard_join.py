@@ -3,12 +3,15 @@
 Documents link when intersection / union of their shingle sets is at least ``share`` hundredths. All links count, none
 is guessed: fingerprints of 64 bits stand for shingles.
 
-1. A set's rows carry its size, a 128-bit fingerprint, its smallest shingles (by hash; enough of them that linked sets
-   share one) and a bitmap with one parity bit per hash slot. Documents with equal sets become one class, by one
+1. A set's rows carry its size, a 128-bit fingerprint, its tiles (its smallest shingles by hash, enough of them that linked
+   sets share one) and a bitmap with one parity bit per hash slot. Documents with equal sets become one class, by one
    combined aggregation.
 2. A tile holds the classes that share one of those shingles in a band of sizes; linked sets lie in the same or in
    neighbouring bands. Slots in which two bitmaps differ bound the symmetric difference from below, hence the overlap
-   from above, and parity bits do not fill up in long texts.
+   from above. In sets too large for these bits a single shingle of a common passage would bring together what no bitmap
+   tells apart. They are cut into more segments, by hash, than linked sets of two neighbouring bands can differ in
+   elements, so that linked sets have a whole segment in common; a tile then holds those that share a segment of several
+   shingles. Segments without elements count only for a set that has so many that the others need not decide.
 3. First each class meets the smallest classes of its tiles only, and is compared with the one whose bitmap is closest.
    This takes rows in proportion to the tile, and the verified links already connect a large group of near copies. Then only classes that are not connected yet meet, with sizes
    and bitmaps tested inside the join, so pairs of one component and hopeless pairs are never rows.
@@ -61,7 +64,44 @@ def prefix_length(n: np.ndarray, share: int) -> np.ndarray:
     return np.where(n > 0, n - (share * n + 99) // 100 + 1, 0)
 
 
+def band_width(share: int) -> float:
+    """Logarithm of the ratio of sizes within a band; linked sets lie in the same or in neighbouring bands."""
+    return math.log(100 / share) * 1.000001
+
+
+def segment_counts(share: int, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Most elements in which linked sets of a band and the next differ, and segments that sets of both are cut into."""
+    largest = [np.ceil(np.exp((band + i) * band_width(share))) for i in (1, 2)]
+    differ = ((largest[0] + largest[1]) * (100 - share) // (100 + share)).astype(np.int64)
+    return differ, differ + differ // 10 + 4
+
+
+def first_large(share: int) -> int:
+    """The band from which on random parity bits would pass for those of linked sets."""
+    return int(math.log(0.2 * BITS * (100 + share) / (100 - share)) / band_width(share))
+
+
+def segments(owner: np.ndarray, value: np.ndarray, rows: int, share: int, band: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(owner, key) of the segments of sets that may link with sets of the given band or the next; a set without a band has -1."""
+    mine = band[owner] >= 0
+    owner, value = owner[mine], value[mine]
+    differ, many = segment_counts(share, np.maximum(band, 0))
+    many = np.where(band >= 0, many, 0)
+    base = np.cumsum(many) - many
+    at = base[owner] + (W.mixed(value ^ np.uint64(0x632BE59BD9B4E019)) % many[owner].astype(np.uint64)).astype(np.int64)
+    total, count = np.zeros(int(many.sum()), np.uint64), np.bincount(at, minlength=int(many.sum()))
+    np.add.at(total, at, W.mixed(value + np.uint64(0xA0761D6478BD642F)))
+    of = np.repeat(np.arange(rows), many)
+    empty = np.bincount(of[count == 0], minlength=rows)
+    used = (count > 0) | (empty >= many - differ)[of]
+    local = np.arange(len(of)) - base[of]
+    key = W.mixed(total ^ W.mixed((local * 4096 + band[of]).astype(np.uint64)))
+    return of[used], key[used]
+
+
 def _signatures(size: int, share: int):
+    large = first_large(share)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in W.slices(whole, "_text"):
@@ -70,7 +110,11 @@ def _signatures(size: int, share: int):
                 n = np.bincount(owner, minlength=rows)
                 begin = np.cumsum(n) - n
                 local = np.arange(len(owner)) - np.repeat(begin, n)
-                first = local < np.repeat(prefix_length(n, share), n)
+                band = np.where(n > 0, np.floor(np.log(np.maximum(n, 1)) / band_width(share)), -1).astype(np.int64)
+                first = (local < np.repeat(prefix_length(n, share), n)) & (band[owner] <= large)
+                keys = [(owner[first], value[first])] + [
+                    segments(owner, value, rows, share, np.where(b >= large, b, -1)) for b in (band, band - 1)]
+                keys = W.distinct(*(np.concatenate(x) for x in zip(*keys)))
                 prints = []
                 for salt in (0x5851F42D4C957F2D, 0x14057B7EF767814F):
                     total = np.concatenate((np.zeros(1, np.uint64),
@@ -80,10 +124,10 @@ def _signatures(size: int, share: int):
                 parity = (np.bincount(owner * BITS + slot, minlength=rows * BITS) & 1).astype(np.uint8)
                 lanes = np.packbits(parity.reshape(rows, BITS), axis=1).view(np.int64).reshape(rows, -1)
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column("_id"), pa.array(n), pa.array(prints[0]), pa.array(prints[1]),
-                     W.lists(owner[first], W.signed(value[first]), rows, pa.int64()),
+                    [batch.column("_id"), pa.array(n), pa.array(band), pa.array(prints[0]), pa.array(prints[1]),
+                     W.lists(keys[0], W.signed(keys[1]), rows, pa.int64()),
                      *[pa.array(np.ascontiguousarray(lanes[:, i])) for i in range(len(LANES))]],
-                    ["_id", "n", "f0", "f1", "_prefix", *LANES])
+                    ["_id", "n", "band", "f0", "f1", "_prefix", *LANES])
     return run
 
 
@@ -154,20 +198,19 @@ def grouped(docs: DataFrame, key: str = "doc_id", text: str = "text", size: int
     """(key, n_shingles, component_id) per row; ``share`` in hundredths, ``size`` in words."""
     docs = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
     kind = docs.schema["_id"].dataType
-    fields = [T.StructField("_id", kind), T.StructField("n", T.LongType()), T.StructField("f0", T.LongType()),
+    fields = [T.StructField("_id", kind), T.StructField("n", T.LongType()), T.StructField("band", T.LongType()), T.StructField("f0", T.LongType()),
               T.StructField("f1", T.LongType()), T.StructField("_prefix", T.ArrayType(T.LongType())),
               *[T.StructField(lane, T.LongType()) for lane in LANES]]
     marked = staged(docs.mapInArrow(_signatures(size, share), T.StructType(fields)), "signatures")
     known = marked.where("n > 0 and _id is not null")
     # equal sets have equal prefixes and bitmaps
     classes = staged(known.groupBy("n", "f0", "f1").agg(
-        F.min("_id").alias("rep"), F.first("_prefix").alias("_prefix"), *[F.first(lane).alias(lane) for lane in LANES]),
+        F.min("_id").alias("rep"), F.first("band").alias("band"), F.first("_prefix").alias("_prefix"), *[F.first(lane).alias(lane) for lane in LANES]),
         "classes")
 
-    width = math.log(100 / share) * 1.000001
-    heads = classes.select("rep", "n", F.explode("_prefix").alias("key"))
+    heads = classes.select("rep", "n", "band", F.explode("_prefix").alias("key"))
     shared = staged(heads.groupBy("key").agg(F.count("*").alias("_n")).where("_n > 1").select("key"), "shared-shingles")
-    tiles = staged(heads.join(shared, "key").withColumn("band", F.floor(F.log("n") / width).cast("int")), "tiles")
+    tiles = staged(heads.join(shared, "key"), "tiles")
     discard(shared)
     drawn = classes.select("rep", "n", *LANES)
 
