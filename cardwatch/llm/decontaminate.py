@@ -2,16 +2,18 @@
 
 Texts become sequences of lower-case words in which numbers, units and names (capitalised words inside a sentence) are
 typed placeholders. Windows of ``window`` placeholders and words are hashed; windows of documents and of benchmark
-items meet in a hash join, so that a question with other numbers or names still matches. Hits of one document and
-item on one alignment are then checked on their slots: over the whole alignment each value of the item must stand for
-one value of the document, as when a question is re-parameterised (two values may become equal) and not when unrelated
-texts happen to share a frame. Windows of the lower-case words themselves meet in the same join and count whatever
-the rest of the alignment holds, as what is a name depends on case and on the word before. A document contains an item
-if these windows and the consistent alignments cover at least ``least_words`` of its words, or all of it. n_covered
-counts the words under consistent templates where these are enough, else those under equal windows too.
-
-Templates with fewer than ``window / 2`` plain words prove nothing and are not used. An item shorter than a window is one
-window of its own length, from ``shortest`` words on; shorter items are never found.
+items meet in a hash join, so that a question with other numbers or names still matches. A capitalised word that begins
+a sentence may be a name or not: a window that starts with one has a second template in which it is a name. Hits of one
+document and item on one alignment are then checked on their slots: over the whole alignment each value of the item must
+stand for one value of the document, as when a question is re-parameterised (two values may become equal) and not when
+unrelated texts happen to share a frame. Windows of the lower-case words themselves, where they differ from the
+template, meet in the same join and count whatever the rest of the alignment holds, as what is a name depends on case and
+on the word before. n_covered is the number of an item's words that lie in windows of equal words or of consistent
+templates; a document contains the item if these are at least ``least_words``, or all.
+
+Templates with fewer than ``window / 2`` plain words prove nothing and are not used; the second template needs one more.
+An item shorter than a window is one window of its own length, from ``shortest`` words on, without a second template;
+shorter items are never found.
 
 The item side is written before the join, so that the planner knows its size: a small one is sent to the tasks, a large
 one is joined by a shuffle of narrow rows. Only documents with a hit are looked at again.
@@ -30,9 +32,10 @@ from pyspark.sql import functions as F
 
 from cardwatch.llm.work import staged
 
-MARK = "\x01"
+MARK, FIRST = "\x01", "\x02"
 NAME = r"([^.!?\x20\x09-\x0D] )(\p{Lu}\p{Ll}+)"
-TOKEN = MARK + r"?[\p{L}\p{N}]+"
+CAPITAL = r"(^|[^\p{L}\p{N}\x01])(\p{Lu}\p{Ll}+)"
+TOKEN = f"[{MARK}{FIRST}]?" + r"[\p{L}\p{N}]+"
 #: Words that stand for units of measure and of money.
 UNITS = ("mm cm m km inch inches foot feet yard yards mile miles mg g kg lb lbs pound pounds ounce ounces ton tons "
          "ml l liter liters litre litres second seconds minute minutes hour hours day days week weeks month months "
@@ -45,13 +48,25 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 
 def tokens(text: str) -> Column:
-    """Lower-case words without punctuation; names carry a mark. Two passes find names that follow each other."""
+    """Lower-case words without punctuation; names and capitalised words that begin a sentence carry a mark each.
+
+    Two passes find names that follow each other."""
     marked = F.col(text)
     for _ in range(2):
         marked = F.regexp_replace(marked, NAME, f"$1{MARK}$2")
+    marked = F.regexp_replace(marked, CAPITAL, f"$1{FIRST}$2")
     return F.regexp_extract_all(F.lower(marked), F.lit(TOKEN), F.lit(0))
 
 
+def begins(token: Column) -> Column:
+    return F.startswith(token, F.lit(FIRST))
+
+
+def plain(words: Column) -> Column:
+    """The words without the mark of a sentence's first."""
+    return F.transform(words, lambda t: F.when(begins(t), F.substring(t, 2, 1 << 30)).otherwise(t))
+
+
 def kind(token: Column) -> Column:
     """The token as it stands in a template. Marks sort before digits, digits before letters."""
     return (F.when(token < "0", F.lit("<name>")).when(token < ":", F.lit("<number>"))
@@ -67,20 +82,33 @@ def bare(token: Column) -> Column:
     return F.replace(token, F.lit(MARK), F.lit(""))
 
 
-def windows(words: Column, sizes: list[int]) -> Column:
-    """(at, size, own, hash) of every window of the given sizes, as templates and (own) as the words themselves."""
-    def of(hashes: Column, size: int, own: bool) -> Column:
-        last = F.size(hashes) - size
-        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), lambda i: F.struct(
-            i.alias("at"), F.lit(size).alias("n"), F.lit(own).alias("own"),
-            F.xxhash64(F.slice(hashes, i + 1, size)).alias("hash")))).otherwise(
-            F.array().cast("array<struct<at:int,n:int,own:boolean,hash:bigint>>"))
+def _window_hash(hashes: Column, i: Column, size: int) -> Column:
+    return F.xxhash64(F.get(hashes, i), F.slice(hashes, i + 2, size - 1))
 
-    def all_of(form: Callable[[Column], Column], own: bool) -> Column:
-        return let(F.transform(words, lambda t: F.xxhash64(form(t))),
-                   lambda hashes: F.concat(*[of(hashes, size, own) for size in sizes]))
 
-    return F.concat(all_of(kind, False), all_of(bare, True))
+def windows(words: Column, sizes: list[int], window: int) -> Column:
+    """(at, n, template, own, second) of every window of the given sizes: hashes of its template, of its words and, where
+    it starts with the first word of a sentence, of the template in which that is a name."""
+    def of(marked: Column, kinds: Column, bares: Column, size: int) -> Column:
+        last = F.size(kinds) - size
+
+        def one(i: Column) -> Column:
+            second = F.xxhash64(F.xxhash64(F.lit("<name>")), F.slice(kinds, i + 2, size - 1))
+            if size < window:
+                second = F.lit(None).cast("bigint")
+            return F.struct(i.alias("at"), F.lit(size).alias("n"), _window_hash(kinds, i, size).alias("template"),
+                            _window_hash(bares, i, size).alias("own"),
+                            F.when(begins(F.get(marked, i)), second).alias("second"))
+
+        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), one)).otherwise(
+            F.array().cast("array<struct<at:int,n:int,template:bigint,own:bigint,second:bigint>>"))
+
+    def hashes(marked: Column, words: Column) -> Column:
+        form = lambda f: F.transform(words, lambda t: F.xxhash64(f(t)))
+        return let(form(kind), lambda kinds: let(form(bare), lambda bares: F.concat(
+            *[of(marked, kinds, bares, size) for size in sizes])))
+
+    return let(words, lambda marked: let(plain(marked), lambda words: hashes(marked, words)))
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -109,48 +137,52 @@ def _matches(docs: DataFrame, items: DataFrame, key: str, text: str, item: str,
     # at most window - shortest values
     short = [r[0] for r in known.where(F.col("_length") < window).select("_length").distinct().orderBy("_length").collect()]
     sizes = [*short, window]
-    frame = known.select("_item", "_length", "_item_words", F.explode(windows(F.col("_item_words"), sizes)).alias("_w"))
-    frame = frame.where((F.col("_w.n") == window) | (F.col("_w.n") == F.col("_length")))
-    plain = F.size(F.filter(F.slice("_item_words", F.col("_w.at") + 1, F.col("_w.n")), lambda t: ~is_slot(t)))
-    frame = frame.where(F.col("_w.own") | (plain * 2 >= F.col("_w.n"))).select(
-        "_item", F.col("_w.at").alias("_item_at"), F.col("_w.n").alias("_n"), F.col("_w.own").alias("_same"),
-        F.col("_w.hash").alias("_hash"))
+    w = F.col("_w")
+    frame = known.select("_item", "_length", F.explode(windows(F.col("_item_words"), sizes, window)).alias("_w"),
+                         plain(F.col("_item_words")).alias("_plain"))
+    frame = frame.where((w["n"] == window) | (w["n"] == F.col("_length")))
+    words = F.size(F.filter(F.slice("_plain", w["at"] + 1, w["n"]), lambda t: ~is_slot(t)))
+    alike = w["template"] == w["own"]
+    forms = F.array(F.struct(w["template"].alias("hash"), (words * 2 >= w["n"]).alias("template"), alike.alias("same")),
+                    F.struct(w["own"].alias("hash"), F.lit(False).alias("template"), (~alike).alias("same")),
+                    F.struct(w["second"].alias("hash"), ((words - 2) * 2 >= w["n"]).alias("template"), F.lit(False).alias("same")))
+    frame = frame.select("_item", w["at"].alias("_item_at"), w["n"].alias("_n"), F.explode(forms).alias("_f")).where(
+        "_f.hash is not null and (_f.template or _f.same)").select(
+        "_item", "_item_at", "_n", F.col("_f.template").alias("_template"), F.col("_f.same").alias("_same"), F.col("_f.hash").alias("_hash"))
     frame = staged(frame, "item-windows")
     docs = docs.select(F.col(key).alias("_id"), F.col(text).alias("_text"))
     own = F.xxhash64("_text")
-    hits = (docs.select("_id", own.alias("_own"), F.explode(windows(tokens("_text"), sizes)).alias("_w"))
-            .select("_id", "_own", F.col("_w.at").alias("_at"), F.col("_w.n").alias("_n"), F.col("_w.own").alias("_same"),
-                    F.col("_w.hash").alias("_hash"))
-            .join(frame, ["_hash", "_n", "_same"]))
+    # a window without slots has one hash
+    each = F.array_compact(F.array(w["template"], F.when(~alike, w["own"]), w["second"]))
+    hits = (docs.select("_id", own.alias("_own"), F.explode(windows(tokens("_text"), sizes, window)).alias("_w"))
+            .select("_id", "_own", w["at"].alias("_at"), w["n"].alias("_n"), F.explode(each).alias("_hash"))
+            .join(frame, ["_hash", "_n"]))
     hits = (hits.groupBy("_id", "_own", "_item", (F.col("_at") - F.col("_item_at")).alias("_shift"))
-            .agg(F.collect_set(F.struct("_item_at", "_n", "_same")).alias("_hits")))
+            .agg(F.collect_set(F.struct("_item_at", "_n", "_template", "_same")).alias("_hits")))
     hits = staged(hits, "hits")
     touched = staged(hits.select(F.col("_id").alias("_k"), F.col("_own").alias("_o")).distinct(), "touched")
-    again = (docs.withColumn("_own", own).join(touched, F.col("_id").eqNullSafe(F.col("_k")) & (F.col("_own") == F.col("_o")))
-             .select("_k", "_o", tokens("_text").alias("_words")).dropDuplicates(["_k", "_o"]))
+    # merged at every size: hits grow with the corpus
+    again = (docs.withColumn("_own", own).join(touched.hint("merge"), F.col("_id").eqNullSafe(F.col("_k")) & (F.col("_own") == F.col("_o")))
+             .select("_k", "_o", plain(tokens("_text")).alias("_words")).dropDuplicates(["_k", "_o"]))
     again = staged(again, "touched-words")
-    both = (hits.join(again, F.col("_id").eqNullSafe(F.col("_k")) & (F.col("_own") == F.col("_o")))
-            .join(known, "_item"))
+    both = (hits.join(again.hint("merge"), F.col("_id").eqNullSafe(F.col("_k")) & (F.col("_own") == F.col("_o")))
+            .join(known.withColumn("_plain", plain(F.col("_item_words"))), "_item"))
 
     def places(found: Column) -> Column:
         return F.array_distinct(F.flatten(F.transform(
             found, lambda h: F.sequence(h["_item_at"], h["_item_at"] + h["_n"] - 1))))
 
-    both = both.withColumn("_covered", places(F.filter("_hits", lambda h: ~h["_same"])))
+    both = both.withColumn("_covered", places(F.filter("_hits", lambda h: h["_template"])))
     both = both.withColumn("_exact", places(F.filter("_hits", lambda h: h["_same"])))
-    pairs = F.array_distinct(F.filter(
-        F.transform("_covered", lambda i: F.struct(F.get("_item_words", i).alias("item"),
-                                                   F.get("_words", i + F.col("_shift")).alias("doc"))),
-        lambda p: is_slot(p["item"])))
+    pairs = F.array_distinct(F.transform(F.filter(
+        F.transform("_covered", lambda i: F.struct(
+            F.get("_plain", i).alias("item"), bare(F.get("_words", i + F.col("_shift"))).alias("doc"),
+            (is_slot(F.get("_plain", i)) | begins(F.get("_item_words", i))).alias("slot"))),
+        lambda p: p["slot"]), lambda p: F.struct(bare(p["item"]).alias("item"), p["doc"].alias("doc"))))
     both = both.withColumn("_pairs", pairs)
     consistent = F.size(F.array_distinct(F.col("_pairs.item"))) == F.size("_pairs")
     both = both.withColumn("_covered", F.when(consistent, F.col("_covered")).otherwise(F.array().cast("array<int>")))
 
-    def size(*columns: str) -> Column:
-        return F.size(F.array_distinct(F.flatten(F.concat(*[F.collect_list(c) for c in columns]))))
-
-    least = F.least(F.lit(least_words), F.col("_length"))
-    return (both.groupBy("_id", "_own", "_item", "_length")
-            .agg(size("_covered").alias("_template"), size("_covered", "_exact").alias("_both"))
-            .withColumn("n_covered", F.when(F.col("_template") >= least, F.col("_template")).otherwise(F.col("_both")))
-            .where(F.col("n_covered") >= least).drop("_template", "_both"))
+    covered = F.size(F.array_distinct(F.flatten(F.concat(F.collect_list("_covered"), F.collect_list("_exact")))))
+    return (both.groupBy("_id", "_own", "_item", "_length").agg(covered.alias("n_covered"))
+            .where(F.col("n_covered") >= F.least(F.lit(least_words), F.col("_length"))))

@@ -140,24 +140,34 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 LEAKS_SQL = r"""
 WITH a AS (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark),
-b AS (SELECT side, id, regexp_extract_all(lower(regexp_replace(regexp_replace(
+b AS (SELECT side, id, regexp_extract_all(lower(regexp_replace(regexp_replace(regexp_replace(
                text, '([^.!?\x20\x09-\x0D] )(\p{Lu}\p{Ll}+)', '\1' || chr(1) || '\2', 'g'),
-               '([^.!?\x20\x09-\x0D] )(\p{Lu}\p{Ll}+)', '\1' || chr(1) || '\2', 'g')), chr(1) || '?[\p{L}\p{N}]+') AS ws FROM a),
-k AS (SELECT side, id, ws, [(t < ':' OR list_contains([UNITS], t)) FOR t IN ws] AS slot,
-             [CASE WHEN t < '0' THEN '<name>' WHEN t < ':' THEN '<number>' WHEN list_contains([UNITS], t) THEN '<unit>' ELSE t END FOR t IN ws] AS ts
-      FROM b WHERE len(ws) >= 8),
-w AS (SELECT side, id, pos, array_to_string(ts[pos:pos + 7], ' ') AS win, len([s FOR s IN slot[pos:pos + 7] IF NOT s]) AS plain
-      FROM (SELECT side, id, ts, slot, unnest(range(1, len(ts) - 6)) AS pos FROM k)),
-h AS (SELECT d.id AS doc_id, i.id AS item_id, d.pos - i.pos AS shift, list(DISTINCT i.pos) AS places
-      FROM w d JOIN w i ON d.win = i.win WHERE d.side = 'd' AND i.side = 'i' AND i.plain >= 4 GROUP BY ALL),
-c AS (SELECT doc_id, item_id, shift, list_distinct(flatten([range(x, x + 8) FOR x IN places])) AS cov FROM h),
-p AS (SELECT c.doc_id, c.item_id, cov, len(i.ws) AS n,
-             list_distinct([{'i': i.ws[x], 'd': d.ws[x + shift]} FOR x IN cov IF i.slot[x]]) AS pairs
-      FROM c JOIN k i ON i.side = 'i' AND i.id = c.item_id JOIN k d ON d.side = 'd' AND d.id = c.doc_id)
+               '([^.!?\x20\x09-\x0D] )(\p{Lu}\p{Ll}+)', '\1' || chr(1) || '\2', 'g'),
+               '(^|[^\p{L}\p{N}\x01])(\p{Lu}\p{Ll}+)', '\1' || chr(2) || '\2', 'g')), '[\x01\x02]?[\p{L}\p{N}]+') AS ms FROM a),
+c AS (SELECT side, id, [t[1] = chr(2) FOR t IN ms] AS first, [replace(t, chr(2), '') FOR t IN ms] AS ps FROM b WHERE len(ms) >= 5),
+k AS (SELECT side, id, first, [replace(t, chr(1), '') FOR t IN ps] AS ws, [(t < ':' OR list_contains([UNITS], t)) FOR t IN ps] AS slot,
+             [CASE WHEN t < '0' THEN '<name>' WHEN t < ':' THEN '<number>' WHEN list_contains([UNITS], t) THEN '<unit>' ELSE t END FOR t IN ps] AS ts
+      FROM c),
+s AS (SELECT DISTINCT least(len(ws), 8) AS n FROM k WHERE side = 'i'),
+p AS (SELECT side, id, n, first, ws, slot, ts, unnest(range(1, len(ws) - n + 2)) AS pos FROM k, s
+      WHERE len(ws) >= n AND (side = 'd' OR n = 8 OR n = len(ws))),
+w AS (SELECT side, id, n, pos, array_to_string(ts[pos:pos + n - 1], ' ') AS tpl, array_to_string(ws[pos:pos + n - 1], ' ') AS own,
+             CASE WHEN first[pos] AND n = 8 THEN '<name> ' || array_to_string(ts[pos + 1:pos + n - 1], ' ') END AS second,
+             len([x FOR x IN slot[pos:pos + n - 1] IF NOT x]) AS plain FROM p),
+f AS (SELECT id, n, pos, tpl AS win, plain * 2 >= n AS tpl, tpl = own AS same FROM w WHERE side = 'i'
+      UNION ALL SELECT id, n, pos, own, false, true FROM w WHERE side = 'i' AND tpl <> own
+      UNION ALL SELECT id, n, pos, second, (plain - 2) * 2 >= n, false FROM w WHERE side = 'i' AND second IS NOT NULL),
+e AS (SELECT DISTINCT id, n, pos, unnest([tpl, own, second]) AS win FROM w WHERE side = 'd'),
+h AS (SELECT e.id AS doc_id, f.id AS item_id, e.pos - f.pos AS shift,
+             list_distinct(flatten(coalesce(list(range(f.pos, f.pos + f.n)) FILTER (WHERE f.tpl), []))) AS cov,
+             list_distinct(flatten(coalesce(list(range(f.pos, f.pos + f.n)) FILTER (WHERE f.same), []))) AS exact
+      FROM e JOIN f ON e.n = f.n AND e.win = f.win WHERE f.tpl OR f.same GROUP BY ALL),
+q AS (SELECT h.doc_id, h.item_id, cov, exact, len(i.ws) AS n,
+             list_distinct([{'i': i.ws[x], 'd': d.ws[x + shift]} FOR x IN cov IF i.slot[x] OR i.first[x]]) AS pairs
+      FROM h JOIN k i ON i.side = 'i' AND i.id = h.item_id JOIN k d ON d.side = 'd' AND d.id = h.doc_id),
+r AS (SELECT doc_id, item_id, n, list_concat(exact, CASE WHEN len(list_distinct([z.i FOR z IN pairs])) = len(pairs) THEN cov ELSE [] END) AS cov FROM q)
 SELECT doc_id, item_id, CAST(len(list_distinct(flatten(list(cov)))) AS BIGINT) AS n_covered, CAST(max(n) AS BIGINT) AS n_item_words
-FROM p WHERE len(list_distinct([q.i FOR q IN pairs])) = len(pairs) AND len(list_distinct([q.d FOR q IN pairs])) = len(pairs)
-GROUP BY doc_id, item_id
-HAVING len(list_distinct(flatten(list(cov)))) >= least(13, max(n))
+FROM r GROUP BY doc_id, item_id HAVING len(list_distinct(flatten(list(cov)))) >= least(13, max(n))
 """.replace("UNITS", ", ".join(f"'{unit}'" for unit in decontaminate.UNITS))
 
 
