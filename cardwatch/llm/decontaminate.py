@@ -82,33 +82,30 @@ def bare(token: Column) -> Column:
     return F.replace(token, F.lit(MARK), F.lit(""))
 
 
-def _window_hash(hashes: Column, i: Column, size: int) -> Column:
-    return F.xxhash64(F.get(hashes, i), F.slice(hashes, i + 2, size - 1))
+def windows(frame: DataFrame, words: Column, sizes: list[int], window: int) -> DataFrame:
+    """The frame with a row (_w: at, n, template, own, second) for every window of the given sizes: hashes of its template,
+    of its words and, where it starts with the first word of a sentence, of the template in which that is a name.
 
+    Words are hashed as an array; windows are rows of shifted arrays, so they are hashed in generated code.
+    """
+    def forms(marked: Column, words: Column) -> Column:
+        hashed = lambda f: F.transform(words, lambda t: F.xxhash64(f(t)))
+        return F.struct(hashed(kind).alias("k"), hashed(bare).alias("b"), F.transform(marked, begins).alias("first"))
 
-def windows(words: Column, sizes: list[int], window: int) -> Column:
-    """(at, n, template, own, second) of every window of the given sizes: hashes of its template, of its words and, where
-    it starts with the first word of a sentence, of the template in which that is a name."""
-    def of(marked: Column, kinds: Column, bares: Column, size: int) -> Column:
-        last = F.size(kinds) - size
+    frame = frame.withColumn("_s", let(words, lambda marked: let(plain(marked), lambda words: forms(marked, words))))
+    shifted = [F.slice(f"_s.{f}", i + 1, F.greatest(F.size(f"_s.{f}"), F.lit(1))).alias(f"{f}{i}") for f in "kb" for i in range(window)]
+    rows = frame.select(*[c for c in frame.columns if c != "_s"],
+                        F.posexplode(F.arrays_zip(*shifted, F.col("_s.first").alias("first"))).alias("_at", "_z"))
 
-        def one(i: Column) -> Column:
-            second = F.xxhash64(F.xxhash64(F.lit("<name>")), F.slice(kinds, i + 2, size - 1))
-            if size < window:
-                second = F.lit(None).cast("bigint")
-            return F.struct(i.alias("at"), F.lit(size).alias("n"), _window_hash(kinds, i, size).alias("template"),
-                            _window_hash(bares, i, size).alias("own"),
-                            F.when(begins(F.get(marked, i)), second).alias("second"))
+    def of(size: int) -> Column:
+        k, b = ([F.col(f"_z.{f}{i}") for i in range(size)] for f in "kb")
+        second = F.xxhash64(F.xxhash64(F.lit("<name>")), *k[1:]) if size == window else F.lit(None).cast("bigint")
+        return F.when(k[-1].isNotNull(), F.struct(
+            F.col("_at").alias("at"), F.lit(size).alias("n"), F.xxhash64(*k).alias("template"), F.xxhash64(*b).alias("own"),
+            F.when(F.col("_z.first"), second).alias("second")))
 
-        return F.when(last >= 0, F.transform(F.sequence(F.lit(0), F.greatest(last, F.lit(0))), one)).otherwise(
-            F.array().cast("array<struct<at:int,n:int,template:bigint,own:bigint,second:bigint>>"))
-
-    def hashes(marked: Column, words: Column) -> Column:
-        form = lambda f: F.transform(words, lambda t: F.xxhash64(f(t)))
-        return let(form(kind), lambda kinds: let(form(bare), lambda bares: F.concat(
-            *[of(marked, kinds, bares, size) for size in sizes])))
-
-    return let(words, lambda marked: let(plain(marked), lambda words: hashes(marked, words)))
+    found = F.explode(F.array_compact(F.array(*map(of, sizes)))) if len(sizes) > 1 else of(sizes[0])
+    return rows.select(*[c for c in frame.columns if c != "_s"], found.alias("_w")).where("_w is not null")
 
 
 def leaks(docs: DataFrame, items: DataFrame, key: str = "doc_id", text: str = "text", item: str = "item_id",
@@ -138,8 +135,7 @@ def _matches(docs: DataFrame, items: DataFrame, key: str, text: str, item: str,
     short = [r[0] for r in known.where(F.col("_length") < window).select("_length").distinct().orderBy("_length").collect()]
     sizes = [*short, window]
     w = F.col("_w")
-    frame = known.select("_item", "_length", F.explode(windows(F.col("_item_words"), sizes, window)).alias("_w"),
-                         plain(F.col("_item_words")).alias("_plain"))
+    frame = windows(known.withColumn("_plain", plain(F.col("_item_words"))), F.col("_item_words"), sizes, window)
     frame = frame.where((w["n"] == window) | (w["n"] == F.col("_length")))
     words = F.size(F.filter(F.slice("_plain", w["at"] + 1, w["n"]), lambda t: ~is_slot(t)))
     alike = w["template"] == w["own"]
@@ -154,7 +150,7 @@ def _matches(docs: DataFrame, items: DataFrame, key: str, text: str, item: str,
     own = F.xxhash64("_text")
     # a window without slots has one hash
     each = F.array_compact(F.array(w["template"], F.when(~alike, w["own"]), w["second"]))
-    hits = (docs.select("_id", own.alias("_own"), F.explode(windows(tokens("_text"), sizes, window)).alias("_w"))
+    hits = (windows(docs.withColumn("_own", own), tokens("_text"), sizes, window)
             .select("_id", "_own", w["at"].alias("_at"), w["n"].alias("_n"), F.explode(each).alias("_hash"))
             .join(frame, ["_hash", "_n"]))
     hits = (hits.groupBy("_id", "_own", "_item", (F.col("_at") - F.col("_item_at")).alias("_shift"))
