@@ -349,3 +349,19 @@ def chart_data(scored: DataFrame) -> DataFrame:
                         for chart, label in labels.items()])
     return (scored.select(F.explode(entries).alias("_e")).groupBy("_e.chart", "_e.label")
             .agg(rows().alias("row_count")))
+
+
+def daily_report(day: DataFrame, categories: int = 3) -> DataFrame:
+    """One row for a day's scored rows: volume, rate, blocked amount, categories hit most, and quality of the rules."""
+    hit, truth = F.coalesce(F.col(HIT), F.lit(False)), F.col("is_fraud")
+    tp, fp, fn = count_if(hit & truth), count_if(hit & ~truth), count_if(~hit & truth)
+    figures = day.agg(
+        rows().alias("total_transactions"), count_if(hit).alias("frauds_detected"), ratio(count_if(hit), rows()).alias("fraud_rate"),
+        F.coalesce(total_if(hit), F.lit(0.0)).alias("blocked_amount"), tp.alias("true_positives"), fp.alias("false_positives"),
+        fn.alias("false_negatives"), ratio(tp, tp + fp).alias("precision"), ratio(tp, tp + fn).alias("recall"),
+        ratio(2 * tp, 2 * tp + fp + fn).alias("f1"))
+    counts = day.where(hit & F.col("merchant_category").isNotNull()).groupBy("merchant_category").agg(rows().alias("_n"))
+    most = counts.orderBy(F.desc("_n"), "merchant_category").limit(categories).agg(
+        F.transform(F.sort_array(F.collect_list(F.struct((-F.col("_n")).alias("n"), "merchant_category"))),
+                    lambda e: e["merchant_category"]).alias("_top"))
+    return figures.withColumn("top_categories", most.scalar())

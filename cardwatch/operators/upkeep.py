@@ -23,19 +23,56 @@ def _partition_sql(spec: dict[str, str]) -> str:
     return ", ".join(f"`{k}` = '{v}'" for k, v in spec.items())
 
 
+class DamagedCopy(ValueError):
+    """The archive does not hold what the table holds."""
+
+
 def archive_before(spark: SparkSession, table: str, archive_path: str, date_column: str, before: str) -> None:
-    """Copies all days before a date to the archive, then drops them from the table's catalog entry.
+    """Copies all days before a date to the archive, compares, then drops them from the table's catalog entry.
 
     The write replaces whole day partitions, so it may be repeated.
     """
+    copy_before(spark, table, archive_path, date_column, before)
+    drop_archived(spark, table, archive_path, date_column, before)
+
+
+def copy_before(spark: SparkSession, table: str, archive_path: str, date_column: str, before: str) -> None:
     old = spark.table(table).where(F.col(date_column) < F.lit(before).cast("date"))
     (writers.balanced(old, [date_column]).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
      .partitionBy(date_column).parquet(archive_path))
+
+
+def drop_archived(spark: SparkSession, table: str, archive_path: str, date_column: str, before: str) -> None:
+    """Drops the days before a date from the catalog if the archive holds the same rows of each, else raises."""
+    old = spark.table(table).where(F.col(date_column) < F.lit(before).cast("date"))
+    copy = spark.read.schema(old.schema).parquet(archive_path)
+    damaged = differing_days(old, copy.where(F.col(date_column) < F.lit(before).cast("date")), date_column)
+    if damaged:
+        raise DamagedCopy(f"days that differ in {archive_path}: {', '.join(damaged[:10])}")
     # remembered, as a later repair finds the files of these days again
     spark.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ('{ARCHIVED}' = '{date_column}={before}')")
     _forget_archived(spark, table)
 
 
+def checksums(df: DataFrame, by: str) -> DataFrame:
+    """Per day, the number of rows and two sums of row hashes that do not depend on their order."""
+    columns = sorted(c for c in df.columns if c != by)
+    told = [x for c in columns for x in (F.col(f"`{c}`").isNull(), F.col(f"`{c}`"))]  # nulls leave a hash as it is
+    row = F.xxhash64(*told)
+    return df.groupBy(by).agg(F.count("*").alias("_n"), F.sum(row.cast("decimal(38,0)")).alias("_sum"), F.bit_xor(row).alias("_xor"))
+
+
+def differing_days(table: DataFrame, copy: DataFrame, date_column: str) -> list[str]:
+    """Days of the table whose rows the copy does not hold exactly; a day that only the copy has is of an earlier archive."""
+    kept = checksums(copy, date_column).select(F.col(date_column).alias("_day"), *[F.col(c).alias(f"{c}_") for c in ("_n", "_sum", "_xor")])
+    both = checksums(table, date_column).join(kept, F.col(date_column).eqNullSafe(F.col("_day")), "left")
+    same = F.lit(True)
+    for c in ("_n", "_sum", "_xor"):
+        same = same & F.col(c).eqNullSafe(F.col(f"{c}_"))
+    # one row per day that differs
+    return sorted(str(r[0]) for r in both.where(~same).select(date_column).collect())
+
+
 def _forget_archived(spark: SparkSession, table: str) -> None:
     """Drops catalog entries of archived days, in statements of many partitions."""
     mark = {r["key"]: r["value"] for r in spark.sql(f"SHOW TBLPROPERTIES {table}").collect()}.get(ARCHIVED)

@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.functions import times
-from cardwatch.operators import dashboards, profiles, shape, upkeep
-from cardwatch.plans.catalog import query, scored, tx, tx_balance
+from cardwatch.operators import dashboards, intake, profiles, shape, upkeep
+from cardwatch.plans.catalog import HISTORY_END_MS, query, scored, tx, tx_balance
 from cardwatch.plans.row_queries import CODES, REASONS
 from cardwatch.plans.sql import DATE, N, TOTAL
 from cardwatch.schemas import FIELD_NAMES, PARTITIONS, TRANSACTION, WAREHOUSE
@@ -209,14 +209,34 @@ def _(spark, sf):
         F.count("*").alias("row_count")) for name in content])
 
 
-@query("daily_report", f"""SELECT {N} AS total_transactions, COUNT(*) FILTER (WHERE is_fraud_predicted) AS frauds_detected,
-    COUNT(*) FILTER (WHERE is_fraud_predicted AND is_fraud) AS true_positives,
-    COUNT(*) FILTER (WHERE is_fraud_predicted AND NOT is_fraud) AS false_positives,
-    COUNT(*) FILTER (WHERE NOT is_fraud_predicted AND is_fraud) AS false_negatives FROM scored
-    WHERE {DATE} >= (SELECT MAX({DATE}) FROM tx)""")
-def _(spark, sf):
-    """End-of-day figures of the last day next to the confusion counts of the rules on that day."""
-    rows = dashboards.last_days(scored(spark, sf), 0)
-    quality = dashboards.confusion(rows)
-    day = dashboards.end_of_day(rows).select("total_transactions", "frauds_detected")
-    return day.withColumns({c: quality.select(c).scalar() for c in ("true_positives", "false_positives", "false_negatives")})
+@query("daily_report", f""", d AS (SELECT * FROM scored WHERE {DATE} >= (SELECT MAX({DATE}) FROM tx)),
+    c AS (SELECT merchant_category, COUNT(*) AS n FROM d WHERE is_fraud_predicted AND merchant_category IS NOT NULL GROUP BY 1
+      ORDER BY n DESC, merchant_category LIMIT 3),
+    q AS (SELECT COUNT(*) AS total_transactions, COUNT(*) FILTER (WHERE is_fraud_predicted) AS frauds_detected,
+      COALESCE(SUM(amount_cents) FILTER (WHERE is_fraud_predicted), 0) AS blocked,
+      COUNT(*) FILTER (WHERE is_fraud_predicted AND is_fraud) AS true_positives,
+      COUNT(*) FILTER (WHERE is_fraud_predicted AND NOT is_fraud) AS false_positives,
+      COUNT(*) FILTER (WHERE NOT is_fraud_predicted AND is_fraud) AS false_negatives FROM d)
+    SELECT total_transactions, frauds_detected, frauds_detected / CAST(total_transactions AS DOUBLE) AS fraud_rate,
+      CAST(blocked AS DOUBLE) / 100 AS blocked_amount,
+      (SELECT string_agg(merchant_category, ';' ORDER BY n DESC, merchant_category) FROM c) AS top_categories,
+      true_positives, false_positives, false_negatives,
+      true_positives / CAST(NULLIF(true_positives + false_positives, 0) AS DOUBLE) AS precision,
+      true_positives / CAST(NULLIF(true_positives + false_negatives, 0) AS DOUBLE) AS recall,
+      2 * true_positives / CAST(NULLIF(2 * true_positives + false_positives + false_negatives, 0) AS DOUBLE) AS f1 FROM q""")
+def _(spark, sf):
+    """The day's report: volume, rate, blocked amount, categories hit most, and how good the rules were."""
+    return dashboards.daily_report(dashboards.last_days(scored(spark, sf), 0))
+
+
+@query("read_new_files", """SELECT transaction_id, amount FROM tx WHERE timestamp_ms >= 1705795200000""")
+def _(spark, sf):
+    """Two arrivals in one folder: the second run reads the second only, also when it is repeated."""
+    folder, ledger = fresh_path(spark, "arrivals"), fresh_path(spark, "ledger")
+    rows = tx(spark, sf).select("transaction_id", "amount", "timestamp_ms")
+    rows.where(F.col("timestamp_ms") < HISTORY_END_MS).write.parquet(f"{folder}/first")
+    intake.claim(spark, folder, ledger, "day-1")
+    rows.where(F.col("timestamp_ms") >= HISTORY_END_MS).write.parquet(f"{folder}/second")
+    intake.claim(spark, folder, ledger, "day-2")
+    claimed = intake.claim(spark, folder, ledger, "day-2")
+    return intake.read_claimed(spark, folder, claimed, rows.schema).select("transaction_id", "amount")

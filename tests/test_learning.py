@@ -1,9 +1,11 @@
 """Classifiers on a separable set."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
-from cardwatch.learning import model
+from cardwatch.learning import evaluation, model, split
 from cardwatch.operators import generate
 
 
@@ -54,3 +56,40 @@ def test_prepare_fills_and_keeps_null_labels_out_of_training(make):
     df = model.prepare(make({"currency": None, "is_fraud": None}))
     row = df.first()
     assert (row.currency, row.label, row.amount_zscore, row.is_international_num) == ("UNKNOWN", None, 0.0, 0)
+
+@pytest.mark.parametrize("share", [0.0, 0.2, 0.5, 1.0])
+def test_exact_share_of_every_class(spark, share):
+    rows = [(f"T{i}", [None, 0, 1, 1][i % 4] if i < 200 else 7) for i in range(205)] + [("T3", 1)] * 9 + [(None, 0)] * 3
+    df = spark.createDataFrame(rows, "transaction_id string, is_fraud int")
+    train, test = split.stratified(df.repartition(4), share)
+    assert train.unionByName(test).exceptAll(df).isEmpty() and df.exceptAll(train.unionByName(test)).isEmpty()
+    n, taken = (dict(x.groupBy("is_fraud").count().collect()) for x in (df, test))
+    assert {k: taken.get(k, 0) for k in n} == {k: int(v * share + 0.5) for k, v in n.items()}
+    again = split.stratified(df.repartition(2), share)[1]
+    assert again.exceptAll(test).isEmpty() and test.exceptAll(again).isEmpty()
+
+
+def test_split_of_nothing(spark):
+    train, test = split.stratified(spark.createDataFrame([], "transaction_id string, is_fraud int"))
+    assert train.isEmpty() and test.isEmpty()
+
+
+@pytest.mark.parametrize("blocks", [1, 7, 1024])
+def test_areas_equal_all_pairs_and_all_thresholds(spark, blocks):
+    rng = random.Random(2)
+    rows = [(m, rng.randrange(12) / (7 if m == "a" else 1) - (3 if m == "c" else 0), float(rng.random() < 0.5), float(rng.random() < 0.4))
+            for m in "abc" for _ in range(120)]
+    rows += [("one", 0.5, 1.0, 1.0), ("one", 0.5, 0.0, 1.0), ("a", None, 1.0, 1.0), ("a", float("nan"), 1.0, 1.0), ("a", 0.5, 1.0, None)]
+    got = {r.model: r for r in evaluation.evaluate_scores(
+        spark.createDataFrame(rows, "model string, score double, prediction double, label double"), blocks).collect()}
+    assert got["one"].auc_roc is None and got["one"].auc_pr == 1.0
+    for m in "abc":
+        own = [(s, p, l) for k, s, p, l in rows if k == m and s is not None and s == s and l is not None]
+        pos, neg = [s for s, _, l in own if l], [s for s, _, l in own if not l]
+        roc = sum((a > b) + (a == b) / 2 for a in pos for b in neg) / len(pos) / len(neg)
+        points = [(sum(s >= t for s in pos), sum(s >= t for s in pos + neg)) for t in sorted({s for s, _, _ in own}, reverse=True)]
+        points = [(0, points[0][0] / points[0][1])] + [(tp / len(pos), tp / n) for tp, n in points]
+        pr = sum((b[0] - a[0]) * (a[1] + b[1]) / 2 for a, b in zip(points, points[1:]))
+        assert abs(got[m].auc_roc - roc) < 1e-12 and abs(got[m].auc_pr - pr) < 1e-12
+        assert got[m].true_positives == sum(p == 1 and l == 1 for _, p, l in own)
+        assert got[m].false_negatives == sum(p != 1 and l == 1 for _, p, l in own)

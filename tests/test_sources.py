@@ -2,10 +2,12 @@
 
 import json
 
+import pytest
 from conftest import values
 from pyspark.sql import functions as F
 
-from cardwatch.operators import profiles, shape, upkeep
+from cardwatch.functions import times
+from cardwatch.operators import intake, profiles, shape, upkeep
 from cardwatch.schemas import CLOUD_MESSAGE, NOTEBOOK_RECORD, TRANSACTION
 from cardwatch.sources import readers, writers
 
@@ -102,3 +104,51 @@ def test_messages(make):
     assert json.loads(row.value) == {
         "transaction_id": "TX1-1", "customer_id": "CUST1", "amount": 6000.0, "fraud_score": 0.5, "risk_level": "HIGH",
         "alert_reasons": ["HIGH_AMOUNT"], "processed_at": "1970-01-01T00:00:00.000Z"}
+
+def test_a_damaged_copy_keeps_the_days_in_the_table(spark, make, tmp_path):
+    day = 86_400_000
+    df = make(*[{"timestamp_ms": i * day // 3, "amount": float(i)} for i in range(9)]).withColumn("d", times.event_date())
+    df.write.partitionBy("d").option("path", str(tmp_path / "t")).saveAsTable("damaged_days")
+    archive, before = str(tmp_path / "archive"), "1970-01-03"
+    upkeep.copy_before(spark, "damaged_days", archive, "d", before)
+    spare = spark.read.parquet(archive).where("d = '1970-01-02'").drop("d")
+    good = spare.collect()
+    bad = spark.createDataFrame([(*r[:3], r[3] + 1, *r[4:]) if i == 0 else tuple(r) for i, r in enumerate(good)], spare.schema)
+    bad.write.mode("overwrite").parquet(f"{archive}/d=1970-01-02")
+    with pytest.raises(upkeep.DamagedCopy, match="1970-01-02"):
+        upkeep.drop_archived(spark, "damaged_days", archive, "d", before)
+    upkeep.refresh(spark, "damaged_days", statistics=False)
+    assert spark.table("damaged_days").count() == 9
+    upkeep.archive_before(spark, "damaged_days", archive, "d", before)
+    assert spark.table("damaged_days").count() == 3 and spark.read.parquet(archive).count() == 6
+
+
+def test_checksums_see_nulls_and_repeated_rows_but_no_order(spark):
+    rows = [(1, "a", None), (1, None, "a"), (1, "b", "c"), (1, "b", "c"), (2, None, None)]
+    schema = "d int, x string, y string"
+    df = spark.createDataFrame(rows, schema)
+    assert upkeep.differing_days(df, spark.createDataFrame(rows[::-1], schema).repartition(3), "d") == []
+    assert upkeep.differing_days(df, spark.createDataFrame([rows[0], rows[0], *rows[2:]], schema), "d") == ["1"]
+    assert upkeep.differing_days(df, spark.createDataFrame(rows[:2] + rows[3:], schema), "d") == ["1"]
+    assert upkeep.differing_days(df, spark.createDataFrame(rows[:4], schema), "d") == ["2"]
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_runs_read_new_files_once_and_again_when_repeated(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(intake, "FEW_FILES", few)
+    folder, ledger = str(tmp_path / "in"), str(tmp_path / "ledger")
+    schema = spark.range(1).schema
+
+    def arrive(start, stop):
+        spark.range(start, stop).write.mode("append").parquet(folder)
+
+    def read(run):
+        return sorted(r.id for r in intake.read_claimed(spark, folder, intake.claim(spark, folder, ledger, run), schema).collect())
+    arrive(0, 10)
+    assert read("a") == list(range(10))
+    arrive(10, 15)
+    assert read("a") == list(range(10)) and read("b") == list(range(10, 15)) and read("c") == []
+    # a claim without its mark is made again
+    intake.files(spark, folder).limit(0).write.parquet(f"{ledger}/claims/run=d")
+    arrive(15, 18)
+    assert read("d") == [15, 16, 17] and read("b") == list(range(10, 15))
