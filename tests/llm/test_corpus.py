@@ -288,6 +288,23 @@ def test_one_longer_vector_removes_no_other(spark):
     assert sorted((r.query_id, r["rank"], r.vec_id) for r in got) == [(0, 1, 20), (0, 2, 7), (20, 1, 0), (20, 2, 7)]
 
 
+def test_each_length_is_searched_on_its_own_and_slices_of_queries_change_nothing(spark):
+    rng = np.random.default_rng(5)
+    by_length = {8: range(0, 900), 5: range(900, 1300), 3: range(1300, 1310)}
+    data = {i: rng.standard_normal(n) for n, ids in by_length.items() for i in ids}
+    data |= {2000 + i: data[40] for i in range(60)}  # copies: ties of score across blocks
+    table = spark.createDataFrame([(i, v.tolist()) for i, v in data.items()], "vec_id bigint, embedding array<double>")
+    got = neighbours.nearest(table, F.col("_id") % 20 == 0, k=5, block_rows=128, confidence=0.999999)
+    sliced = neighbours.nearest(table, F.col("_id") % 20 == 0, k=5, block_rows=128, confidence=0.999999, block_queries=7)
+    rows = sorted(tuple(r) for r in got.select("query_id", "rank", "vec_id", "score").collect())
+    assert rows == sorted(tuple(r) for r in sliced.select("query_id", "rank", "vec_id", "score").collect())
+    want = []
+    for q in (i for i in data if i % 20 == 0):
+        scores = sorted((-float((data[q] * v).sum()), i) for i, v in data.items() if i != q and len(v) == len(data[q]))
+        want += [(q, n + 1, i) for n, (_, i) in enumerate(scores[:5])]
+    assert [r[:3] for r in rows] == sorted(want)
+
+
 # 6 benchmark
 
 ITEM = "A train leaves Paris at 14 with Alice on board and travels for 3 hours at 120 km before Alice meets Bob in Rome"
