@@ -27,10 +27,14 @@ AGAINST = set("nav navigation navbar menu header masthead footer sidebar aside a
               "sharing social related recommended newsletter subscribe signup login form search breadcrumb breadcrumbs "
               "pagination pager widget popup modal overlay copyright disclaimer toolbar tags meta complementary "
               "contentinfo dialog".split())
+# Words of names that say where something is or what shape it has, and small words of labels.
+LAYOUT = set("site page top bottom left right side inner outer block box bar list item items link links section container "
+             "wrapper wrap area region group row column panel button buttons icon icons zone global local primary secondary "
+             "articles posts stories this the our your us to on of for".split())
 
 _TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)>"
                     r"|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>|<[!?/][^>]*+(?:>|\Z)", re.S)
-_ATTRIBUTE = re.compile(r"\b(?:class|id|role|itemprop|data-role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
+_ATTRIBUTE = re.compile(r"\b(class|id|role|itemprop|data-role|aria-label)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))", re.I)
 _SELF_CLOSED = re.compile(r"(?<!=)(?:^|[\s\"']|\s[^\s=\"']+)/\Z")
 _WORD = re.compile(r"[a-z]+")
 _STOP = re.compile(r"[.!?,;:]")
@@ -79,6 +83,21 @@ def varied(source: str, seed: int) -> str:
     return source[:match.start()] + block() + whole + block() + source[match.end():]
 
 
+def name_words(attributes: str) -> set[str]:
+    """Words of names that may speak for or against the main text.
+
+    A name speaks against it only as a whole: all its words do, or say where it is or what shape it has. So site-footer
+    and share-buttons do; related-work and copyright-law name a subject and do not. A label is one name.
+    """
+    words = set()
+    for attribute, *values in _ATTRIBUTE.findall(attributes):
+        value = "".join(values)
+        for name in [value] if attribute.lower() == "aria-label" else value.split():
+            own = set(_WORD.findall(_CAMEL.sub(" ", name).lower()))
+            words |= own if own <= AGAINST | LAYOUT | FOR else own - AGAINST
+    return words
+
+
 class Page:
     """parent, tag, yes, no (hints) of each block element; pieces are (element, text, is in a link) in page order, None
     as text where a block begins or ends."""
@@ -176,9 +195,7 @@ class Page:
                 stack.append((name, owner))
 
     def _add(self, name: str, attributes: str, parent: int) -> None:
-        words = {name}
-        for match in _ATTRIBUTE.findall(attributes) if attributes and "=" in attributes else ():
-            words.update(_WORD.findall(_CAMEL.sub(" ", "".join(match)).lower()))
+        words = {name} | (name_words(attributes) if attributes and "=" in attributes else set())
         self.parent.append(parent)
         self.tag.append(name)
         if name == "header" and self.inside[parent]:
