@@ -8,10 +8,11 @@ its size, once more.
 The choice is a threshold on a seeded hash of the document key: documents below it, in hash order, add up to the
 fraction as nearly as whole documents can (the last one counts if its middle is still inside). The threshold is found
 by a histogram of hash prefixes per source, then by the rows of the one prefix where the sum is reached; so no source
-is ever sorted or gathered as a whole, and documents themselves are not shuffled.
+is ever sorted or gathered as a whole, and documents themselves are not shuffled. Where the threshold falls among rows
+of one key (or among many without one), it is refined the same way by a hash of the whole row.
 
-Defined cases: null text has size 0; a null source is a source of its own; a null key hashes as a fixed text; repeated
-rows share their hash and are taken together; an empty table gives an empty result; sources of size 0 have target 0; columns named like a result are replaced.
+Defined cases: null text has size 0; a null source is a source of its own; a null key hashes as a fixed text; rows equal
+in all columns share both hashes and are taken together (columns that hold maps are not looked at); an empty table gives an empty result; sources of size 0 have target 0; columns named like a result are replaced.
 """
 
 from __future__ import annotations
@@ -80,6 +81,58 @@ def targets(sizes: DataFrame, max_epochs: int = 3) -> DataFrame:
             .withColumn("_share", F.lit(Decimal(max(share, 1))).cast(wide)).drop("_asked", "_full"))
 
 
+def same(left: str, right: str) -> Column:
+    return F.col(left).eqNullSafe(F.col(right))
+
+
+def prefix() -> Column:
+    return F.shiftright("_u", HASH_BITS - PREFIX_BITS)
+
+
+def histogram(rows: DataFrame, label: str) -> DataFrame:
+    """Words per source and hash prefix: at most 2^12 rows per source."""
+    return staged(rows.groupBy("_source", prefix().alias("_prefix")).agg(F.sum("size").alias("_words")), label)
+
+
+def row_hash(df: DataFrame) -> Column:
+    """60 bits of a hash of all columns that have one."""
+    columns = [F.col(f"`{f.name}`") for f in df.schema if not any(t in f.dataType.simpleString() for t in ("map<", "variant"))]
+    return F.shiftrightunsigned(F.xxhash64(*columns), 64 - HASH_BITS)
+
+
+def threshold(rows: DataFrame, blocks: DataFrame, plan: DataFrame, label: str, split: bool) -> DataFrame:
+    """Per source (_s) with a rest: the largest hash that is taken (_last).
+
+    ``plan`` has the words counted already (_start). With ``split``, rows of one hash that would pass the rest are not
+    taken, and given as _edge with the words before them (_begin).
+    """
+    # the prefix in which the running sum passes the rest
+    running = ("sum(_words) over (partition by _source order by _prefix "
+               "rows between unbounded preceding and 1 preceding)")
+    found = (blocks.withColumn("_earlier", F.expr(f"coalesce({running}, 0L)"))
+             .join(plan.select(F.col("_source").alias("_s"), "_rest", "_share", "_start"), same("_source", "_s"))
+             .withColumn("_before", F.col("_start") + F.col("_earlier"))
+             .where((F.col("_rest") > 0) & ((F.col("_before") * F.col("_share")) < F.col("_rest"))
+                    & ((F.col("_before") + F.col("_words")) * F.col("_share") >= F.col("_rest")))
+             .select("_s", F.col("_prefix").alias("_p"), "_before", "_rest", "_share"))
+    found = staged(found, f"{label}-edges")
+    near = (rows.join(found, same("_source", "_s") & (prefix() == F.col("_p")))
+            .groupBy("_s", "_u", "_p", "_before", "_rest", "_share")
+            .agg(F.sum("size").alias("_words"), F.count("*").alias("_n")))
+    inside = "coalesce(sum(_words) over (partition by _s order by _u rows between unbounded preceding and 1 preceding), 0L)"
+    parted = (F.col("_n") > 1) & F.lit(split)
+    # half units keep the middle of a document exact
+    reached = 2 * F.col("_begin") + F.when(parted, 2 * F.col("_words")).otherwise(F.col("_words"))
+    fits = reached * F.col("_share") <= 2 * F.col("_rest")
+    edge = parted & ~fits & (F.col("_begin") * F.col("_share") < F.col("_rest"))
+    last = (near.withColumn("_begin", F.col("_before") + F.expr(inside))
+            .groupBy("_s").agg(F.max(F.when(fits, F.col("_u"))).alias("_last"),
+                               F.min(F.shiftleft("_p", HASH_BITS - PREFIX_BITS) - 1).alias("_none"),
+                               F.min(F.when(edge, F.struct("_u", "_begin"))).alias("_at")))
+    return staged(last.select("_s", F.coalesce("_last", "_none").alias("_last"), F.col("_at._u").alias("_edge"),
+                              F.col("_at._begin").alias("_begin")), f"{label}-last")
+
+
 def mix(docs: DataFrame, size: Column, key: str = "doc_id", source: str = "source", max_epochs: int = 3,
         seed: int = 0, weights: DataFrame | None = None) -> DataFrame:
     """All rows with size, source_size, target, repeats and taken (size times repeats).
@@ -89,8 +142,7 @@ def mix(docs: DataFrame, size: Column, key: str = "doc_id", source: str = "sourc
     docs = docs.drop("size", "source_size", "target", "repeats", "taken")
     rows = staged(docs.select(F.col(source).alias("_source"), seeded(key, seed).alias("_u"), size.alias("size")),
                   "mix-rows")
-    prefix = F.shiftright("_u", HASH_BITS - PREFIX_BITS)
-    blocks = staged(rows.groupBy("_source", prefix.alias("_prefix")).agg(F.sum("size").alias("_words")), "mix-blocks")
+    blocks = histogram(rows, "mix-blocks")
     sizes = blocks.groupBy("_source").agg(F.sum("_words").alias("source_size"))
     weighted = (rising_weights(sizes, "_source") if weights is None else
                 sizes.join(weights.select(F.col(source).alias("_k"), F.col("weight").cast("bigint").alias("weight")),
@@ -98,30 +150,27 @@ def mix(docs: DataFrame, size: Column, key: str = "doc_id", source: str = "sourc
                 .withColumn("weight", F.coalesce("weight", F.lit(0).cast("bigint"))))
     plan = staged(targets(staged(weighted, "mix-sizes"), max_epochs), "mix-plan")
 
-    def same(left: str, right: str) -> Column:
-        return F.col(left).eqNullSafe(F.col(right))
-
-    # the prefix in which the running sum passes the rest: at most 2^12 rows per source
-    running = ("sum(_words) over (partition by _source order by _prefix "
-               "rows between unbounded preceding and 1 preceding)")
-    found = (blocks.withColumn("_before", F.expr(f"coalesce({running}, 0L)"))
-             .join(plan.select(F.col("_source").alias("_s"), "_rest", "_share"), same("_source", "_s"))
-             .where((F.col("_rest") > 0) & ((F.col("_before") * F.col("_share")) < F.col("_rest"))
-                    & ((F.col("_before") + F.col("_words")) * F.col("_share") >= F.col("_rest")))
-             .select("_s", "_prefix", "_before", "_rest", "_share"))
-    found = staged(found, "mix-edges")
-    near = (rows.join(found.withColumnRenamed("_prefix", "_p"), same("_source", "_s") & (prefix == F.col("_p")))
-            .groupBy("_s", "_u", "_p", "_before", "_rest", "_share").agg(F.sum("size").alias("_words")))
-    inside = "coalesce(sum(_words) over (partition by _s order by _u rows between unbounded preceding and 1 preceding), 0L)"
-    # half units keep the middle of a document exact
-    last = (near.withColumn("_middle", 2 * (F.col("_before") + F.expr(inside)) + F.col("_words"))
-            .groupBy("_s").agg(F.max(F.when(F.col("_middle") * F.col("_share") <= 2 * F.col("_rest"), F.col("_u")))
-                               .alias("_last"),
-                               F.min(F.shiftleft("_p", HASH_BITS - PREFIX_BITS) - 1).alias("_none")))
-    last = staged(last.select("_s", F.coalesce("_last", "_none").alias("_last")), "mix-last")
+    last = threshold(rows, blocks, plan.withColumn("_start", F.lit(0).cast("bigint")), "mix", split=True)
+    ties = last.where(F.col("_edge").isNotNull()).select("_s", "_edge", F.col("_begin").alias("_start"))
+    tied = not ties.isEmpty()
+    if tied:
+        whole = docs.select(F.col(source).alias("_source"), seeded(key, seed).alias("_k"), row_hash(docs).alias("_u"),
+                            size.alias("size"))
+        among = staged(whole.join(ties, same("_source", "_s") & (F.col("_k") == F.col("_edge")))
+                       .select("_source", "_u", "size"), "mix-ties")
+        inner = threshold(among, histogram(among, "mix-tie-blocks"), plan.join(ties, same("_source", "_s")).drop("_s"),
+                          "mix-tie", split=False)
+        last = last.join(inner.select(F.col("_s").alias("_t"), F.col("_last").alias("_edge_last")), same("_s", "_t"), "left")
     plan = staged(plan.join(last, same("_source", "_s"), "left").select(
         F.col("_source").alias("__source"), "source_size", "target", F.col("whole").alias("__whole"),
-        F.coalesce("_last", F.lit(-1)).alias("__last")), "mix-sources")
-    return (docs.withColumn("size", size).withColumn("__hash", seeded(key, seed)).join(plan, same(source, "__source"))
-            .withColumn("repeats", F.col("__whole") + (F.col("__hash") <= F.col("__last")).cast("int"))
-            .withColumn("taken", F.col("size") * F.col("repeats")).drop("__source", "__hash", "__whole", "__last"))
+        F.coalesce("_last", F.lit(-1)).alias("__last"), F.col("_edge").alias("__edge"),
+        (F.col("_edge_last") if tied else F.lit(None).cast("bigint")).alias("__edge_last")), "mix-sources")
+    once_more = F.col("__hash") <= F.col("__last")
+    if tied:
+        once_more = once_more | F.coalesce((F.col("__hash") == F.col("__edge")) & (row_hash(docs) <= F.col("__edge_last")),
+                                           F.lit(False))
+    return (docs.withColumn("__size", size).withColumn("__hash", seeded(key, seed)).join(plan, same(source, "__source"))
+            .withColumn("repeats", F.col("__whole") + once_more.cast("int"))
+            .withColumnRenamed("__size", "size").withColumn("taken", F.col("size") * F.col("repeats"))
+            .drop("__source", "__hash", "__whole", "__last", "__edge", "__edge_last")
+            .select(*docs.columns, "size", "source_size", "target", "repeats", "taken"))
