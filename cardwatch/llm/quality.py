@@ -6,12 +6,14 @@ log((p / |p|) / (q / |q|)). The linear model is fitted on the scaled indicators,
 dual coordinate descent on the hinge loss, and pulled towards the plain log-count model by ``blend``. A logistic curve
 fitted on a fifth of the training rows, which the model has not seen, turns margins into scores from 0 to 1.
 
-It is fitted on at most ``max_rows`` labelled documents, the first by a seeded hash of the key: this bound is a
-parameter, and a document is scored alike whatever the size of the corpus. The sample's features are made where the
-documents are; one task fits the model; what the driver holds is the array of ``BUCKETS`` coefficients.
+It is fitted on at most ``max_rows`` labelled documents, the first by a seeded hash of the key, one row per key, and of
+these on the first that have ``max_features`` features together: these bounds are parameters, and a document is scored
+alike whatever the size of the corpus. One task fits the model; what the driver holds is the array of ``BUCKETS``
+coefficients.
 
 Defined cases: null and empty texts have no feature and get the score of the bias alone; rows with a null label or key
-are not learned from; several labels of a key count as their mean, 1 from one half up; if only one class is labelled,
+are not learned from; several labels of a key count as their mean, 1 from one half up; of several rows of a key the text
+of least hash is learned from; if only one class is labelled,
 every score is that class; an empty table gives an empty result.
 """
 
@@ -148,7 +150,8 @@ def train(rows: list[np.ndarray], label: np.ndarray, cost: float = 1.0, blend: f
 
 
 def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "text", label: str = "quality",
-        usable: Column | None = None, max_rows: int = 16_000, seed: int = 0, **settings: float) -> Model:
+        usable: Column | None = None, max_rows: int = 16_000, max_features: int = 100_000_000, seed: int = 0,
+        **settings: float) -> Model:
     """The model of labelled documents; ``usable`` says which labelled keys may be learned from."""
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     known = known.where(usable) if usable is not None else known
@@ -156,9 +159,13 @@ def fit(docs: DataFrame, labels: DataFrame, key: str = "doc_id", text: str = "te
               .withColumn("_order", F.xxhash64(F.lit(seed), F.col(key).cast("string"))).orderBy("_order", key)
               .limit(max_rows).withColumnRenamed(key, "_key"))
     # at most max_rows short rows
-    sample = (docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
+    sample = docs.select(F.col(key).alias("_key"), F.col(text).alias("_text")).join(F.broadcast(chosen), "_key")
+    sample = (sample.groupBy("_key", "_order", "_label").agg(F.min_by("_text", F.xxhash64("_text")).alias("_text"))
               .select("_order", "_label", "_text"))
     sample = staged(sample.mapInArrow(_featured, "_order bigint, _label int, _features array<int>"), "quality-sample")
+    sizes = sample.groupBy("_order").agg(F.sum(F.size("_features")).alias("_n"))
+    upto = sizes.select("_order", F.expr("sum(_n) over (order by _order)").alias("_upto")).where(F.col("_upto") <= max_features)
+    sample = sample.join(F.broadcast(upto), "_order").select("_order", "_label", "_features")
 
     def fitted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         found = []

@@ -2,6 +2,7 @@
 
 import collections
 import html
+import itertools
 import random
 import re
 
@@ -147,6 +148,22 @@ def test_given_weights_and_a_source_without_one(spark):
     assert got["small"] == 600 and got["none"] == 0 and got["mid"] == 1400
 
 
+def test_rows_of_one_key_or_none_are_parted_by_the_threshold(spark):
+    rng = random.Random(8)
+    rows = [(None, f"{sentence(rng, 9)} {i}", "a") for i in range(100)] + [(7, sentence(rng, 10), "c") for _ in range(50)]
+    rows += [(i, sentence(rng, 10), "b") for i in range(100, 150)] + [(8, "ten " * 10, "d")] * 30
+    table = spark.createDataFrame(rows, "doc_id int, text string, source string")
+    got = mixing.mix(table.repartition(3), mixing.n_words("text"))
+    taken, target = collections.Counter(), {}
+    for r in got.collect():
+        taken[r.source] += r.taken
+        target[r.source] = r.target
+    assert all(abs(taken[s] - target[s]) <= 5 for s in "abc") and target["a"] not in (0, 1000, 2000, 3000)
+    assert taken["d"] in (0, 300, 600, 900) and abs(taken["d"] - target["d"]) <= 150
+    again = mixing.mix(table, mixing.n_words("text"))
+    assert sorted(map(str, again.collect())) == sorted(map(str, got.collect()))
+
+
 # 3 suffixes
 
 def test_repeated_passages_are_found_and_nothing_else(docs, nothing, texts):
@@ -214,6 +231,52 @@ def test_without_marked_pages_or_any_page(spark):
     assert html_text.extracted(pages.limit(0), html_text.train(pages.limit(0))).count() == 0
 
 
+SUBJECTS = ("related-work meta-analysis form-and-content copyright-law search-algorithms share-prices comment-policy-history "
+            "social-history tags-in-music menu-planning footer-anatomy alert-fatigue notice-periods ad-hoc-networks login-shells "
+            "sponsored-research banner-years reply-times cookie-recipes advertising header-files modal-logic popup-books "
+            "widget-factories dialog-systems overlay-networks navigation-at-sea newsletterGenre subscribe-press meta-ethics").split()
+
+
+def test_sections_named_after_a_subject_stay_and_side_matter_goes(spark):
+    rng = random.Random(6)
+    spoken = [f"{sentence(rng, 14)}. {sentence(rng, 9)}, {sentence(rng, 8)}." for _ in range(400)]
+    pages = [(i, PAGE % ("<article><h1>Head</h1>%s</article>" % "".join(f"<p>{s}</p>" for s in rng.sample(spoken, 5))))
+             for i in range(60)]
+    expected = {}
+    for i, name in enumerate(SUBJECTS, 1000):
+        first, own, last = rng.sample(spoken, 3)
+        pages.append((i, PAGE % f'<article><h1>Head</h1><p>{first}</p><section id="{name}"><h2>Part</h2><p>{own}</p></section><p>{last}</p></article>'))
+        expected[i] = "\n".join(["Head", first, "Part", own, last])
+    for i, name in enumerate(("site-footer", "share-buttons", "relatedPosts", "post-comments", "sidebar left", "cookie-notice"), 2000):
+        first, own, last = rng.sample(spoken, 3)
+        pages.append((i, PAGE % f'<article><h1>Head</h1><p>{first}</p><div class="{name}"><p>{own}</p></div><p>{last}</p></article>'))
+        expected[i] = "\n".join(["Head", first, last])
+    table = spark.createDataFrame(pages, "page_id int, html string")
+    got = {r.page_id: r.text for r in html_text.extracted(table, html_text.train(table)).collect()}
+    assert {i: got[i] for i in expected} == expected
+
+
+def test_decoding_finds_the_most_probable_consistent_choice():
+    rng = random.Random(4)
+    for _ in range(60):
+        n = rng.randrange(2, 8)
+        page = dom.Page("")
+        page.parent = [-1] + [rng.randrange(i) for i in range(1, n)]
+        chance = [rng.uniform(0.02, 0.98) for _ in range(n)]
+
+        def worth(states):
+            total = 0.0
+            for i, s in enumerate(states):
+                before = states[page.parent[i]] if i else 0
+                if s < before or s > before + 1:
+                    return -np.inf
+                total += np.log(chance[i] if s == 1 else 1 - chance[i]) - (2.0 if before == 1 and s == 2 else 0)
+            return total
+
+        best = max(itertools.product((0, 1, 2), repeat=n), key=worth)
+        assert page.decoded(chance) == [s == 1 for s in best]
+
+
 def test_a_cut_is_never_undone_below():
     page = dom.Page("<article><div><p>a</p><div><p>b</p></div></div></article>")
     keep = page.decoded([0.01, 0.9, 0.9, 0.9, 0.001, 0.9])
@@ -417,6 +480,27 @@ def test_quality_is_learned_and_held_out(spark):
     assert np.mean([s >= 0.3 for s in good]) > 0.95
 
 
+def test_descent_reaches_the_least_hinge_loss():
+    rng = np.random.default_rng(1)
+    rows = [np.sort(rng.choice(12, rng.integers(1, 7), replace=False)) for _ in range(60)]
+    scale, label = rng.standard_normal(12), np.where(rng.random(60) < 0.5, 1, -1)
+    weight, bias = quality.descend(rows, scale, label, 1.0, 400, 0)
+    x = np.zeros((60, 13))
+    for i, r in enumerate(rows):
+        x[i, r] = scale[r] / np.sqrt((scale[r] ** 2).sum())
+    x[:, 12] = 1  # the bias is one more weight
+
+    def loss(w):
+        return w @ w / 2 + np.maximum(0, 1 - label * (x @ w)).sum()
+
+    plain, least = np.zeros(13), np.inf
+    for step in range(1, 60_001):  # subgradient steps
+        plain -= (plain - x.T @ (label * (label * (x @ plain) < 1))) / step
+        least = min(least, loss(plain)) if step % 50 == 0 else least
+    found = loss(np.append(weight, bias))
+    assert found <= least * 1.0005 and least <= found * 1.02
+
+
 def test_quality_of_odd_rows(docs, nothing, spark):
     labels = spark.createDataFrame([(i, i % 2, 0) for i in range(40)] + [(None, 1, 0), (5, None, 0), (0, 0, 0)],
                                    "doc_id bigint, quality int, toxic int")
@@ -425,6 +509,12 @@ def test_quality_of_odd_rows(docs, nothing, spark):
     same = {r.score for r in got if not SPACES.findall(r.text or "") and (r.text or "") == ""}
     assert len(same) == 1
     assert quality.scored(nothing, quality.fit(nothing, labels)).count() == 0
+    many = docs.where("doc_id between 0 and 9").crossJoin(spark.range(30).select(F.col("id").alias("copy")))
+    one = quality.fit(docs.where("doc_id between 0 and 9"), labels, max_rows=10)
+    repeated = quality.fit(many, labels, max_rows=10)
+    assert np.array_equal(one.coefficient, repeated.coefficient) and one.offset == repeated.offset
+    few = quality.fit(docs, labels, max_features=1)
+    assert not few.coefficient.any()
     only = quality.fit(docs, labels.where("quality = 1"))
     assert quality.scored(docs, only).agg(F.min("score")).first()[0] > 0.9
 
