@@ -16,10 +16,11 @@ LEAST_SCORE = 0.3
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality classifier does not reject."""
+    """Documents that the quality classifier does not reject; without a text there is nothing to reject."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     model = quality.fit(docs, labels, usable=~quality.held_out())
-    return quality.scored(docs, model, score="_score").where(F.col("_score") >= LEAST_SCORE).select(*docs.columns)
+    good = (F.col("_score") >= LEAST_SCORE) | F.col("text").isNull()
+    return quality.scored(docs, model, score="_score").where(good).select(*docs.columns)
 
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
