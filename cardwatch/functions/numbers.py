@@ -72,6 +72,20 @@ def mean_rounded(name: str = CENTS) -> Column:
     return rounded(F.sum(name), F.count(name)) / F.lit(100)
 
 
+def co_moment(n: Column, sx: Column, sy: Column, sxy: Column) -> Column:
+    """``n Σxy - Σx Σy`` of whole numbers from their exact sums, rounded once to a double.
+
+    Where 38 digits do not hold the products, the sums are first centred on whole means, so two large numbers are still
+    not subtracted after rounding.
+    """
+    n, sx, sy, sxy = (c.cast("decimal(38,0)") for c in (n, sx, sy, sxy))
+    exact = F.try_subtract(F.try_multiply(n, sxy), F.try_multiply(sx, sy))
+    x0, y0 = (whole_div(s, F.nullif(n, F.lit(0))).cast("decimal(19,0)") for s in (sx, sy))
+    centred = sxy - x0 * sy - y0 * sx + n * x0 * y0
+    rest = (sx - n * x0).cast("double") * (sy - n * y0).cast("double")
+    return F.coalesce(exact.cast("double"), n.cast("double") * centred.cast("double") - rest)
+
+
 def deviation(n: Column, s1: Column, s2: Column, sample: bool = True) -> Column:
     """Standard deviation in money from count, sum and sum of squares of cents; null below two rows."""
     spread = n.cast("decimal(20,0)") * s2 - square(s1)

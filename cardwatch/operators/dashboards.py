@@ -174,15 +174,15 @@ def correlations(scored: DataFrame, features: dict[str, Column], outcome: Column
     sums = {"_n": rows(), "_y": F.sum(y)}
     for i, x in enumerate(features.values()):
         x = x.cast("bigint")
-        sums |= {f"_x{i}": F.sum(x), f"_xx{i}": F.sum(numbers.square(x)), f"_xy{i}": F.sum(x * y)}
+        wide = x.cast("decimal(19,0)")
+        sums |= {f"_x{i}": F.sum(wide), f"_xx{i}": F.sum(numbers.square(x)), f"_xy{i}": F.sum(wide * y)}
     one = scored.agg(*[m.alias(n) for n, m in sums.items()])
-    n, sy = (F.col(c).cast("decimal(19,0)") for c in ("_n", "_y"))
+    n, sy = F.col("_n"), F.col("_y")
 
     def corr(i: int) -> Column:
-        sx, sxy = (F.col(f"_{c}{i}").cast("decimal(19,0)") for c in ("x", "xy"))
-        top = (n * sxy - sx * sy).cast("double")
-        bottom = F.sqrt((n * F.col(f"_xx{i}") - sx * sx).cast("double")) * F.sqrt((n * sy - sy * sy).cast("double"))
-        return top / F.nullif(bottom, F.lit(0.0))
+        sx, sxx, sxy = (F.col(f"_{c}{i}") for c in ("x", "xx", "xy"))
+        bottom = F.sqrt(numbers.co_moment(n, sx, sx, sxx)) * F.sqrt(numbers.co_moment(n, sy, sy, sy))
+        return numbers.co_moment(n, sx, sy, sxy) / F.nullif(bottom, F.lit(0.0))
 
     return one.select(F.explode(F.array(*[F.struct(F.lit(name).alias("feature"), corr(i).alias("correlation"))
                                           for i, name in enumerate(features)])).alias("_r")).select("_r.*")

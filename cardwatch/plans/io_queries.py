@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.functions import times
-from cardwatch.operators import dashboards, intake, profiles, shape, upkeep
+from cardwatch.operators import dashboards, intake, profiles, shape, statistics, upkeep
 from cardwatch.plans.catalog import HISTORY_END_MS, query, scored, tx, tx_balance
 from cardwatch.plans.row_queries import CODES, REASONS
 from cardwatch.plans.sql import DATE, N, TOTAL
@@ -103,6 +103,26 @@ def _(spark, sf):
             .agg(F.count("*").alias("transaction_count")))
 
 
+STATISTICS = ["transaction_id", "customer_id", "merchant_category", "location", "timestamp_ms", "amount_cents", "device_id"]
+
+
+@query("table_statistics", " UNION ALL ".join(f"""SELECT '{c}' AS column_name, COUNT(*) AS row_count,
+    COUNT(*) - COUNT({c}) AS null_count, CAST(MIN({c}) AS VARCHAR) AS least, CAST(MAX({c}) AS VARCHAR) AS most,
+    TRUE AS distinct_within_5_percent FROM tx""" for c in STATISTICS))
+def _(spark, sf):
+    """Statistics of a table that grows by days: each arrival is scanned alone, then the sketches are merged."""
+    folder, store = fresh_path(spark, "grown"), fresh_path(spark, "statistics")
+    rows = tx(spark, sf).select(*STATISTICS, times.event_date().alias("transaction_date"))
+    for part in (F.col("timestamp_ms") < HISTORY_END_MS, F.col("timestamp_ms") >= HISTORY_END_MS):
+        writers.write_parquet(rows.where(part), folder, ["transaction_date"], "append")
+        statistics.renew(spark, folder, store, rows.schema)
+    exact = rows.agg(*[F.count_distinct(c).alias(c) for c in STATISTICS]).select(F.explode(F.array(*[
+        F.struct(F.lit(c).alias("column_name"), F.col(c).alias("_exact")) for c in STATISTICS])).alias("_e")).select("_e.*")
+    close = F.abs(F.col("distinct_count") - F.col("_exact")) <= 0.05 * F.col("_exact")
+    return (statistics.merged(spark, folder, store, rows.schema).join(exact, "column_name")
+            .withColumn("distinct_within_5_percent", close).drop("_exact", "distinct_count"))
+
+
 @query("table_saved", f"SELECT location, {N} AS transaction_count FROM tx GROUP BY location")
 def _(spark, sf):
     name = _table_name()

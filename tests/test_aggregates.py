@@ -115,3 +115,20 @@ def test_profile_has_warehouse_shape(spark):
     df = profiles.to_warehouse(profiles.customer_profiles(transactions(spark, MEDIUM)), "customer_profiles")
     assert [(f.name, f.dataType) for f in df.schema] == [(f.name, f.dataType) for f in WAREHOUSE["customer_profiles"]]
     assert df.count() == 150
+
+
+def test_co_moments_of_very_many_rows(spark):
+    from decimal import Decimal
+    from fractions import Fraction
+    from cardwatch.functions import numbers
+    cells = [(10**9 - 7, 1, 4 * 10**12 + 1), (10**9, 0, 5 * 10**12 + 3), (10**9 + 11, 1, 10**12 + 9), (3, 0, 17)]  # x, y, rows
+    few = [(x, y, w % 1000) for x, y, w in cells]
+    for rows in (cells, few, [(5, 1, 1)]):
+        n, sx, sy = (sum(w for *_, w in rows), sum(x * w for x, _, w in rows), sum(y * w for _, y, w in rows))
+        sxx, sxy = sum(x * x * w for x, _, w in rows), sum(x * y * w for x, y, w in rows)
+        one = spark.createDataFrame([tuple(map(Decimal, (n, sx, sy, sxx, sxy)))],
+                                    ", ".join(f"{c} decimal(38,0)" for c in ("n", "sx", "sy", "sxx", "sxy")))
+        got = one.select(numbers.co_moment(F.col("n"), F.col("sx"), F.col("sx"), F.col("sxx")),
+                         numbers.co_moment(F.col("n"), F.col("sx"), F.col("sy"), F.col("sxy"))).first()
+        for found, want in zip(got, (n * sxx - sx * sx, n * sxy - sx * sy)):
+            assert abs(Fraction(found) - want) <= abs(want) * Fraction(1, 10**12)

@@ -7,7 +7,7 @@ from conftest import values
 from pyspark.sql import functions as F
 
 from cardwatch.functions import times
-from cardwatch.operators import intake, profiles, shape, upkeep
+from cardwatch.operators import intake, profiles, shape, statistics, upkeep
 from cardwatch.schemas import CLOUD_MESSAGE, NOTEBOOK_RECORD, TRANSACTION
 from cardwatch.sources import readers, writers
 
@@ -152,3 +152,42 @@ def test_runs_read_new_files_once_and_again_when_repeated(spark, tmp_path, monke
     intake.files(spark, folder).limit(0).write.parquet(f"{ledger}/claims/run=d")
     arrive(15, 18)
     assert read("d") == [15, 16, 17] and read("b") == list(range(10, 15))
+
+
+@pytest.mark.parametrize("few", [0, 1000])
+def test_statistics_scan_new_files_only_and_forget_rewritten_ones(spark, tmp_path, monkeypatch, few):
+    monkeypatch.setattr(intake, "FEW_FILES", few)
+    folder, store = str(tmp_path / "t"), str(tmp_path / "s")
+    schema = "id bigint, name string, empty string, words array<string>, day date"
+    schema = spark.createDataFrame([], schema).schema
+
+    def days(start, stop, day):
+        return spark.range(start, stop).selectExpr("id", "if(id % 4 = 0, null, concat('n', id % 100)) as name",
+                                                   "cast(null as string) as empty", "array('x') as words", f"date'{day}' as day")
+
+    def told():
+        return {r[0]: tuple(r)[1:] for r in statistics.merged(spark, folder, store, schema).collect()}
+    days(0, 4000, "2024-01-01").write.partitionBy("day").parquet(folder)
+    old = set(spark.read.parquet(folder).inputFiles())
+    statistics.renew(spark, folder, store, schema)
+    days(4000, 9000, "2024-01-02").write.mode("append").partitionBy("day").parquet(folder)
+    seen = statistics.unseen_rows(spark, folder, store, schema)
+    assert seen.select("id").agg(F.min("id"), F.count("*")).first()[:] == (4000, 5000)
+    assert few == 0 or not old & set(seen.inputFiles())
+    for _ in range(2):
+        statistics.renew(spark, folder, store, schema)
+    got = told()
+    assert set(got) == {"id", "name", "empty", "day"} and got["id"][:4] == (9000, 0, "0", "8999")
+    assert abs(got["id"][4] - 9000) < 0.05 * 9000 and abs(got["name"][4] - 75) <= 3
+    assert got["empty"] == (9000, 9000, None, None, 0) and got["day"][2:] == ("2024-01-01", "2024-01-02", 2)
+    days(0, 10, "2024-01-01").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("day").parquet(folder)
+    statistics.renew(spark, folder, store, schema)
+    assert told()["id"][:4] == (5010, 0, "0", "8999")
+
+
+def test_statistics_of_a_table_without_files(spark, tmp_path):
+    (tmp_path / "t").mkdir()
+    schema = spark.range(1).schema
+    statistics.renew(spark, str(tmp_path / "t"), str(tmp_path / "s"), schema)
+    assert [tuple(r) for r in statistics.merged(spark, str(tmp_path / "t"), str(tmp_path / "s"), schema).collect()] == [
+        ("id", 0, 0, None, None, 0)]
