@@ -109,20 +109,15 @@ l AS (SELECT doc_id, pos, CASE WHEN 2 * (length(masked) - length(replace(masked,
                                THEN plain ELSE masked END AS line FROM p),
 t AS (SELECT *, string_split(line, ' ') AS ws, len(string_split(line, ' ')) AS n,
              array_to_string(string_split(line, ' ')[1:3], ' ') AS lead FROM l WHERE line <> ''),
-f AS (SELECT t.* FROM t JOIN (SELECT n, lead FROM t WHERE n >= 2 GROUP BY n, lead HAVING count(DISTINCT doc_id) >= 5) x
+f0 AS (SELECT t.* FROM t JOIN (SELECT n, lead FROM t WHERE n >= 2 GROUP BY n, lead HAVING count(DISTINCT doc_id) >= 5) x
       ON t.n = x.n AND t.lead = x.lead),
-c AS (SELECT n, lead, line, count(DISTINCT doc_id) AS k FROM f GROUP BY n, lead, line),
-m AS (SELECT n, lead, string_split(line, ' ') AS main FROM c
-      QUALIFY row_number() OVER (PARTITION BY n, lead ORDER BY k DESC, line) = 1),
-o AS (SELECT f.doc_id, f.pos, f.n, f.lead,
-             CASE WHEN f.n <= 3 OR (list_sum([CASE WHEN ws[i] = main[i] THEN 1 ELSE 0 END FOR i IN range(1, f.n + 1)]) - 3)
-                                   / CAST(f.n - 3 AS DOUBLE) >= 0.7 THEN '' ELSE line END AS own
-      FROM f JOIN m ON f.n = m.n AND f.lead = m.lead),
-r AS (SELECT n, lead, own, min({'d': doc_id, 'p': pos}) AS first FROM o GROUP BY n, lead, own
+@LEVELS@
+r AS (SELECT n, lead, line, min({'d': doc_id, 'p': pos}) AS first FROM f3 GROUP BY n, lead, line
       HAVING count(DISTINCT doc_id) >= 5),
-g AS (SELECT o.doc_id, list(DISTINCT o.pos) AS gone
-      FROM o JOIN r ON o.n = r.n AND o.lead = r.lead AND o.own = r.own
-      WHERE {'d': o.doc_id, 'p': o.pos} <> r.first GROUP BY o.doc_id)
+g AS (SELECT doc_id, list(DISTINCT pos) AS gone
+      FROM (SELECT f3.doc_id, f3.pos FROM f3 JOIN r ON f3.n = r.n AND f3.lead = r.lead AND f3.line = r.line
+            WHERE {'d': f3.doc_id, 'p': f3.pos} <> r.first
+            UNION ALL FROM g0 UNION ALL FROM g1 UNION ALL FROM g2) GROUP BY doc_id)
 SELECT d.doc_id, CAST(coalesce(len(string_split(d.text, chr(10))), 0) AS BIGINT) AS n_lines,
        CAST(coalesce(len(g.gone), 0) AS BIGINT) AS n_dropped,
        CASE WHEN g.gone IS NULL THEN d.text
@@ -132,6 +127,29 @@ FROM documents d LEFT JOIN g ON d.doc_id = g.doc_id
 """
 
 
+#: One level of the tree: lines f@ with their leaf, main templates, members, recurring ones, dropped lines, lines left.
+LEVEL_SQL = """
+a@ AS (SELECT *, BRANCH AS leaf FROM f@),
+m@ AS (SELECT n, lead, leaf, string_split(line, ' ') AS main
+       FROM (SELECT n, lead, leaf, line, count(DISTINCT doc_id) AS k FROM a@ GROUP BY n, lead, leaf, line)
+       QUALIFY row_number() OVER (PARTITION BY n, lead, leaf ORDER BY k DESC, line) = 1),
+i@ AS MATERIALIZED (
+  SELECT a@.*, a@.n <= 3 OR (list_sum([CASE WHEN ws[i] = main[i] THEN 1 ELSE 0 END FOR i IN range(1, a@.n + 1)]) - 3)
+                            / CAST(a@.n - 3 AS DOUBLE) >= 0.7 AS inside
+  FROM a@ JOIN m@ ON a@.n = m@.n AND a@.lead = m@.lead AND a@.leaf = m@.leaf),
+r@ AS (SELECT n, lead, leaf, min({'d': doc_id, 'p': pos}) AS first FROM i@ WHERE inside GROUP BY n, lead, leaf
+       HAVING count(DISTINCT doc_id) >= 5),
+p@ AS MATERIALIZED (
+  SELECT i@.*, coalesce(inside AND first IS NOT NULL, false) AS member, {'d': doc_id, 'p': pos} = first AS is_first
+  FROM i@ LEFT JOIN r@ ON i@.n = r@.n AND i@.lead = r@.lead AND i@.leaf = r@.leaf),
+g@ AS (SELECT doc_id, pos FROM p@ WHERE member AND NOT is_first),
+fNEXT AS (SELECT doc_id, pos, line, ws, n, lead FROM p@ WHERE NOT member),"""
+
+BRANCHES = ["''", "array_to_string(ws[1:6], ' ')", "array_to_string(ws[greatest(n - 2, 1):n], ' ')"]
+LINES_SQL = LINES_SQL.replace("@LEVELS@", "".join(
+    LEVEL_SQL.replace("@", str(i)).replace("BRANCH", leaf).replace("NEXT", str(i + 1)) for i, leaf in enumerate(BRANCHES)))
+
+
 @query("op1_line_templates", LINES_SQL)
 def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
