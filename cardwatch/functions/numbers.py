@@ -88,9 +88,10 @@ def co_moment(n: Column, sx: Column, sy: Column, sxy: Column) -> Column:
 
 def deviation(n: Column, s1: Column, s2: Column, sample: bool = True) -> Column:
     """Standard deviation in money from count, sum and sum of squares of cents; null below two rows."""
-    spread = n.cast("decimal(20,0)") * s2 - square(s1)
     divisor = n.cast("double") * (n - 1 if sample else n)
-    return F.when(n >= (2 if sample else 1), F.sqrt(spread.cast("double") / F.nullif(divisor, F.lit(0.0))) / 100)
+    spread = co_moment(n, s1, s1, s2)
+    spread = F.when(spread < 0, F.lit(0.0)).otherwise(spread)
+    return F.when(n >= (2 if sample else 1), F.sqrt(spread / F.nullif(divisor, F.lit(0.0))) / 100)
 
 
 def stdev(name: str = CENTS, sample: bool = True) -> Column:

@@ -132,3 +132,15 @@ def test_co_moments_of_very_many_rows(spark):
                          numbers.co_moment(F.col("n"), F.col("sx"), F.col("sy"), F.col("sxy"))).first()
         for found, want in zip(got, (n * sxx - sx * sx, n * sxy - sx * sy)):
             assert abs(Fraction(found) - want) <= abs(want) * Fraction(1, 10**12)
+
+
+def test_deviations_of_very_many_rows_do_not_pass_38_digits(spark):
+    from cardwatch.functions import numbers
+    n, half = 10 ** 13, 5 * 10 ** 12
+    low, high = 10 ** 9, 3 * 10 ** 9
+    one = spark.sql(
+        f"select {n}L as n, cast('{half * (low + high)}' as decimal(38,0)) as s1, "
+        f"cast('{half * (low * low + high * high)}' as decimal(38,0)) as s2, cast(null as decimal(38,0)) as none")
+    got = one.select(numbers.deviation(F.col("n"), F.col("s1"), F.col("s2"), sample=False),
+                     numbers.deviation(F.col("n"), F.col("none"), F.col("none"))).first()
+    assert got[0] == pytest.approx(10 ** 7, rel=1e-12) and got[1] is None

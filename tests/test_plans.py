@@ -5,7 +5,7 @@ import re
 import pytest
 from conftest import SMALL
 
-from cardwatch.operators import aggregates, dashboards, profiles, windows
+from cardwatch.operators import aggregates, dashboards, periods, profiles, windows
 from cardwatch.plans import QUERIES
 from cardwatch.sources.tables import transactions
 
@@ -92,3 +92,35 @@ def test_join_spreads_a_customer_with_a_third_of_the_rows(spark, medium_tx):
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
         spark.conf.set("spark.sql.shuffle.partitions", "4")
+
+
+def test_reports_of_a_period_read_its_days_only(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from cardwatch.functions import rules, times
+    from cardwatch.operators import shape
+    scored = rules.apply(shape.enrich(transactions(spark, SMALL, balance=True)), rules.stream_rules())
+    scored.withColumn("transaction_date", times.event_date()).write.partitionBy("transaction_date").parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")
+    try:
+        for name in periods.REPORTS:
+            text = plan(periods.report(name, table, F.lit("2024-01-20").cast("date"), 2), run=name == "hours_of_day")
+            filters = re.search(r"PartitionFilters: \[[^]]*\]", text)[0]
+            assert "2024-01-18" in filters and "2024-01-20" in filters, name
+            assert "GreaterThanOrEqual(timestamp_ms,1705536000000)" in text, name
+            assert "LessThan(timestamp_ms,1705795200000)" in text, name
+    finally:
+        spark.conf.unset("spark.sql.maxMetadataStringLength")
+
+
+def test_a_report_ends_with_its_day_and_rows_without_a_time_are_in_none(spark):
+    from pyspark.sql import functions as F
+    rows = [(t, "m") for t in ("2024-01-01 23:59:59.999", "2024-01-02 00:00:00", "2024-01-03 23:59:59.999",
+                               "2024-01-04 00:00:00", None)]
+    table = spark.createDataFrame(rows, "t string, merchant_id string").withColumn(
+        "timestamp_ms", F.unix_millis(F.col("t").cast("timestamp")))
+    day = F.lit("2024-01-03").cast("date")
+    kept = dashboards.last_days(table, 1, day).select("t").collect()
+    assert sorted(r.t for r in kept) == ["2024-01-02 00:00:00", "2024-01-03 23:59:59.999"]
+    assert dashboards.last_days(table.limit(0), 1).count() == 0
