@@ -89,19 +89,17 @@ def _forget_archived(spark: SparkSession, table: str) -> None:
 
 
 def compact_partition(spark: SparkSession, table: str, spec: dict[str, str], new_path: str,
-                      file_bytes: int = 128 * 2 ** 20) -> None:
-    """Rewrites one partition into files of about ``file_bytes`` and points the partition to them."""
-    rows = spark.table(table).where(partition_filter(spec)).drop(*spec)
-    wanted = {"spark.sql.adaptive.advisoryPartitionSizeInBytes": str(file_bytes),
-              "spark.sql.adaptive.coalescePartitions.parallelismFirst": "false"}
-    before = {key: spark.conf.get(key, None) for key in wanted}
-    for key, value in wanted.items():
-        spark.conf.set(key, value)
-    try:
-        rows.hint("rebalance").write.mode("errorifexists").parquet(new_path)
-    finally:
-        for key, value in before.items():
-            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+                      file_bytes: int = 128 * 2 ** 20, files: int | None = None) -> None:
+    """Rewrites one partition into files of about ``file_bytes``, or into exactly ``files``, and points the partition to them.
+
+    The number follows from the size of the files that are there, as rows in a shuffle are several times larger. A file
+    has one writer, which streams its rows and holds one row group.
+    """
+    rows = spark.table(table).where(partition_filter(spec))
+    if files is None:
+        stored = rows.select("_metadata.file_path", "_metadata.file_size").distinct().agg(F.sum("file_size")).first()[0]
+        files = max(1, -(-(stored or 0) // file_bytes))
+    rows.drop(*spec).repartition(files).write.mode("errorifexists").parquet(new_path)
     spark.sql(f"ALTER TABLE {table} PARTITION ({_partition_sql(spec)}) SET LOCATION '{new_path}'")
     spark.sql(f"REFRESH TABLE {table}")
 

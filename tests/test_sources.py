@@ -3,7 +3,7 @@
 import json
 
 import pytest
-from conftest import values
+from conftest import MEDIUM, values
 from pyspark.sql import functions as F
 
 from cardwatch.functions import times
@@ -191,3 +191,26 @@ def test_statistics_of_a_table_without_files(spark, tmp_path):
     statistics.renew(spark, str(tmp_path / "t"), str(tmp_path / "s"), schema)
     assert [tuple(r) for r in statistics.merged(spark, str(tmp_path / "t"), str(tmp_path / "s"), schema).collect()] == [
         ("id", 0, 0, None, None, 0)]
+
+
+def test_a_channel_is_compacted_into_one_file_whatever_its_size(spark, monkeypatch):
+    from functools import partial
+
+    from cardwatch.plans import QUERIES
+    monkeypatch.setattr(upkeep, "compact_partition", partial(upkeep.compact_partition, file_bytes=4096))
+    assert [r.files for r in QUERIES["compact_partition"](spark, MEDIUM).collect()] == [1, 1, 1, 1]
+
+
+@pytest.mark.parametrize("file_bytes,files", [(None, 3), (2 ** 20, 1), (20_000, None)])
+def test_compaction_counts_the_bytes_of_files(spark, tmp_path, file_bytes, files):
+    spark.range(20_000).selectExpr("id", "id % 2 AS part").repartition(5).write.partitionBy("part").format("parquet").option(
+        "path", str(tmp_path / "small")).saveAsTable("small_files")
+    try:
+        wanted = {"files": files} if file_bytes is None else {"file_bytes": file_bytes}
+        upkeep.compact_partition(spark, "small_files", {"part": "1"}, str(tmp_path / "new"), **wanted)
+        rows = spark.table("small_files").where("part = 1").select("id", "_metadata.file_path", "_metadata.file_size")
+        sizes = [r.file_size for r in rows.select("file_path", "file_size").distinct().collect()]
+        assert rows.select("id").distinct().count() == rows.count() == 10_000
+        assert len(sizes) == files if files else len(sizes) > 1 and all(10_000 < n < 30_000 for n in sizes)
+    finally:
+        spark.sql("DROP TABLE small_files")
