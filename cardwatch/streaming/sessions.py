@@ -23,10 +23,10 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 from cardwatch.functions import numbers
 from cardwatch.streaming.source import ARRIVAL
 
-CLOSED = ("customer_id string, first_us bigint, last_us bigint, row_count bigint, cents bigint, first_place string, "
-          "last_place string, categories string")
+CLOSED = "customer_id string, closed string"
+CLOSED_SESSION = ("struct<first_us: bigint, last_us: bigint, row_count: bigint, cents: bigint, first_place: string, "
+                  "last_place: string, categories: array<struct<category: string, row_count: bigint>>>")
 OPEN = "sessions string"
-COUNTS = "array<struct<category: string, row_count: bigint>>"
 
 #: A piece of a session: first and last time, rows, cents, [time, id, place] of its first and last row, [category, rows] pairs.
 Piece = list[Any]
@@ -36,18 +36,26 @@ def _text(value: Any) -> str | None:
     return None if value is None or value != value else value
 
 
-def pieces(rows: pd.DataFrame, gap_us: int) -> list[Piece]:
-    """The rows of one customer, combined as far as they lie within the gap of each other."""
-    rows = rows.sort_values(["us", "transaction_id"], kind="stable")
-    part = (rows["us"].diff() > gap_us).cumsum()
-    out = []
-    for _, own in rows.groupby(part, sort=True):
-        first, last = own.iloc[0], own.iloc[-1]
-        kinds = own["merchant_category"].value_counts(dropna=False)
-        out.append([int(first.us), int(last.us), len(own), int(own["amount_cents"].sum()),
-                    [int(first.us), _text(first.transaction_id), _text(first.location)],
-                    [int(last.us), _text(last.transaction_id), _text(last.location)],
-                    [[_text(k), int(n)] for k, n in kinds.items()]])
+def pieces(rows: pd.DataFrame, gap_us: int, after_us: int | None = None) -> list[Piece]:
+    """The rows of one customer, combined as far as they lie within the gap of each other; without those whose session
+    would have ended by ``after_us``.
+
+    Plain lists: a customer has few rows, and each data frame operation costs more than all of them.
+    """
+    columns = [rows[c].tolist() for c in ("us", "transaction_id", "location", "merchant_category", "amount_cents")]
+    found = [(us, _text(row_id), _text(place), _text(kind), cents) for us, row_id, place, kind, cents in zip(*columns)
+             if after_us is None or us + gap_us > after_us]
+    found.sort(key=_edge)
+    out: list[Piece] = []
+    for us, row_id, place, kind, cents in found:
+        if out and us - out[-1][1] <= gap_us:
+            last = out[-1]
+            last[1], last[2], last[3], last[5] = us, last[2] + 1, last[3] + cents, [us, row_id, place]
+            last[6][kind] = last[6].get(kind, 0) + 1
+        else:
+            out.append([us, us, 1, cents, [us, row_id, place], [us, row_id, place], {kind: 1}])
+    for piece in out:
+        piece[6] = [[kind, n] for kind, n in piece[6].items()]
     return out
 
 
@@ -78,9 +86,7 @@ def _step(gap_ms: int):
         watermark = state.getCurrentWatermarkMs()
         now = json.loads(state.get[0]) if state.exists else []
         for rows in batches:
-            rows = rows[rows["us"] + gap_us > watermark * 1000]
-            if len(rows):
-                now = merged(now + pieces(rows, gap_us), gap_us)
+            now = merged(now + pieces(rows, gap_us, watermark * 1000), gap_us)
         closed = [p for p in now if p[1] + gap_us <= watermark * 1000]
         left = [p for p in now if p[1] + gap_us > watermark * 1000]
         if left:
@@ -90,12 +96,10 @@ def _step(gap_ms: int):
         elif state.exists:
             state.remove()
         if closed:
-            yield pd.DataFrame({
-                "customer_id": [key[0]] * len(closed), "first_us": [p[0] for p in closed], "last_us": [p[1] for p in closed],
-                "row_count": [p[2] for p in closed], "cents": [p[3] for p in closed],
-                "first_place": [p[4][2] for p in closed], "last_place": [p[5][2] for p in closed],
-                "categories": [json.dumps([{"category": k, "row_count": n} for k, n in
-                                           sorted(p[6], key=lambda e: (e[0] is None, e[0] or ""))]) for p in closed]})
+            told = [{"first_us": p[0], "last_us": p[1], "row_count": p[2], "cents": p[3], "first_place": p[4][2],
+                     "last_place": p[5][2], "categories": [{"category": k, "row_count": n} for k, n in sorted(
+                         p[6], key=lambda e: (e[0] is None, e[0] or ""))]} for p in closed]
+            yield pd.DataFrame({"customer_id": [key[0]], "closed": [json.dumps(told)]})
     return step
 
 
@@ -105,10 +109,12 @@ def sessions(df: DataFrame, time: str = ARRIVAL, gap_ms: int = 600_000) -> DataF
                      F.coalesce(numbers.CENTS, F.lit(0)).alias(numbers.CENTS)).where(F.col(time).isNotNull())
     closed = rows.groupBy("customer_id").applyInPandasWithState(
         _step(gap_ms), CLOSED, OPEN, "append", GroupStateTimeout.EventTimeTimeout)
+    closed = closed.select("customer_id", F.explode(F.from_json("closed", f"array<{CLOSED_SESSION}>")).alias("_s")).select(
+        "customer_id", "_s.*")
     start, end = F.timestamp_micros("first_us"), F.timestamp_micros(F.col("last_us") + gap_ms * 1000)
     return closed.select(
         "customer_id", start.alias("session_start"), end.alias("session_end"), F.col("row_count").alias("session_tx_count"),
         numbers.money(F.col("cents")).alias("session_total_amount"), F.col("first_place").alias("first_location"),
-        F.col("last_place").alias("last_location"), F.from_json("categories", COUNTS).alias("merchant_categories"),
+        F.col("last_place").alias("last_location"), F.col("categories").alias("merchant_categories"),
         (F.col("first_place") != F.col("last_place")).alias("has_location_change"),
         ((F.unix_millis(end) - F.unix_millis(start)) / F.lit(60_000)).alias("session_duration_minutes"))
