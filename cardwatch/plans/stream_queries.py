@@ -136,7 +136,9 @@ def _(spark, sf):
 
 @query("win_sliding_stream", SLIDING)
 def _(spark, sf):
-    return complete(spark, windows.sliding(transactions(spark, sf)), ["customer_id", "window_start", "window_end"])
+    """Minutes are kept in the state of the stream, and windows put together from them when its versions are read."""
+    found = complete(spark, windows.panes(transactions(spark, sf)), ["customer_id", "window_start", "window_end"])
+    return windows.sliding_from_panes(found)
 
 
 SESSION = """, marked AS (SELECT *, SUM(CASE WHEN timestamp_ms - p_ms <= 600000 THEN 0 ELSE 1 END) OVER (

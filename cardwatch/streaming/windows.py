@@ -24,13 +24,47 @@ def sliding(df: DataFrame, time: str = ARRIVAL, length: str = "5 minutes", slide
     out = df.groupBy("customer_id", F.window(time, length, slide)).agg(
         rows().alias("tx_count"), total().alias("total_amount"), mean().alias("avg_amount"),
         F.max("amount").alias("max_amount"), F.array_sort(F.collect_set("location")).alias("locations"))
-    return _bounds(out, "window").withColumns({
+    return _flagged(_bounds(out, "window"), max_count, max_amount, max_places)
+
+
+def _flagged(windows: DataFrame, max_count: int, max_amount: float, max_places: int) -> DataFrame:
+    return windows.withColumns({
         "is_velocity_anomaly": F.col("tx_count") > max_count,
         "is_amount_anomaly": F.col("total_amount") > max_amount,
         "is_multi_location_anomaly": F.size("locations") > max_places,
     })
 
 
+def panes(df: DataFrame, time: str = ARRIVAL, slide: str = "1 minute") -> DataFrame:
+    """What sliding windows are put together from: sums, maximum and places per customer and slide.
+
+    On a stream the state holds one entry for each of these, where ``sliding`` holds one for every window over it.
+    """
+    out = df.groupBy("customer_id", F.window(time, slide)).agg(
+        rows().alias("_n"), F.sum(numbers.CENTS).alias("_cents"), F.count(numbers.CENTS).alias("_known"),
+        F.max("amount").alias("max_amount"), F.collect_set("location").alias("locations"))
+    return _bounds(out, "window")
+
+
+def sliding_from_panes(panes_: DataFrame, length: int = 5, max_count: int = 10, max_amount: float = 10000,
+                       max_places: int = 3) -> DataFrame:
+    """The rows of ``sliding`` from a table of ``panes``, for windows of ``length`` slides.
+
+    Panes are brought together by customer, who has at most one for each slide, before each is copied to its windows.
+    """
+    slide_us = F.unix_micros("window_end") - F.unix_micros("window_start")
+    start = F.unix_micros("window_start") - F.col("_k") * slide_us
+    placed = panes_.repartition("customer_id").withColumn("_k", F.explode(F.array(*[F.lit(k) for k in range(length)]))).select(
+        "customer_id", F.timestamp_micros(start).alias("window_start"), F.timestamp_micros(start + slide_us * length).alias("window_end"),
+        "_n", "_cents", "_known", "max_amount", "locations")
+    out = placed.groupBy("customer_id", "window_start", "window_end").agg(
+        F.sum("_n").alias("tx_count"), numbers.money(F.sum("_cents")).alias("total_amount"),
+        numbers.average(F.sum("_cents"), F.sum("_known")).alias("avg_amount"), F.max("max_amount").alias("max_amount"),
+        F.array_sort(F.array_distinct(F.flatten(F.collect_list("locations")))).alias("locations"))
+    ordered = out.select("window_start", "window_end", "customer_id", *out.columns[3:])
+    return _flagged(ordered, max_count, max_amount, max_places)
+
+
 def anomalies(windows: DataFrame) -> DataFrame:
     return windows.where(F.col("is_velocity_anomaly") | F.col("is_amount_anomaly")
                          | F.col("is_multi_location_anomaly"))

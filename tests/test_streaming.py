@@ -208,6 +208,37 @@ def test_many_sessions_of_a_customer_take_no_frames_of_their_own():
     assert sessions.pieces(rows, 10, after_us=100 * (n - 1)) == [found[-1]]
 
 
+def test_windows_from_panes_equal_sliding_windows(spark, make, feed, tmp_path):
+    rng = random.Random(4)
+    rows = [{"timestamp_ms": at(rng.randrange(-600, 900)), "transaction_id": f"TX{i}-1", "customer_id": rng.choice(["A", "B", None]),
+             "amount": rng.choice([1.5, 9000.0, None]), "location": rng.choice(["Paris", "Tokyo", "Dubai", "London", None])} for i in range(120)]
+    place, keys = str(tmp_path / "versions"), ["customer_id", "window_start", "window_end"]
+    stream = windows.panes(feed.stream())
+    for part in (rows[:50], rows[50:]):
+        feed(*part)
+        upsert.write_versions(stream, place, str(tmp_path / "cp")).awaitTermination()
+    kept = upsert.latest(spark, place, stream.schema, keys)
+    batch = source.parse(source.to_messages(make(*rows)))
+
+    def plain(df):
+        return sorted(tuple(map(str, r)) for r in df.collect())
+    assert plain(windows.sliding_from_panes(windows.panes(batch))) == plain(windows.sliding(batch))
+    assert kept.agg({"_n": "sum"}).first()[0] >= 50  # rows of the second part may be late
+    assert windows.sliding_from_panes(kept).columns == windows.sliding(batch).columns
+
+
+def test_the_state_of_sliding_windows_has_one_entry_a_minute(spark, monkeypatch):
+    from cardwatch.plans import QUERIES
+    from cardwatch.plans import stream_queries
+    taken = []
+    whole = upsert.write_versions
+    monkeypatch.setattr(stream_queries.upsert, "write_versions", lambda df, *a: taken.append(whole(df, *a)) or taken[0])
+    assert not QUERIES["win_sliding_stream"](spark, "/root/testdata/sf0.001").isEmpty()
+    events = spark.read.parquet("/root/testdata/sf0.001/events.parquet")
+    minutes = events.selectExpr("user_id", "unix_micros(CAST(ts AS TIMESTAMP)) DIV 60000000").distinct().count()
+    assert max(p.stateOperators[0].numRowsUpdated for p in taken[0].recentProgress) == minutes
+
+
 class Broken(Exception):
     pass
 
