@@ -86,12 +86,21 @@ def co_moment(n: Column, sx: Column, sy: Column, sxy: Column) -> Column:
     return F.coalesce(exact.cast("double"), n.cast("double") * centred.cast("double") - rest)
 
 
+def spread(n: Column, s1: Column, s2: Column) -> Column:
+    """``n Σx² - (Σx)²`` from count, sum and sum of squares."""
+    return co_moment(n, s1, s1, s2)
+
+
+def deviation_of(n: Column, spread_: Column, sample: bool = True) -> Column:
+    """Standard deviation in money from the count and ``spread``; null below two rows."""
+    divisor = n.cast("double") * (n - 1 if sample else n)
+    spread_ = F.when(spread_ < 0, F.lit(0.0)).otherwise(spread_)
+    return F.when(n >= (2 if sample else 1), F.sqrt(spread_ / F.nullif(divisor, F.lit(0.0))) / 100)
+
+
 def deviation(n: Column, s1: Column, s2: Column, sample: bool = True) -> Column:
     """Standard deviation in money from count, sum and sum of squares of cents; null below two rows."""
-    divisor = n.cast("double") * (n - 1 if sample else n)
-    spread = co_moment(n, s1, s1, s2)
-    spread = F.when(spread < 0, F.lit(0.0)).otherwise(spread)
-    return F.when(n >= (2 if sample else 1), F.sqrt(spread / F.nullif(divisor, F.lit(0.0))) / 100)
+    return deviation_of(n, spread(n, s1, s2), sample)
 
 
 def stdev(name: str = CENTS, sample: bool = True) -> Column:

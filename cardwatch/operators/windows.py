@@ -193,8 +193,11 @@ def features(df: DataFrame, line: Timeline = LINE) -> DataFrame:
         "_prev_place": F.lag("location").over(order),
     })
     n, s1, s2 = F.col("_n") - 1, F.col("_s1") - cents, F.col("_s2") - numbers.square(cents)
-    avg, std = numbers.average(s1, n), numbers.deviation(n, s1, s2)
-    return line.close(cut).withColumns({
+    avg, std = F.col("_avg"), F.col("_std")
+    # Columns of their own, as an expression used several times would be computed as often.
+    moments = line.close(cut).withColumn("_spread", numbers.spread(n, s1, s2)).withColumns({
+        "_avg": numbers.average(s1, n), "_std": numbers.deviation_of(n, F.col("_spread"))})
+    return moments.withColumns({
         "hour": times.hour_of_day(),
         "day_of_week": times.day_of_week(),
         "amount_zscore": F.when(std > 0, (F.col("amount") - avg) / std).otherwise(F.lit(0.0)),
@@ -202,4 +205,4 @@ def features(df: DataFrame, line: Timeline = LINE) -> DataFrame:
         "avg_amount_ratio": F.coalesce(F.col("amount") / F.nullif(avg, F.lit(0.0)), F.lit(1.0)),
         "location_changed": F.coalesce(F.col("location") != F.col("_prev_place"), F.lit(False)),
         "is_high_risk": (F.col("amount") > 5000) | F.col("merchant_category").isin(*rules.RISKY_WITH_WIRE),
-    }).drop("_n", "_s1", "_s2", "_prev_ms", "_prev_place")
+    }).drop("_n", "_s1", "_s2", "_spread", "_avg", "_std", "_prev_ms", "_prev_place")
