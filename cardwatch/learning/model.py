@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from multiprocessing.pool import ThreadPool
 
+from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
 from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.ml.tuning import CrossValidator, CrossValidatorModel, ParamGridBuilder
+from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -24,6 +26,8 @@ NUMERIC = ("amount", "previous_balance", "hour", "day_of_week", "amount_zscore",
 # Lowest probability of each level.
 PROBABILITY_LEVELS = (("CRITICAL", 0.9), ("HIGH", 0.7), ("MEDIUM", 0.5))
 SEED = 42
+# Iterations that the search over parameters compares.
+ITERATIONS = (50, 100)
 
 
 def prepare(df: DataFrame, numeric: Sequence[str] = NUMERIC, categorical: Sequence[str] = CATEGORICAL) -> DataFrame:
@@ -82,14 +86,54 @@ def train(df: DataFrame, classifier: Estimator, one_hot: bool = True, prepared:
 
 def cross_validate(df: DataFrame, folds: int = 5, parallelism: int = 4,
                    prepared: bool = False) -> CrossValidatorModel:
-    """Logistic regression over twelve parameter sets by area under ROC."""
+    """Logistic regression over twelve parameter sets by area under ROC, as ``CrossValidator`` does it.
+
+    Features depend on a fold's training rows only, so they are fitted once a fold and not once a parameter set. A
+    regression that converges within the smaller number of iterations counts for both, as it would take the same steps.
+    """
     lr = LogisticRegression(featuresCol="features", labelCol="label")
-    grid = (ParamGridBuilder().addGrid(lr.maxIter, [50, 100]).addGrid(lr.regParam, [0.01, 0.1])
+    grid = (ParamGridBuilder().addGrid(lr.maxIter, list(ITERATIONS)).addGrid(lr.regParam, [0.01, 0.1])
             .addGrid(lr.elasticNetParam, [0.0, 0.5, 1.0]).build())
     judge = BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC")
-    search = CrossValidator(estimator=Pipeline(stages=[*feature_stages(), lr]), estimatorParamMaps=grid,
-                            evaluator=judge, numFolds=folds, parallelism=parallelism, seed=SEED)
-    return search.fit((df if prepared else prepare(df)).where(F.col("label").isNotNull()))
+    data = (df if prepared else prepare(df)).where(F.col("label").isNotNull())
+    drawn = data.withColumn("_fold", F.floor(F.rand(SEED) * folds))
+    found = []
+    with ThreadPool(parallelism) as pool:
+        for fold in range(folds):
+            training, held_out = drawn.where(F.col("_fold") != fold), drawn.where(F.col("_fold") == fold)
+            features = Pipeline(stages=feature_stages()).fit(training)
+            narrow = [features.transform(part).select("features", "label").persist(StorageLevel.MEMORY_AND_DISK)
+                      for part in (training, held_out)]
+            try:
+                found.append(_areas(lr, grid, judge, *narrow, pool))
+            finally:
+                for part in narrow:
+                    part.unpersist()
+    means = [sum(areas) / folds for areas in zip(*found)]
+    winner = grid[max(range(len(grid)), key=lambda i: means[i])]
+    search = CrossValidatorModel(Pipeline(stages=[*feature_stages(), lr]).fit(data, winner), means)
+    for param, value in ((search.estimatorParamMaps, grid), (search.evaluator, judge), (search.numFolds, folds)):
+        search.set(param, value)
+    return search
+
+
+def _areas(lr: LogisticRegression, grid: Sequence[dict], judge: BinaryClassificationEvaluator, training: DataFrame,
+           held_out: DataFrame, pool: ThreadPool) -> list[float]:
+    """Area on the held-out rows for each parameter set, in the order of the grid."""
+    few, many = ITERATIONS
+
+    def of(penalty: tuple[float, float]) -> dict[tuple[int, float, float], float]:
+        def fitted(iterations: int):
+            return lr.fit(training, {lr.maxIter: iterations, lr.regParam: penalty[0], lr.elasticNetParam: penalty[1]})
+        longest = fitted(many)
+        area = {many: judge.evaluate(longest.transform(held_out))}
+        converged = longest.summary.totalIterations < few
+        area[few] = area[many] if converged else judge.evaluate(fitted(few).transform(held_out))
+        return {(n, *penalty): value for n, value in area.items()}
+
+    penalties = sorted({(p[lr.regParam], p[lr.elasticNetParam]) for p in grid})
+    areas = {key: value for part in pool.map(inheritable_thread_target(training.sparkSession)(of), penalties) for key, value in part.items()}
+    return [areas[p[lr.maxIter], p[lr.regParam], p[lr.elasticNetParam]] for p in grid]
 
 
 def search_results(spark: SparkSession, search: CrossValidatorModel) -> DataFrame:

@@ -52,6 +52,26 @@ def test_train_evaluate_save_and_importance(spark, data, tmp_path):
     assert spark.read.parquet(str(tmp_path / "metrics")).count() == 1
 
 
+def test_search_fits_features_once_a_fold_and_agrees_with_the_plain_one(data, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import LogisticRegression
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    from pyspark.ml.tuning import CrossValidator
+    fits, whole = [], model.StringIndexer._fit
+    monkeypatch.setattr(model.StringIndexer, "_fit", lambda self, df: fits.append(1) or whole(self, df))
+    search = model.cross_validate(data, folds=2, prepared=True)
+    assert len(fits) == len(model.CATEGORICAL) * 3  # two folds and the final model
+    assert len(search.avgMetrics) == len(search.getEstimatorParamMaps()) == 12
+    lr = LogisticRegression(featuresCol="features", labelCol="label")
+    for i in (0, 5, 8):
+        own = {p.name: v for p, v in search.getEstimatorParamMaps()[i].items()}
+        plain = CrossValidator(estimator=Pipeline(stages=[*model.feature_stages(), lr]), numFolds=2, seed=model.SEED,
+                               estimatorParamMaps=[{lr.getParam(n): v for n, v in own.items()}],
+                               evaluator=BinaryClassificationEvaluator(labelCol="label", metricName="areaUnderROC"))
+        assert abs(plain.fit(data.where("label IS NOT NULL")).avgMetrics[0] - search.avgMetrics[i]) < 1e-9
+    assert search.transform(data).where("probability IS NOT NULL").count() == 4000
+
+
 def test_prepare_fills_and_keeps_null_labels_out_of_training(make):
     df = model.prepare(make({"currency": None, "is_fraud": None}))
     row = df.first()
