@@ -1,6 +1,7 @@
 """Classifiers on a separable set."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -52,6 +53,38 @@ def test_train_evaluate_save_and_importance(spark, data, tmp_path):
     assert spark.read.parquet(str(tmp_path / "metrics")).count() == 1
 
 
+def test_classifiers_share_features_and_even_tasks_and_a_forest_keeps_its_trees(spark, data, monkeypatch):
+    from pyspark.ml import Pipeline
+    fits, whole = [], model.StringIndexer._fit
+    monkeypatch.setattr(model.StringIndexer, "_fit", lambda self, df: fits.append(1) or whole(self, df))
+    forest, seen = model.random_forest(10, 5), []
+    monkeypatch.setattr(type(forest), "_fit", lambda self, df, fit=type(forest)._fit: seen.append(df) or fit(self, df))
+    uneven = data.coalesce(1)
+    fitted = model.train_all(uneven, {"forest": forest, "regression": model.logistic_regression(20)}, prepared=True)
+    assert len(fits) == len(model.CATEGORICAL)
+    sizes = seen[0].rdd.mapPartitions(lambda rows: [sum(1 for _ in rows)]).collect()
+    assert len(sizes) == 2 * spark.sparkContext.defaultParallelism and max(sizes) < 2 * sum(sizes) / len(sizes)
+    assert sum(sizes) == data.where("label IS NOT NULL").count()
+    # the same trees when places in them are not kept, and again from rows that lie otherwise
+    assert forest.getCacheNodeIds()
+    plain = forest.copy({forest.cacheNodeIds: False}).fit(seen[0])
+    assert plain.toDebugString.split("\n", 1)[1] == fitted["forest"].stages[-1].toDebugString.split("\n", 1)[1]
+    again = model.train(data.repartition(7), forest, prepared=True).stages[-1]
+
+    def rounded(one):  # the scale of a feature is a sum of doubles over tasks
+        return re.sub(r"-?\d+\.\d+(E-?\d+)?", lambda m: f"{float(m[0]):.6g}", one.toDebugString.split("\n", 1)[1])
+    assert rounded(again) == rounded(plain)
+    features = Pipeline(stages=model.feature_stages()).fit(data.where("label IS NOT NULL")).transform(data)
+    assert features.schema["features"].metadata["ml_attr"] == seen[0].schema["features"].metadata["ml_attr"]
+    assert fitted["regression"].transform(data).where("probability IS NOT NULL").count() == 4000
+
+
+def test_training_rows_are_dealt_out_by_cores_and_rows(spark):
+    cores = spark.sparkContext.defaultParallelism
+    assert model.parts(spark, 0) == model.parts(spark, 2 * cores * model.ROWS_PER_TASK) == 2 * cores
+    assert model.parts(spark, 2 * cores * model.ROWS_PER_TASK + 1) == 3 * cores
+
+
 def test_search_fits_features_once_a_fold_and_agrees_with_the_plain_one(data, monkeypatch):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
