@@ -4,10 +4,12 @@ import random
 import re
 
 import pytest
+from conftest import SMALL
 from pyspark.sql import functions as F
 
 from cardwatch.learning import evaluation, model, split
 from cardwatch.operators import generate
+from cardwatch.plans import QUERIES, model_queries
 
 
 @pytest.fixture(scope="module")
@@ -85,6 +87,17 @@ def test_training_rows_are_dealt_out_by_cores_and_rows(spark):
     assert model.parts(spark, 2 * cores * model.ROWS_PER_TASK + 1) == 3 * cores
 
 
+def test_the_classifiers_compared_fit_their_features_once(spark, monkeypatch):
+    fits, whole = [], model.StringIndexer._fit
+    monkeypatch.setattr(model.StringIndexer, "_fit", lambda self, df: fits.append(1) or whole(self, df))
+    monkeypatch.setattr(model_queries, "CLASSIFIERS", {
+        "logistic_regression": lambda: model.logistic_regression(5), "random_forest": lambda: model.random_forest(3, 3),
+        "boosted_trees": lambda: model.boosted_trees(2, 2)})
+    rows = QUERIES["ml_evaluate"](spark, SMALL).collect()
+    assert sorted(r.model for r in rows) == ["boosted_trees", "logistic_regression", "random_forest"]
+    assert len(fits) == len(model.CATEGORICAL)
+
+
 def test_search_fits_features_once_a_fold_and_agrees_with_the_plain_one(data, monkeypatch):
     from pyspark.ml import Pipeline
     from pyspark.ml.classification import LogisticRegression
