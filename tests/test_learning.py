@@ -81,6 +81,43 @@ def test_classifiers_share_features_and_even_tasks_and_a_forest_keeps_its_trees(
     assert fitted["regression"].transform(data).where("probability IS NOT NULL").count() == 4000
 
 
+def test_a_large_forest_grows_in_groups_of_trees_over_like_rows(spark, data, tmp_path, monkeypatch):
+    monkeypatch.setattr(model, "TREES_PER_FIT", 4)
+    monkeypatch.setattr(model, "ROWS_AT_ONCE", 0)
+    whole, seen = model.random_forest(10, 5), []
+    monkeypatch.setattr(type(whole), "_fit", lambda self, df, fit=type(whole)._fit: seen.append((self.getNumTrees(), df)) or fit(self, df))
+    train, test = model.split(data)
+    fitted = model.train(train, whole, prepared=True)
+    assert [n for n, _ in seen] == [3, 3, 4]
+    groups = fitted.stages[-4:-1]
+    trees = [tree for group in groups for tree in group.trees]
+    assert len({tree.toDebugString.split("\n", 1)[1] for tree in trees}) == 10
+    # votes are those of the ten trees, one by one
+    given, own = fitted.transform(test), fitted.transform(test).select("transaction_id", "features")
+    expected, mean = {r.transaction_id: [0.0, 0.0] for r in own.select("transaction_id").collect()}, 0
+    for tree in trees:
+        for r in tree.setProbabilityCol("probability").transform(own).select("transaction_id", "probability").collect():
+            expected[r.transaction_id] = [a + b for a, b in zip(expected[r.transaction_id], r.probability)]
+        mean += tree.featureImportances.toArray() / len(trees)
+    for r in given.select("transaction_id", "rawPrediction", "probability", "prediction").collect():
+        votes = expected[r.transaction_id]
+        assert max(abs(a - b) for a, b in zip(r.rawPrediction, votes)) < 1e-9
+        assert max(abs(a - b / 10) for a, b in zip(r.probability, votes)) < 1e-9
+        assert r.prediction == float(r.probability[1] > r.probability[0])
+    assert not [c for c in given.columns if c.startswith("_")]
+    weights = [r.importance for r in model.importance(spark, fitted, given).collect()]
+    assert max(abs(a - b) for a, b in zip(weights, sorted(mean, reverse=True))) < 1e-9
+    model.save(fitted, str(tmp_path / "m"))
+    again = model.predict(model.load(str(tmp_path / "m")), test, prepared=True)
+    assert model.predict(fitted, test, prepared=True).exceptAll(again).isEmpty() and again.count() == test.count()
+    # in a task, rows of equal categories follow each other, by amount
+    width = sum(len(s.labels) for s in fitted.stages if hasattr(s, "labels"))
+    for rows in seen[0][1].rdd.glom().map(lambda part: [(tuple(r.features.toArray()[:width]), r.features[width]) for r in part]).collect():
+        starts = [i for i, (kind, _) in enumerate(rows) if i == 0 or rows[i - 1][0] != kind]
+        assert len(starts) == len({kind for kind, _ in rows})
+        assert all(a[0] != b[0] or a[1] <= b[1] for a, b in zip(rows, rows[1:]))
+
+
 def test_training_rows_are_dealt_out_by_cores_and_rows(spark):
     cores = spark.sparkContext.defaultParallelism
     assert model.parts(spark, 0) == model.parts(spark, 2 * cores * model.ROWS_PER_TASK) == 2 * cores
