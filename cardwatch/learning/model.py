@@ -9,13 +9,14 @@ from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Estimator, Pipeline, PipelineModel, Transformer
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
 from pyspark.ml.evaluation import BinaryClassificationEvaluator
-from pyspark.ml.feature import OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import OneHotEncoder, OneHotEncoderModel, StandardScaler, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.tuning import CrossValidatorModel, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from cardwatch.functions import rules, times
+from cardwatch.learning import trees
 from cardwatch.learning.evaluation import evaluate_scores
 from cardwatch.learning.votes import Votes
 from cardwatch.operators import shape
@@ -93,13 +94,14 @@ def train(df: DataFrame, classifier: Estimator, one_hot: bool = True, prepared:
     return train_all(df, {"model": classifier}, one_hot, prepared)["model"]
 
 
-def train_all(df: DataFrame, classifiers: Mapping[str, Estimator], one_hot: bool = True,
-              prepared: bool = False) -> dict[str, PipelineModel]:
+def train_all(df: DataFrame, classifiers: Mapping[str, Estimator], one_hot: bool = True, prepared: bool = False,
+              from_counts: bool = False) -> dict[str, PipelineModel]:
     """Fits the features once on the labelled rows, and every classifier on the rows these give.
 
     A classifier passes over its rows many times, each as slow as its fullest task, so their features are written once
     and dealt out evenly, and each task keeps its part on disk. Within a task like rows follow each other: they meet the
     same nodes of the trees. Tasks and their order follow from the rows, as a forest draws its samples along them.
+    With ``from_counts``, trees over many rows with one-hot columns are those of ``trees``.
     """
     data = (df if prepared else prepare(df)).where(F.col("label").isNotNull())
     features = Pipeline(stages=feature_stages(one_hot)).fit(data)
@@ -109,29 +111,44 @@ def train_all(df: DataFrame, classifiers: Mapping[str, Estimator], one_hot: bool
     even = (rows.repartition(parts(df.sparkSession, count), "_place")
             .sortWithinPartitions("_like", "_number", "_place").select("features", "label").persist(StorageLevel.DISK_ONLY))
     try:
-        return {name: PipelineModel([*features.stages, *_fitted(classifier, even, count)]) for name, classifier in classifiers.items()}
+        counted = {}
+        if from_counts and one_hot and _many(even, count):
+            sizes = [n - 1 for stage in features.stages if isinstance(stage, OneHotEncoderModel) for n in stage.categorySizes]
+            counted = trees.grow_all(even, count, {n: c for n, c in classifiers.items() if trees.can_grow(c)}, sizes, _shares)
+        return {name: PipelineModel([*features.stages, *([counted[name]] if name in counted else _fitted(classifier, even, count))])
+                for name, classifier in classifiers.items()}
     finally:
         even.unpersist()
 
 
+def _many(rows: DataFrame, count: int) -> bool:
+    return count > ROWS_AT_ONCE * rows.sparkSession.sparkContext.defaultParallelism
+
+
 def _fitted(classifier: Estimator, rows: DataFrame, count: int) -> list[Transformer]:
     """The fitted classifier; over many rows a forest grows in groups of trees, whose votes the last stage adds up.
 
     A row's samples and places are kept for all trees that grow side by side, 1.9 KB a row for 100 of them and 0.6 KB
     for 20. As every tree draws its own sample, groups of own seeds make one forest.
     """
-    trees = classifier.getNumTrees() if isinstance(classifier, RandomForestClassifier) else 0
-    if trees <= TREES_PER_FIT or count <= ROWS_AT_ONCE * rows.sparkSession.sparkContext.defaultParallelism:
+    shares = _shares(classifier) if isinstance(classifier, RandomForestClassifier) and _many(rows, count) else []
+    if len(shares) < 2:
         return [classifier.fit(rows)]
-    groups = -(-trees // TREES_PER_FIT)
-    votes = [f"_votes_{i}" for i in range(groups)]
+    votes = [f"_votes_{i}" for i in range(len(shares))]
     grown = [classifier.fit(rows, {
-        classifier.numTrees: trees * (i + 1) // groups - trees * i // groups, classifier.seed: classifier.getSeed() + SEED_STEP * i,
+        classifier.numTrees: number, classifier.seed: seed,
         classifier.rawPredictionCol: column, classifier.probabilityCol: "", classifier.predictionCol: ""})
-        for i, column in enumerate(votes)]
+        for (number, seed), column in zip(shares, votes)]
     return [*grown, Votes(inputCols=votes)]
 
 
+def _shares(forest: RandomForestClassifier) -> list[tuple[int, int]]:
+    """Trees and seed of each group that a forest over many rows is made of."""
+    number, seed = forest.getNumTrees(), forest.getSeed()
+    groups = -(-number // TREES_PER_FIT)
+    return [(number * (i + 1) // groups - number * i // groups, seed + SEED_STEP * i) for i in range(groups)]
+
+
 def parts(spark: SparkSession, rows: int) -> int:
     """Tasks that training rows are dealt out to: a multiple of the cores, with at most ``ROWS_PER_TASK`` rows each."""
     cores = spark.sparkContext.defaultParallelism

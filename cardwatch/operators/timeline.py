@@ -98,11 +98,13 @@ class Timeline:
 
         A RANGE frame that moves at both ends is added up anew for every row, which is quadratic for a key with many
         rows per frame. Instead each row enters the total at its time and leaves it ``ms + 1`` later, and one running
-        total over both gives the answer. The copies are made after the shuffle.
+        total over both gives the answer. The copies are made after the shuffle: that of the windows before, or where keys
+        are cut into slices, one by key and slice. Where there is one slice it is a constant, which windows leave out, so
+        such a shuffle would be of no use to them.
         """
         parts = {f"_r{i}": m for i, m in enumerate(measures.values())}
-        placed = _plain(cut).repartition(self.key, SLICE).withColumns(parts)
-        twice = placed.withColumn(LEAVING, F.explode(F.array(F.lit(False), F.lit(True))))
+        placed = _plain(cut).repartition(self.key, SLICE) if BUSY in cut.columns else cut
+        twice = placed.withColumns(parts).withColumn(LEAVING, F.explode(F.array(F.lit(False), F.lit(True))))
         kept = {self.key, SLICE, HALO, BUSY, self.time}
         leaves = F.col(LEAVING)
         moved = twice.select(

@@ -63,7 +63,7 @@ CLASSIFIERS = {
 def held_out_scores(spark: SparkSession, sf: str) -> DataFrame:
     """Scores of three classifiers on the held-out part, each row scored once by each."""
     train, test = prepared(spark, sf)
-    fitted = model.train_all(train, {name: make() for name, make in CLASSIFIERS.items()}, prepared=True)
+    fitted = model.train_all(train, {name: make() for name, make in CLASSIFIERS.items()}, prepared=True, from_counts=True)
     return shape.union_batches([model.scores(one.transform(test), name) for name, one in fitted.items()])
 
 

@@ -7,7 +7,7 @@ import pytest
 from conftest import SMALL
 from pyspark.sql import functions as F
 
-from cardwatch.learning import evaluation, model, split
+from cardwatch.learning import evaluation, model, split, trees
 from cardwatch.operators import generate
 from cardwatch.plans import QUERIES, model_queries
 
@@ -118,6 +118,64 @@ def test_a_large_forest_grows_in_groups_of_trees_over_like_rows(spark, data, tmp
         assert all(a[0] != b[0] or a[1] <= b[1] for a, b in zip(rows, rows[1:]))
 
 
+def blurred(data):
+    """Labels that no tree gets all right."""
+    wrong = F.pmod(F.hash("transaction_id", "amount"), F.lit(11)) == 0
+    return data.where("label IS NOT NULL").withColumn("label", F.when(wrong, 1 - F.col("label")).otherwise(F.col("label")))
+
+
+def test_trees_from_counts_are_those_of_spark(data, monkeypatch):
+    from pyspark.ml import Pipeline
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
+    features = Pipeline(stages=model.feature_stages()).fit(blurred(data))
+    sizes = [n - 1 for stage in features.stages if isinstance(stage, model.OneHotEncoderModel) for n in stage.categorySizes]
+    rows = features.transform(blurred(data)).select("transaction_id", "features", "label").repartition(3, "transaction_id").cache()
+    monkeypatch.setattr(trees, "TREES_PER_STATE", 2)
+    monkeypatch.setattr(trees, "BLOCK", 500)
+    classifiers = {"tree": RandomForestClassifier(numTrees=1, maxDepth=5, bootstrap=False, seed=7, minInstancesPerNode=3),
+                   "boosted": GBTClassifier(maxIter=5, maxDepth=3, seed=7, maxBins=20)}
+    for many in (False, True):
+        if many:  # more rows than bounds are taken from
+            rows = rows.unionByName(rows).unionByName(rows).repartition(3, "transaction_id").sortWithinPartitions("transaction_id").cache()
+        grown = trees.grow_all(rows, rows.count(), classifiers, sizes, model._shares)
+        for name, classifier in classifiers.items():
+            own, theirs = grown[name], classifier.fit(rows)
+            assert (own.getNumTrees, own.totalNumNodes, own.treeWeights) == (theirs.getNumTrees, theirs.totalNumNodes, theirs.treeWeights)
+            assert own.numFeatures == theirs.numFeatures and own.extractParamMap().keys() == theirs.extractParamMap().keys()
+            scored = [{r.transaction_id: r.probability[1] for r in m.transform(rows).collect()} for m in (own, theirs)]
+            assert max(abs(scored[0][k] - scored[1][k]) for k in scored[1]) < 1e-9 and len(set(scored[0].values())) > 5
+
+
+def test_many_rows_are_counted_for_a_forest_and_boosted_trees(data, monkeypatch, tmp_path):
+    from pyspark.ml.classification import GBTClassifier, RandomForestClassificationModel, RandomForestClassifier
+    train, test = model.split(blurred(data))
+    classifiers = {"forest": model.random_forest(30, 6), "boosted": model.boosted_trees(4, 3), "regression": model.logistic_regression(20)}
+    plain = model.train_all(train, classifiers, prepared=True, from_counts=True)
+    before = {r.model: r for name, m in plain.items() for r in model.evaluate(m.transform(test), name).collect()}
+    monkeypatch.setattr(model, "ROWS_AT_ONCE", 0)
+    fits = []
+    for kind in (RandomForestClassifier, GBTClassifier):
+        monkeypatch.setattr(kind, "_fit", lambda self, df: fits.append(type(self)))
+    fitted = model.train_all(train, classifiers, prepared=True, from_counts=True)
+    assert not fits and list(fitted) == list(classifiers)
+    after = {r.model: r for name, m in fitted.items() for r in model.evaluate(m.transform(test), name).collect()}
+    assert all(abs(after[n].auc_roc - before[n].auc_roc) < (0.05 if n == "forest" else 1e-9) for n in classifiers)
+    forest, rows = fitted["forest"].stages[-1], train.count()
+    assert forest.getNumTrees == 30 and len({t.toDebugString.split("\n", 1)[1] for t in forest.trees}) == 30
+    assert forest.transform(fitted["forest"].transform(test).select("features")).where("probability IS NOT NULL").count() == test.count()
+    # every tree draws about as many rows as there are, each its own
+    drawn = [t._call_java("rootNode").impurityStats().count() for t in forest.trees]
+    assert all(abs(n - rows) < 6 * rows ** 0.5 for n in drawn) and len(set(drawn)) > 10
+    counted = [t._call_java("rootNode").impurityStats().count() for t in fitted["boosted"].stages[-1].trees]
+    assert counted == [rows] * 4
+    # the same trees again, and from a file
+    again = model.train_all(train, {"forest": classifiers["forest"]}, prepared=True, from_counts=True)["forest"].stages[-1]
+    assert again.toDebugString.split("\n", 1)[1] == forest.toDebugString.split("\n", 1)[1]
+    forest.write().save(str(tmp_path / "m"))
+    loaded = RandomForestClassificationModel.load(str(tmp_path / "m"))
+    assert loaded.toDebugString.split("\n", 1)[1] == forest.toDebugString.split("\n", 1)[1]
+
+
 def test_training_rows_are_dealt_out_by_cores_and_rows(spark):
     cores = spark.sparkContext.defaultParallelism
     assert model.parts(spark, 0) == model.parts(spark, 2 * cores * model.ROWS_PER_TASK) == 2 * cores
